@@ -8,7 +8,7 @@ from mendstream.operators import detectors as D, templates as TP, timeseries as
 from mendstream.plans import fixtures as X
 from mendstream.plans.detect import first_anomalies
 
-# Averages of two-digit values fall on rounding borders; a seventh of them does not.
+# Averages of two-digit values fall on rounding borders; their square roots do not.
 # The moving average by recursion over the rows of each KPI series
 _EWMA = LIVE + """, kp AS (SELECT * FROM split WHERE series LIKE '%latency%' OR series LIKE '%error%'),
   ew AS (SELECT tenant_id, window_id, series, row, v, v AS y FROM kp WHERE row = 0
@@ -19,17 +19,17 @@ _EWMA = LIVE + """, kp AS (SELECT * FROM split WHERE series LIKE '%latency%' OR
   det AS (SELECT r.*, abs(res) > {k} * s AS is_anomaly, abs(res) / s AS score FROM rs r JOIN sd USING (tenant_id, window_id, series))"""
 
 
-@query("d1_ewma_detect", "WITH RECURSIVE " + _EWMA.format(k="5.0") + " SELECT tenant_id, window_id, series, row, round(y / 7, 6) AS ewma, round(score, 6) AS score, is_anomaly FROM det")
+@query("d1_ewma_detect", "WITH RECURSIVE " + _EWMA.format(k="5.0") + " SELECT tenant_id, window_id, series, row, round(sqrt(y), 6) AS ewma, round(score, 6) AS score, is_anomaly FROM det")
 def _(spark, sf):
     d = D.ewma_detect(D.kpi_series(split(spark, sf)), max_rows=120)
-    return rounded(d.select("tenant_id", "window_id", "series", "row", (F.col("ewma") / 7).alias("ewma"), "score", "is_anomaly"), "ewma", "score")
+    return rounded(d.select("tenant_id", "window_id", "series", "row", F.sqrt("ewma").alias("ewma"), "score", "is_anomaly"), "ewma", "score")
 
 
 # the same with a carry between blocks of 32 rows
-@query("d1_ewma_blocked", "WITH RECURSIVE " + _EWMA.format(k="3.0") + " SELECT tenant_id, window_id, series, row, round(y / 7, 6) AS ewma, round(score, 6) AS score, is_anomaly FROM det")
+@query("d1_ewma_blocked", "WITH RECURSIVE " + _EWMA.format(k="3.0") + " SELECT tenant_id, window_id, series, row, round(sqrt(y), 6) AS ewma, round(score, 6) AS score, is_anomaly FROM det")
 def _(spark, sf):
     d = D.ewma_detect(D.kpi_series(split(spark, sf)), k=3.0, block_rows=32)
-    return rounded(d.select("tenant_id", "window_id", "series", "row", (F.col("ewma") / 7).alias("ewma"), "score", "is_anomaly"), "ewma", "score")
+    return rounded(d.select("tenant_id", "window_id", "series", "row", F.sqrt("ewma").alias("ewma"), "score", "is_anomaly"), "ewma", "score")
 
 
 @query("d5_combine_flags", "WITH RECURSIVE " + _EWMA.format(k="3.0") + """ SELECT tenant_id, window_id, row, t, bool_or(is_anomaly) AS is_anomaly FROM (

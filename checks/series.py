@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.ctes import ALERTS, BINS, EV, GRID, LIVE, LOGS, STATS, TEL, Z, with_
-from checks.views import anchors, grid, rounded, split
+from checks.views import anchors, grid, plain, rounded, split
 from mendstream.functions.scalars import series_name
 from mendstream.operators import templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
@@ -18,7 +18,7 @@ def _(spark, sf):
 
 @query("c2_align_series", with_(GRID) + "SELECT * FROM grid")
 def _(spark, sf):
-    return grid(spark, sf)
+    return plain(grid(spark, sf))
 
 
 # one window over the whole history, filled block by block
@@ -29,7 +29,7 @@ SELECT tenant_id, CAST(0 AS BIGINT) AS window_id, t, row, series, coalesce(last_
 FROM ti JOIN (SELECT DISTINCT tenant_id, series FROM b) USING (tenant_id) LEFT JOIN b USING (tenant_id, t, series)""")
 def _(spark, sf):
     p = X.telemetry(spark, sf).withColumn("series", series_name(F.col("service"), F.col("signal_name"), X.SERVICES))
-    return TS.align_series(TS.bin_points(p, X.BIN), block=86400)
+    return plain(TS.align_series(TS.bin_points(p, X.BIN), block=86400))
 
 
 # every 7th sample becomes NaN, every 11th infinite
@@ -47,18 +47,18 @@ WINDOW w AS (PARTITION BY tenant_id, window_id, series ORDER BY t ROWS BETWEEN U
 
 @query("c3_clean_non_finite", with_(_DIRTY, "cleaned AS (SELECT *, CASE WHEN isnan(v) THEN 0.0 WHEN isinf(v) THEN NULL ELSE v END AS x FROM dirty)") + _FILL)
 def _(spark, sf):
-    return TS.clean_non_finite(_dirty(spark, sf))
+    return plain(TS.clean_non_finite(_dirty(spark, sf)))
 
 
 @query("c3_clean_non_finite_rca", with_(_DIRTY, "cleaned AS (SELECT *, CASE WHEN isnan(v) OR isinf(v) THEN NULL ELSE v END AS x FROM dirty)") + _FILL)
 def _(spark, sf):
-    return TS.clean_non_finite(_dirty(spark, sf), mode="rca")
+    return plain(TS.clean_non_finite(_dirty(spark, sf), mode="rca"))
 
 
 @query("c4_minmax_scale", with_(GRID, "r AS (SELECT *, min(v) OVER p AS lo, max(v) OVER p AS hi FROM grid WINDOW p AS (PARTITION BY tenant_id, window_id, series))")
        + "SELECT tenant_id, window_id, t, row, series, round(CASE WHEN hi - lo > 1e-6 THEN (v - lo) / (hi - lo) ELSE 0 END, 6) AS v FROM r WHERE lo < hi")
 def _(spark, sf):
-    return rounded(TS.minmax_scale(TS.drop_constant(grid(spark, sf))), "v")
+    return rounded(plain(TS.minmax_scale(TS.drop_constant(grid(spark, sf)))), "v")
 
 
 @query("c5_baseline_split", with_(LIVE) + "SELECT tenant_id, window_id, row, series, baseline_len, is_baseline FROM split")
@@ -89,19 +89,19 @@ def _(spark, sf):
        + """SELECT tenant_id, window_id, t, row, series, round(avg(v) OVER (PARTITION BY tenant_id, window_id, series ORDER BY row ROWS BETWEEN 14 PRECEDING AND CURRENT ROW), 6) AS v FROM sl""")
 def _(spark, sf):
     d = split(spark, sf)
-    return rounded(TS.rolling_mean(TS.slice_around(d.drop("baseline_len", "is_baseline"), anchors(d), 30, 10)), "v")
+    return rounded(TS.rolling_mean(TS.slice_around(plain(d), anchors(d), 30, 10)), "v")
 
 
 @query("c9_slice_around", with_(LIVE) + "SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE g.row BETWEEN anomaly_row - 120 AND anomaly_row + 30")
 def _(spark, sf):
     d = split(spark, sf)
-    return TS.slice_around(d.drop("baseline_len", "is_baseline"), anchors(d), 120, 30)
+    return TS.slice_around(plain(d), anchors(d), 120, 30)
 
 
 @query("c9_slice_seconds", with_(LIVE) + "SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE g.t BETWEEN anchor_t - 43200 AND anchor_t + 10800")
 def _(spark, sf):
     d = split(spark, sf)
-    return TS.slice_around(d.drop("baseline_len", "is_baseline"), anchors(d), 43200, 10800, by="t")
+    return TS.slice_around(plain(d), anchors(d), 43200, 10800, by="t")
 
 
 @query("c10_first_row_at_or_after", with_(GRID, "a AS (SELECT tenant_id, window_id, max(t) - CASE WHEN window_id % 2 = 0 THEN 5000 ELSE -5000 END AS anchor_t FROM grid GROUP BY 1, 2)") + """

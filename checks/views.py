@@ -16,6 +16,11 @@ def split(spark, sf) -> DataFrame:
     return TS.baseline_split(grid(spark, sf))
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """The aligned frame's own columns."""
+    return df.select(*TS.WIN, "t", "row", "series", "v")
+
+
 def anchors(df: DataFrame) -> DataFrame:
     """Row after the baseline with the largest error-rate value, per window."""
     best = F.row_number().over(W.partitionBy(*TS.WIN).orderBy(F.desc("v"), "row", "series"))

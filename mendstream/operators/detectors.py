@@ -34,14 +34,15 @@ def ewma(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, max_rows: int | None =
     keep = 1.0 - alpha
     fits = int(MAX_EXPONENT / -math.log(keep)) if keep > 0 else 1
     block_rows = min(block_rows or fits, fits)
-    block, j = F.expr(f"row div {block_rows}"), F.expr(f"row % {block_rows}")
-    w = W.partitionBy(*SERIES, "_b").orderBy("row").rowsBetween(W.unboundedPreceding, 0)
-    d = df.withColumn("_b", block).withColumn("_j", j.cast("double"))
+    single = max_rows is not None and max_rows <= block_rows
+    j = F.col("row").cast("double") if single else F.expr(f"row % {block_rows}").cast("double")
+    d = df if single else df.withColumn("_b", F.expr(f"row div {block_rows}"))
+    d = d.withColumn("_j", j)
+    w = W.partitionBy(*SERIES, *([] if single else ["_b"])).orderBy("row").rowsBetween(W.unboundedPreceding, 0)
     scaled = F.col("v") * alpha * F.pow(F.lit(keep), -F.col("_j"))
     d = d.withColumn("_loc", F.pow(F.lit(keep), F.col("_j")) * F.sum(scaled).over(w))
-    if max_rows is not None and max_rows <= block_rows:
-        first = F.first("v").over(w)
-        return d.withColumn(out, F.col("_loc") + F.pow(F.lit(keep), F.col("_j") + 1) * first).drop("_b", "_j", "_loc")
+    if single:
+        return d.withColumn(out, F.col("_loc") + F.pow(F.lit(keep), F.col("_j") + 1) * F.first("v").over(w)).drop("_j", "_loc")
 
     blocks = d.groupBy(*SERIES, "_b").agg(
         F.max_by("_loc", "row").alias("c"), F.count("*").alias("n"), F.min_by("v", "row").alias("x0"))
@@ -64,11 +65,15 @@ def ewma_detect(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, k: float = fixed
                 max_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
     """Flag |x - y| > k * std, with the sample std of the baseline residuals (1e-6 if 0 or missing)."""
     d = ewma(df, alpha, max_rows, block_rows).withColumn("_res", F.col("v") - F.col("ewma"))
-    std = d.groupBy(*SERIES).agg(F.stddev_samp(F.when(F.col("is_baseline"), F.col("_res"))).alias("_s"))
-    std = std.withColumn("_s", F.when(F.coalesce("_s", F.lit(0.0)) == 0, 1e-6).otherwise(F.col("_s")))
+    spread = F.stddev_samp(F.when(F.col("is_baseline"), F.col("_res")))
+    if max_rows is not None:
+        # a short series stays in the partition the scan put it in
+        d = d.withColumn("_s", spread.over(W.partitionBy(*SERIES)))
+    else:
+        d = d.join(d.groupBy(*SERIES).agg(spread.alias("_s")), SERIES)
+    d = d.withColumn("_s", F.when(F.coalesce("_s", F.lit(0.0)) == 0, 1e-6).otherwise(F.col("_s")))
     return (
-        d.join(std, SERIES)
-        .withColumn("is_anomaly", F.abs("_res") > k * F.col("_s"))
+        d.withColumn("is_anomaly", F.abs("_res") > k * F.col("_s"))
         .withColumn("score", F.abs("_res") / F.col("_s"))
         .drop("_res", "_s")
     )

@@ -1,6 +1,6 @@
 """Binning, alignment and per-series statistics on the long layout.
 
-Aligned frame: ``tenant_id, window_id, t, row, series, v``. A window is one
+Aligned frame: ``tenant_id, window_id, t, row, n_rows, series, v`` (``row`` counts from 0, ``n_rows`` is the window's length). A window is one
 fixed-length stretch of bins, so a (window, series) group has at most
 ``window length / bin width`` rows whatever the raw volume is.
 """
@@ -33,6 +33,7 @@ def align_series(bins: DataFrame, block: int | None = None) -> DataFrame:
     """
     times = bins.groupBy(*WIN, "t").agg(F.lit(1).alias("_n")).drop("_n")
     times = times.withColumn("row", F.row_number().over(W.partitionBy(*WIN).orderBy("t")) - 1)
+    times = times.withColumn("n_rows", F.count("*").over(W.partitionBy(*WIN)).cast("int"))
     names = bins.select(*SERIES).distinct()
     grid = times.join(names, WIN).join(bins, [*SERIES, "t"], "left")
     if block:
@@ -40,7 +41,7 @@ def align_series(bins: DataFrame, block: int | None = None) -> DataFrame:
     else:
         w = W.partitionBy(*SERIES).orderBy("t").rowsBetween(W.unboundedPreceding, 0)
         filled = grid.withColumn("v", F.last("v", ignorenulls=True).over(w))
-    return filled.select(*WIN, "t", "row", "series", F.coalesce("v", F.lit(0.0)).alias("v"))
+    return filled.select(*WIN, "t", "row", "n_rows", "series", F.coalesce("v", F.lit(0.0)).alias("v"))
 
 
 def clean_non_finite(df: DataFrame, mode: str = "detector") -> DataFrame:
@@ -89,13 +90,13 @@ def baseline_rows(n: Column, mode: str = "live", inject_row: Column | None = Non
 
 def baseline_split(df: DataFrame, mode: str = "live", anchors: DataFrame | None = None) -> DataFrame:
     """Adds ``baseline_len`` and ``is_baseline``; ``sliced`` mode takes ``inject_row`` from ``anchors``."""
-    sizes = df.groupBy(*WIN).agg((F.max("row") + 1).alias("n"))
+    n = F.col("n_rows")
     if mode == "sliced":
-        sizes = sizes.join(anchors, WIN)
-        sizes = sizes.withColumn("baseline_len", baseline_rows(F.col("n"), mode, F.col("inject_row"))).drop("inject_row")
+        d = df.join(anchors.select(*WIN, "inject_row"), WIN)
+        d = d.withColumn("baseline_len", baseline_rows(n, mode, F.col("inject_row"))).drop("inject_row")
     else:
-        sizes = sizes.withColumn("baseline_len", baseline_rows(F.col("n"), mode))
-    return df.join(sizes.drop("n"), WIN).withColumn("is_baseline", F.col("row") < F.col("baseline_len"))
+        d = df.withColumn("baseline_len", baseline_rows(n, mode))
+    return d.withColumn("is_baseline", F.col("row") < F.col("baseline_len"))
 
 
 def regularised(std: Column, mean: Column, multiplier: float = fixed.STD_REG_MULTIPLIER, additive: float = fixed.STD_REG_ADDITIVE) -> Column:
@@ -139,12 +140,11 @@ def slice_around(df: DataFrame, anchors: DataFrame, before: int, after: int, by:
 
 def first_row_at_or_after(df: DataFrame, anchors: DataFrame, mode: str = "batch") -> DataFrame:
     """First row with ``t >= anchor_t``; none -> ``n - 100`` (batch) or the last row (slice)."""
-    times = df.groupBy(*WIN, "t").agg(F.min("row").alias("row"))
     fallback = F.col("n") - 100 if mode == "batch" else F.col("n") - 1
     return (
-        times.join(anchors.select(*WIN, "anchor_t"), WIN)
+        df.join(anchors.select(*WIN, "anchor_t"), WIN)
         .groupBy(*WIN)
-        .agg(F.min(F.when(F.col("t") >= F.col("anchor_t"), F.col("row"))).alias("hit"), (F.max("row") + 1).alias("n"))
+        .agg(F.min(F.when(F.col("t") >= F.col("anchor_t"), F.col("row"))).alias("hit"), F.max("n_rows").alias("n"))
         .select(*WIN, F.coalesce("hit", fallback).alias("inject_row"))
     )
 
