@@ -37,8 +37,8 @@ def _(spark, sf):
 
 
 def _closes(spark, sf):
-    """Verified recoveries: one purchase in five closes the incident of its service."""
-    e = X.telemetry(spark, sf).where("signal_name = 'mem' AND k % 5 = 0")
+    """Verified recoveries: a purchase with a large k closes the incident of its service."""
+    e = X.telemetry(spark, sf).where("signal_name = 'mem' AND k >= 80")
     return e.select("tenant_id", "service", "t")
 
 
@@ -64,8 +64,8 @@ def _(spark, sf):
     return inc.withColumn("symptoms", F.array_join("symptoms", ","))
 
 
-@query("g4_decide_once", with_(EV, """rq AS (SELECT event_id AS request_id, t, 'inc-' || (user_id % 40) AS incident_id, 'svc' || (user_id % 6) AS service FROM ev WHERE event_type = 'click'),
-  inc AS (SELECT DISTINCT 'inc-' || (user_id % 40) AS incident_id, 'svc' || (user_id % 40 % 6) AS root_service FROM ev WHERE user_id % 40 < 35),
+@query("g4_decide_once", with_(EV, """rq AS (SELECT event_id AS request_id, t, CASE WHEN k < 10 THEN 'none' ELSE 'inc-' || (user_id % 40) END AS incident_id, 'svc' || (user_id % 6) AS service FROM ev WHERE event_type = 'click'),
+  inc AS (SELECT DISTINCT 'inc-' || (user_id % 40) AS incident_id, 'svc' || (user_id % 40 % 6) AS root_service FROM ev),
   r AS (SELECT *, row_number() OVER (PARTITION BY incident_id, service = root_service ORDER BY t, request_id) AS n FROM rq LEFT JOIN inc USING (incident_id)),
   d AS (SELECT *, CASE WHEN root_service IS NULL THEN NULL WHEN service <> root_service THEN 'correlated downstream symptom of upstream ' || root_service
      WHEN n > 1 THEN 'duplicate alert for root-cause (already decided)' END AS suppression_reason FROM r)""") + """
@@ -73,18 +73,18 @@ SELECT incident_id, request_id, t, service, root_service, suppression_reason, su
   CASE WHEN suppression_reason IS NOT NULL THEN 'CorrelatedSymptomSuppression' END AS matched_runbook, CASE WHEN suppression_reason IS NOT NULL THEN 10 END AS verify_window_seconds FROM d""")
 def _(spark, sf):
     e = X.events(spark, sf)
-    rq = e.where("event_type = 'click'").select(F.col("event_id").alias("request_id"), "t", F.concat(F.lit("inc-"), F.col("user_id") % 40).alias("incident_id"), F.concat(F.lit("svc"), F.col("user_id") % 6).alias("service"))
-    inc = e.where("user_id % 40 < 35").select(F.concat(F.lit("inc-"), F.col("user_id") % 40).alias("incident_id"), F.concat(F.lit("svc"), F.col("user_id") % 40 % 6).alias("root_service")).distinct()
+    rq = e.where("event_type = 'click'").select(F.col("event_id").alias("request_id"), "t", F.when(F.col("k") < 10, "none").otherwise(F.concat(F.lit("inc-"), F.col("user_id") % 40)).alias("incident_id"), F.concat(F.lit("svc"), F.col("user_id") % 6).alias("service"))
+    inc = e.select(F.concat(F.lit("inc-"), F.col("user_id") % 40).alias("incident_id"), F.concat(F.lit("svc"), F.col("user_id") % 40 % 6).alias("root_service")).distinct()
     return S.decide_once(rq, inc)
 
 
-# failures: errors with an even k; a day-long window because the fixture is sparse
-_FAIL = ALERTS + """, fa AS (SELECT * FROM al0 WHERE k % 2 = 0), roll AS (SELECT tenant_id, namespace, service, t, count(*) OVER (PARTITION BY tenant_id, namespace, service ORDER BY t RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW) AS n FROM fa),
+# failures: errors with a small k; a day-long window because the fixture is sparse
+_FAIL = ALERTS + """, fa AS (SELECT * FROM al0 WHERE k < 50), roll AS (SELECT tenant_id, namespace, service, t, count(*) OVER (PARTITION BY tenant_id, namespace, service ORDER BY t RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW) AS n FROM fa),
   opn AS (SELECT DISTINCT tenant_id, namespace, service, t, n FROM roll WHERE n >= 3)"""
 
 
 def _failures(spark, sf):
-    return X.alerts(spark, sf).where("k % 2 = 0")
+    return X.alerts(spark, sf).where("k < 50")
 
 
 @query("g5_circuit_breaker", with_(_FAIL, "f AS (SELECT tenant_id, namespace, service, min(t) AS opened_at FROM opn GROUP BY 1, 2, 3)")

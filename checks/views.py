@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from mendstream.operators import timeseries as TS
 from mendstream.plans import fixtures as X
 from mendstream.plans.detect import aligned_windows
+from mendstream.session import reuse
 
 
 def grid(spark, sf) -> DataFrame:
-    return aligned_windows(X.telemetry(spark, sf), X.BIN, X.WINDOW)
+    return reuse(aligned_windows(X.telemetry(spark, sf), X.BIN, X.WINDOW))
 
 
 def split(spark, sf) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from mendstream.functions.scalars import series_name
 from mendstream.operators import detectors as D, timeseries as TS
 from mendstream.plans.fixtures import SERVICES
+from mendstream.session import reuse
 
 WIN = TS.WIN
 
@@ -33,8 +34,8 @@ def trigger_metric(df: DataFrame, anchors: DataFrame, services: DataFrame | None
 
 def first_anomalies(points: DataFrame, width: int, window: int, detector: str | None = "bocpd") -> DataFrame:
     """One row per window: first flagged row after the live baseline (-1 if none), severity and trigger metric."""
-    df = TS.baseline_split(aligned_windows(points, width, window))
-    flags = D.detect(df, detector, max_rows=window // width)
+    df = reuse(TS.baseline_split(aligned_windows(points, width, window)))
+    flags = reuse(D.detect(df, detector, max_rows=window // width))
     start = df.groupBy(*WIN).agg(F.min("baseline_len").alias("search_start"))
     found = TS.first_detection(flags, start)
     at = flags.select(*WIN, F.col("row").alias("anomaly_row"), "t", "score")

@@ -37,8 +37,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> N
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint where a folder is known, else leave the plan as it is."""
+    """Keep a frame that several branches of a plan read.
+
+    With a checkpoint folder it is written there and its lineage cut; without one it is persisted, and
+    blocks of a lost executor are computed again.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         return df.checkpoint()
-    return df
+    return df.persist()
