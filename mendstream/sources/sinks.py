@@ -1,7 +1,7 @@
 """Sinks: audit records, escalations and the alert queue."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scrub import scrub_struct
@@ -31,10 +31,10 @@ def escalations(openings: DataFrame, window: int = fixed.BREAKER_WINDOW) -> Data
     return openings.select(F.concat_ws("#", F.lit("cb"), "tenant_id", "namespace", "service").alias("key"), F.to_json(body).alias("value"))
 
 
-def alert_messages(alerts: DataFrame, key: Column) -> DataFrame:
-    """Accepted alerts, scrubbed, as queue messages ``key, value``."""
-    cols = alerts.columns
-    return scrub_struct(alerts.withColumn("_key", key), cols).select(F.col("_key").alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+def alert_messages(alerts: DataFrame, key: str) -> DataFrame:
+    """Accepted alerts, scrubbed, as queue messages ``key, value``; the key column stays out of the body."""
+    body = [c for c in alerts.columns if c != key]
+    return scrub_struct(alerts, body).select(F.col(key).alias("key"), F.to_json(F.struct(*body)).alias("value"))
 
 
 def append_messages(path: str):
