@@ -46,3 +46,13 @@ def reuse(df: DataFrame) -> DataFrame:
     if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         return df.checkpoint()
     return df.persist()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a local temporary one only where none is named (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="mendstream-")
