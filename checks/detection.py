@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.ctes import EV, LIVE, with_
-from checks.views import rounded, split
+from checks.views import kept, rounded, split
 from mendstream.operators import detectors as D, templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
 from mendstream.plans.detect import first_anomalies
@@ -36,7 +36,7 @@ def _(spark, sf):
   SELECT tenant_id, window_id, row, is_anomaly FROM det UNION ALL SELECT tenant_id, window_id, row, v > 280 FROM split WHERE series LIKE '%mem')
   JOIN (SELECT DISTINCT tenant_id, window_id, row, t FROM grid) USING (tenant_id, window_id, row) GROUP BY 1, 2, 3, 4""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     kpi = D.ewma_detect(D.kpi_series(d), k=3.0, max_rows=120)
     other = d.where(F.col("series").endswith("mem")).withColumn("is_anomaly", F.col("v") > 280).withColumn("score", F.lit(0.0))
     return D.combine_flags(other, kpi).drop("score")
@@ -50,7 +50,7 @@ def _(spark, sf):
 
 @query("b8_split_kpi_resource", with_(LIVE) + """SELECT DISTINCT tenant_id, window_id, series, CASE WHEN series LIKE '%latency%' OR series LIKE '%error%' THEN 'kpi' ELSE 'resource' END AS kind FROM split""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     kpi, res = D.kpi_series(d), D.resource_series(d)
     names = lambda x, k: x.select(*TS.SERIES, F.lit(k).alias("kind")).distinct()
     return names(kpi, "kpi").unionByName(names(res, "resource"))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.ctes import EV, LOGS, Z, with_
-from checks.views import anchors, plain, rounded, split
+from checks.views import anchors, kept, plain, rounded, split
 from mendstream import fixed
 from mendstream.operators import rca as R, templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
@@ -71,19 +71,19 @@ def _(spark, sf):
 
 @query("e2_robust_rank", with_(RANK) + "SELECT tenant_id, window_id, series, round(score, 6) AS score, rank FROM ranks")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return rounded(_ranks(d, anchors(d)), "score")
 
 
 @query("e3_service_topk", with_(RANK) + """SELECT * FROM (SELECT tenant_id, window_id, series[:4] AS service, min(rank) AS best_rank, CAST(row_number() OVER (PARTITION BY tenant_id, window_id ORDER BY min(rank)) AS INT) AS position FROM ranks GROUP BY 1, 2, 3) WHERE position <= 5""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return R.service_topk(_ranks(d, anchors(d)), _SVCS)
 
 
 @query("e4_metric_log_correlation", with_(CORR) + "SELECT tenant_id, window_id, series, tpl AS template, round(r, 6) + 0.0 AS r FROM cr")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     c, tpl = _corr(spark, sf, d, anchors(d))
     name = F.concat("container_name", F.when(F.col("is_error"), " E").otherwise(" P"))
     c = c.join(tpl.select("tenant_id", "template_id", name.alias("template")), ["tenant_id", "template_id"])
@@ -92,7 +92,7 @@ def _(spark, sf):
 
 @query("e5_service_scores", with_(SERVICE) + "SELECT tenant_id, window_id, service, round(score, 6) AS score, position FROM svr")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d)
     c, tpl = _corr(spark, sf, d, a)
     return rounded(R.service_scores(_z(d, a), c, tpl, _SVCS), "score")
@@ -106,7 +106,7 @@ def _inferred(d, a):
 
 @query("e6_infer_fault", with_(FAULT) + """SELECT tenant_id, window_id, target_service, fault, round(score, 6) AS fault_score, lead, round(lead_z, 6) AS lead_z FROM fb JOIN best USING (tenant_id, window_id) WHERE n = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return rounded(_inferred(d, anchors(d))[0].drop("scores"), "fault_score", "lead_z")
 
 
@@ -114,7 +114,7 @@ def _(spark, sf):
 @query("e7_fault_fallback", with_(FAULT) + f"""SELECT tenant_id, window_id, target_service, CASE WHEN score >= 6 THEN fault ELSE {_FAM.format(x='top')} END AS fault, CASE WHEN score >= 6 THEN lead ELSE top END AS lead
 FROM fb JOIN best USING (tenant_id, window_id) JOIN (SELECT tenant_id, window_id, series AS top FROM ranks WHERE rank = 1) USING (tenant_id, window_id) WHERE n = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     inf, ranks = _inferred(d, anchors(d))
     return R.fault_fallback(inf, ranks, _SVCS, least=6.0).select(*WIN, "target_service", "fault", "lead")
 
@@ -133,7 +133,7 @@ _REASON = """'[BARO RCA] Diagnosed ' || target_service || ' (' || fault || ') as
   c AS (SELECT tenant_id, window_id, string_agg(series, ', ' ORDER BY rank) AS c FROM ranks WHERE rank <= 3 GROUP BY 1, 2)
 SELECT tenant_id, window_id, {_REASON} AS reasoning FROM fb JOIN best USING (tenant_id, window_id) JOIN x USING (tenant_id, window_id) JOIN c USING (tenant_id, window_id) WHERE n = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d)
     return R.rca_rank(d, a, _z(d, a), None, _SVCS).select(*WIN, "reasoning")
 
@@ -141,7 +141,7 @@ def _(spark, sf):
 @query("e10_rca_rank", with_(FAULT) + """SELECT tenant_id, window_id, 'rank' AS engine, target_service, fault, 0.9 AS confidence, k AS service_top_k FROM fb JOIN best USING (tenant_id, window_id)
 JOIN (SELECT tenant_id, window_id, string_agg(s, ',' ORDER BY r) FILTER (n <= 5) AS k FROM (SELECT tenant_id, window_id, series[:4] AS s, min(rank) AS r, row_number() OVER (PARTITION BY tenant_id, window_id ORDER BY min(rank)) AS n FROM ranks GROUP BY 1, 2, 3) GROUP BY 1, 2) USING (tenant_id, window_id) WHERE n = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d)
     z = _z(d, a)
     out = R.rca(R.rca_rank(d, a, z, None, _SVCS), R.rca_score(z, None, None, _SVCS))
@@ -151,7 +151,7 @@ def _(spark, sf):
 @query("e10_rca_score", with_(SERVICE) + """SELECT tenant_id, window_id, 'score' AS engine, CASE WHEN score > 0 THEN service ELSE 'svc0' END AS target_service,
   round(CASE WHEN score > 0 THEN least(0.95, 0.70 + score / 200) ELSE 0.5 END, 6) AS confidence FROM svr WHERE position = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d)
     c, tpl = _corr(spark, sf, d, a)
     out = R.rca_score(_z(d, a), c, tpl.withColumn("window_id", F.explode(F.array(F.lit(-1).cast("long")))), _SVCS)

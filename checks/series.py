@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.ctes import ALERTS, BINS, EV, GRID, LIVE, LOGS, STATS, TEL, Z, with_
-from checks.views import anchors, grid, plain, rounded, split
+from checks.views import anchors, grid, kept, plain, rounded, split
 from mendstream.functions.scalars import series_name
 from mendstream.operators import templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
@@ -81,26 +81,26 @@ def _(spark, sf):
 
 @query("c7_deviation", with_(Z) + "SELECT tenant_id, window_id, series, round(z, 6) AS z FROM zs")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return rounded(TS.deviation(d, TS.baseline_stats(d), anchors(d)), "z")
 
 
 @query("c8_rolling_mean", with_(LIVE, "sl AS (SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE row BETWEEN anomaly_row - 30 AND anomaly_row + 10)")
        + """SELECT tenant_id, window_id, t, row, series, round(avg(v) OVER (PARTITION BY tenant_id, window_id, series ORDER BY row ROWS BETWEEN 14 PRECEDING AND CURRENT ROW), 6) AS v FROM sl""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return rounded(TS.rolling_mean(TS.slice_around(plain(d), anchors(d), 30, 10)), "v")
 
 
 @query("c9_slice_around", with_(LIVE) + "SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE g.row BETWEEN anomaly_row - 120 AND anomaly_row + 30")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return TS.slice_around(plain(d), anchors(d), 120, 30)
 
 
 @query("c9_slice_seconds", with_(LIVE) + "SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE g.t BETWEEN anchor_t - 43200 AND anchor_t + 10800")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     return TS.slice_around(plain(d), anchors(d), 43200, 10800, by="t")
 
 
@@ -123,7 +123,7 @@ def _flags(g):
 @query("c11_first_detection", with_(_FLAGS) + """SELECT tenant_id, window_id, CAST(coalesce(min(row) FILTER (is_anomaly AND row >= baseline_len), -1) AS INT) AS anomaly_row,
   count(*) FILTER (is_anomaly) AS n_flagged FROM fl JOIN wins USING (tenant_id, window_id) GROUP BY 1, 2""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     start = d.groupBy(*TS.WIN).agg(F.min("baseline_len").alias("search_start"))
     return TS.first_detection(_flags(d), start)
 
@@ -136,7 +136,7 @@ SELECT tenant_id, window_id, CAST(row AS BIGINT) AS row, CAST(n AS INT) AS candi
 def _(spark, sf):
     from mendstream.operators.states import detection_candidates
 
-    d = split(spark, sf)
+    d = kept(spark, sf)
     start = anchors(d).select(*TS.WIN, F.greatest(F.lit(0), F.col("anomaly_row") - 30).alias("search_start"))
     return detection_candidates(_flags(d), start)
 
@@ -236,7 +236,7 @@ def _(spark, sf):
   d AS (SELECT *, abs(trigger_value - mean) / std AS dev FROM p WHERE std > 0)""") + """
 SELECT tenant_id, window_id, series AS trigger_metric, trigger_value, round(dev, 6) AS dev FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, window_id ORDER BY dev DESC, series) AS r FROM d WHERE dev > 0) WHERE r = 1""")
 def _(spark, sf):
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d)
     svc = a.select(*TS.WIN, F.when(F.col("tenant_id").isin("tenant-0", "tenant-2"), "svc2").otherwise("svc3").alias("target_service"))
     return rounded(trigger_metric(d, a, svc), "dev")
@@ -252,7 +252,7 @@ SELECT tenant_id, window_id, CAST(rank AS INT) AS rank, kind, item, z FROM m WHE
 def _(spark, sf):
     from mendstream.operators.rca import evidence
 
-    d = split(spark, sf)
+    d = kept(spark, sf)
     a = anchors(d).withColumn("target_service", F.lit("svc2"))
     lg = X.logs(spark, sf).withColumn("window_id", F.expr(f"t div {X.WINDOW}"))
     return evidence(d, a, lg)

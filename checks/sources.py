@@ -1,4 +1,4 @@
-"""A: readers and sinks, on texts that Spark derives from the given tables."""
+"""A: readers and sinks, on texts that Spark derives from the given tables and writes first, as a source would."""
 import uuid
 
 from pyspark.sql import functions as F
@@ -7,14 +7,15 @@ from checks import query
 from checks.ctes import ALERTS, EV, LOGS, TEL, with_
 from mendstream.operators import audit as J
 from mendstream.plans import fixtures as X
-from mendstream.session import scratch_dir
+from mendstream.session import reuse, scratch_dir
 from mendstream.sources import profile as P, readers as R, sinks
 
-_SVC = F.concat(F.lit("svc"), F.col("user_id") % 6)
+def _svc():
+    return F.concat(F.lit("svc"), F.col("user_id") % 6)
 
 
 def _run_path(name):
-    return F.concat(F.lit("/data/"), _SVC, F.lit("_"), F.when(F.col("k") < 50, "cpu").otherwise("mem"), F.lit("/"), F.col("k") % 3 + 1, F.lit(f"/{name}"))
+    return F.concat(F.lit("/data/"), _svc(), F.lit("_"), F.when(F.col("k") < 50, "cpu").otherwise("mem"), F.lit("/"), F.col("k") % 3 + 1, F.lit(f"/{name}"))
 
 
 _PATH = "'/data/svc' || (user_id % 6) || '_' || CASE WHEN k < 50 THEN 'cpu' ELSE 'mem' END || '/' || (k % 3 + 1) || '/'"
@@ -26,7 +27,7 @@ UNION ALL SELECT {_RUN}, t, 'db', 'db_' || CASE WHEN k < 50 THEN 'latency' ELSE
 def _(spark, sf):
     e = X.events(spark, sf).withColumn("path", _run_path("simple_metrics.csv"))
     rows = e.select("path", F.concat_ws(",", "t", "value", F.when(F.col("event_type") == "error", F.when(F.col("k") < 50, "NaN").otherwise("")).otherwise(F.col("k").cast("string"))).alias("line"))
-    head = e.select("path", F.concat(F.lit("time,"), _SVC, F.lit("_cpu,db_"), F.when(F.col("k") < 50, "latency").otherwise("error")).alias("line")).distinct()
+    head = e.select("path", F.concat(F.lit("time,"), _svc(), F.lit("_cpu,db_"), F.when(F.col("k") < 50, "latency").otherwise("error")).alias("line")).distinct()
     return R.parse_metric_csv(rows.unionByName(head)).select("run_key", "t", "service", "signal_name", "value_num")
 
 
@@ -47,7 +48,7 @@ def _pod_lines(spark, sf):
         F.when(F.col("k") == 0, F.concat(iso, F.lit("Z  "))).when(F.col("k") == 1, F.concat(F.lit("no time "), msg)).when(F.col("k") == 2, F.lit("alone"))
         .when(F.col("k") % 2 == 0, F.concat(iso, F.lit("."), F.lpad(F.col("k").cast("string"), 2, "0"), F.lit("3456789Z "), msg)).otherwise(F.concat(iso, F.lit("+02:00 "), msg))
     )
-    return e.select("event_id", "user_id", "k", line.alias("line"))
+    return reuse(e.select("event_id", "user_id", "k", line.alias("line")))
 
 
 @query("a3_parse_k8s_log_lines", with_(EV) + """SELECT event_id, CAST(CASE WHEN k IN (1, 2) THEN 0 WHEN k % 2 = 0 THEN t * 1000000 + k * 10000 + 3456 ELSE (t - 7200) * 1000000 END AS BIGINT) AS micros,
@@ -63,7 +64,7 @@ def _matrix(spark, sf):
     s = lambda pod, v1, v2: F.concat(F.lit('{"metric":{"pod":"'), pod, F.lit('"},"values":[['), F.col("t"), F.lit(',"'), v1, F.lit('"],['), F.col("t") + 15, F.lit(',"'), v2, F.lit('"]]}'))
     body = F.concat(F.lit('{"status":"'), F.when(F.col("k") == 0, "error").otherwise("success"), F.lit('","data":{"resultType":"matrix","result":['),
                     s(F.concat(F.lit("pod-"), F.col("user_id") % 9), F.col("value").cast("string"), F.lit("bad")), F.lit(","), s(F.lit("pod-x"), F.col("k").cast("string"), F.lit("1")), F.lit("]}}"))
-    return e.select(F.lit("t").alias("tenant_id"), F.lit("n").alias("namespace"), F.lit("cpu").alias("signal_name"), body.alias("json"))
+    return reuse(e.select(F.lit("t").alias("tenant_id"), F.lit("n").alias("namespace"), F.lit("cpu").alias("signal_name"), body.alias("json")))
 
 
 _POD_ROWS = """SELECT t, CASE WHEN user_id % 9 < 5 THEN 'svc' || (user_id % 9) ELSE 'pod-' || (user_id % 9) END AS service, value AS value_num FROM ev WHERE k <> 0"""
@@ -97,7 +98,7 @@ def _bodies(spark, sf):
     p = lambda sig, v: F.concat(F.lit('{"ts":"'), iso, F.lit('","tenant_id":"t'), F.col("user_id") % 4, F.lit('","service":"s","signal_name":"'), F.lit(sig), F.lit('","value":'), v, F.lit(',"labels":{"system":"x"}}'))
     body = F.concat(F.lit('{"correlation_id":"c'), F.col("event_id"), F.lit('","idempotency_key":"i'), F.col("event_id"), F.lit('","dry_run_mode":'), (F.col("k") < 50).cast("string"), F.lit(',"telemetry_window":['),
                     p("cpu", F.col("value").cast("string")), F.lit(","), p("application_log_event", F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))), F.lit("]}"))
-    return X.events(spark, sf).select(body.alias("json"))
+    return reuse(X.events(spark, sf).select(body.alias("json")))
 
 
 @query("a7_read_push_windows", with_(EV) + """SELECT 'i' || event_id AS idempotency_key, k < 50 AS dry_run_mode, i AS point_index, t, 't' || (user_id % 4) AS tenant_id, CASE WHEN i = 0 THEN 'cpu' ELSE 'application_log_event' END AS signal_name,
@@ -150,7 +151,7 @@ def _files(spark, sf):
     """File paths of run folders; which files exist follows from the events of the folder."""
     name = F.when(F.col("event_type") == "click", "inject_time.txt").when(F.col("event_type") == "view", "metrics.csv").when(F.col("value") < 150, "simple_metrics.csv").when(F.col("value") > 250, "logs.csv").otherwise("notes.md")
     run = F.when(F.col("k") == 99, F.lit("latest")).otherwise((F.col("user_id") * 3 + F.col("k") % 3).cast("string"))
-    return X.events(spark, sf).select(F.concat(F.lit("/data/"), _SVC, F.lit("_cpu/"), run, F.lit("/"), name).alias("path"), "t", "k")
+    return X.events(spark, sf).select(F.concat(F.lit("/data/"), _svc(), F.lit("_cpu/"), run, F.lit("/"), name).alias("path"), "t", "k")
 
 
 _FILES = EV + """, fs AS (SELECT 'svc' || (user_id % 6) || '_cpu/' || (user_id * 3 + k % 3) AS run_key, CASE WHEN event_type = 'click' THEN 'inject_time.txt' WHEN event_type = 'view' THEN 'metrics.csv' WHEN value < 150 THEN 'simple_metrics.csv' WHEN value > 250 THEN 'logs.csv' END AS f, t, k FROM ev WHERE k <> 99),

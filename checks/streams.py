@@ -53,13 +53,13 @@ def _(spark, sf):
     return run(ST.stream_incidents(ev, up))
 
 
-@query("d1_stream_ewma", "WITH RECURSIVE " + TEL + """, b AS (SELECT tenant_id, service, t, arg_max(value_num, seq) AS v FROM tel WHERE signal_name = 'service_latency_p95' GROUP BY 1, 2, 3),
-  n AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, service ORDER BY t) AS i FROM b),
-  ew AS (SELECT tenant_id, service, t, i, v AS y FROM n WHERE i = 1 UNION ALL SELECT n.tenant_id, n.service, n.t, n.i, 0.1 * n.v + 0.9 * ew.y FROM ew JOIN n ON n.tenant_id = ew.tenant_id AND n.service = ew.service AND n.i = ew.i + 1)
-SELECT tenant_id, service AS series, t, round(sqrt(y), 6) AS ewma FROM ew""")
+@query("d1_stream_ewma", "WITH RECURSIVE " + TEL + """, b AS (SELECT tenant_id, service, t, seq, value_num AS v FROM tel WHERE signal_name = 'service_latency_p95'),
+  n AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, service ORDER BY t, seq) AS i FROM b),
+  ew AS (SELECT tenant_id, service, t, seq, i, v AS y FROM n WHERE i = 1 UNION ALL SELECT n.tenant_id, n.service, n.t, n.seq, n.i, 0.1 * n.v + 0.9 * ew.y FROM ew JOIN n ON n.tenant_id = ew.tenant_id AND n.service = ew.service AND n.i = ew.i + 1)
+SELECT tenant_id, service AS series, t, seq, round(sqrt(y), 6) AS ewma FROM ew""")
 def _(spark, sf):
-    p = source(spark, sf).where("event_type = 'view'").select("tenant_id", F.col("service").alias("series"), "t", F.col("value").alias("v"))
-    return run(ST.stream_ewma(p)).select("tenant_id", "series", "t", F.round(F.sqrt("ewma"), 6).alias("ewma"))
+    p = source(spark, sf).where("event_type = 'view'").select("tenant_id", F.col("service").alias("series"), "t", F.col("event_id").alias("seq"), F.col("value").alias("v"))
+    return run(ST.stream_ewma(p)).select("tenant_id", "series", "t", "seq", F.round(F.sqrt("ewma"), 6).alias("ewma"))
 
 
 # the last window stays open: the watermark has not passed its end

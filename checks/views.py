@@ -10,13 +10,18 @@ from mendstream.session import reuse
 
 
 def grid(spark, sf) -> DataFrame:
-    return reuse(aligned_windows(X.telemetry(spark, sf), X.BIN, X.WINDOW))
+    return aligned_windows(X.telemetry(spark, sf), X.BIN, X.WINDOW)
 
 
 def split(spark, sf) -> DataFrame:
     return TS.baseline_split(grid(spark, sf))
 
 
+def kept(spark, sf) -> DataFrame:
+    """The split frame written once, for queries that read it in several branches."""
+    return reuse(split(spark, sf))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """The aligned frame's own columns."""
     return df.select(*TS.WIN, "t", "row", "series", "v")

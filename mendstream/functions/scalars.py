@@ -1,6 +1,7 @@
 """Column -> Column functions: names, units, labels and text of the healing loop."""
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,24 +29,28 @@ def series_name(service: Column, signal: Column, services: list[str],
     return F.when(reduce(lambda a, b: a | b, starts, F.lit(False)), signal).otherwise(F.concat_ws("_", service, signal))
 
 
+def _any_of(tokens: list[str]) -> str:
+    return "|".join(re.escape(t) for t in tokens)
+
+
 def fault_groups(text: Column, families: dict[str, list[str]] = fixed.FAULT_TOKENS) -> Column:
     """All families with a token inside the text, in family order."""
     low = F.lower(text)
-    hits = [
-        F.when(reduce(lambda a, b: a | b, [low.contains(t) for t in tokens]), F.lit(name))
-        for name, tokens in families.items()
-    ]
-    return F.array_compact(F.array(*hits))
+    return F.array_compact(F.array(*[F.when(low.rlike(_any_of(tokens)), F.lit(name)) for name, tokens in families.items()]))
+
+
+def _prefix(services: list[str]) -> str:
+    """A known service, the longest first, that ends at an underscore or at the end of the text."""
+    known = _any_of(sorted((s.lower() for s in services), key=len, reverse=True))
+    return f"(?:{known})(?=_|$)" if services else "(?!)"
 
 
 def series_service(series: Column, services: list[str]) -> Column:
     """Longest known service that prefixes the series, else the text before the first underscore."""
-    low = F.lower(series)
-    known = [
-        F.when(low.startswith(s.lower() + "_") | (low == s.lower()), F.lit(s))
-        for s in sorted(services, key=len, reverse=True)
-    ]
-    return F.coalesce(*known, F.substring_index(series, "_", 1))
+    if not services:
+        return F.substring_index(series, "_", 1)
+    found = F.regexp_extract(F.lower(series), f"^({_prefix(services)})", 1)
+    return lookup(found, {s.lower(): s for s in services}, F.substring_index(series, "_", 1))
 
 
 def series_suffix(series: Column, service: Column) -> Column:
@@ -53,11 +58,11 @@ def series_suffix(series: Column, service: Column) -> Column:
     return F.when(low.startswith(F.concat(svc, F.lit("_"))), low.substr(F.length(svc) + 2, F.length(low))).otherwise(low)
 
 
-def series_fault(series: Column, services: list[str]) -> Column:
+def series_fault(series: Column, services: list[str], families: dict[str, list[str]] = fixed.FAULT_TOKENS) -> Column:
     """First matching family of the part after the service; cpu when there is none."""
-    low, svc = F.lower(series), F.lower(series_service(series, services))
-    rest = F.when(low.startswith(svc), low.substr(F.length(svc) + 2, F.length(low))).otherwise(low)
-    return F.coalesce(F.try_element_at(fault_groups(rest), F.lit(1)), F.lit("cpu"))
+    rest = F.regexp_replace(F.lower(series), f"^(?:{_prefix(services)}|[^_]*)_?", "")
+    hits = [F.when(rest.rlike(_any_of(tokens)), F.lit(name)) for name, tokens in families.items()]
+    return F.coalesce(*hits, F.lit("cpu"))
 
 
 def is_kpi(series: Column) -> Column:

@@ -1,6 +1,7 @@
 """Secrets and personal data removed from text and from nested columns."""
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -8,8 +9,26 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from mendstream import fixed
 
 
+# fixed values: literals (in lower case) of which a text needs one for the rule of this place to match at all
+RULE_HINTS = [["bearer"], ["basic"], ["akia", "asia", "aida"], None, ["pass", "pwd", "key", "token"], ["@"], None]
+
+
 def scrub(text: Column, rules: list[tuple[str, str]] = fixed.SCRUB_RULES) -> Column:
-    return reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), rules, text)
+    """All rules in order. A rule whose literal does not occur in the text is not tried."""
+    hints = {r[0]: h for r, h in zip(fixed.SCRUB_RULES, RULE_HINTS)}
+
+    def let(c: Column, body: Callable[[Column], Column]) -> Column:
+        """Bind a value that ``body`` uses more than once, so that it is computed once."""
+        return F.transform(F.array(c), body)[0]
+
+    def one(c: Column, rule: tuple[str, str], low: Column) -> Column:
+        words = hints.get(rule[0])
+        if not words:
+            return F.regexp_replace(c, rule[0], rule[1])
+        maybe = reduce(lambda a, b: a | b, [low.contains(w) for w in words])
+        return let(c, lambda x: F.when(maybe, F.regexp_replace(x, rule[0], rule[1])).otherwise(x))
+
+    return let(text, lambda t: let(F.lower(t), lambda low: reduce(lambda c, rule: one(c, rule, low), rules, t)))
 
 
 def _sensitive_name(name: str) -> bool:

@@ -4,26 +4,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mendstream import fixed
-from mendstream.functions.scrub import scrub
+from mendstream.functions.scrub import scrub_struct
 
 AUDIT_COLUMNS = ["event_type", "tenant_id", "correlation_id", "epoch", "action", "target", "status", "error", "details"]
+TEXT_COLUMNS = ["action", "target", "status", "error", "details"]
 
 
 def audit_record(event_type: str, df: DataFrame, status: Column, action: Column | None = None, target: Column | None = None,
                  error: Column | None = None, details: Column | None = None) -> DataFrame:
-    """Rows of one event type; text is scrubbed. Needs ``tenant_id, correlation_id, epoch``."""
-    none = F.lit(None).cast("string")
-
-    def clean(c: Column | None) -> Column:
-        return none if c is None else scrub(c)
-
-    return df.select(
-        F.lit(event_type).alias("event_type"), "tenant_id", "correlation_id", "epoch", clean(action).alias("action"), clean(target).alias("target"),
-        clean(status).alias("status"), clean(error).alias("error"), clean(details).alias("details"))
+    """Rows of one event type, not yet scrubbed. Needs ``tenant_id, correlation_id, epoch``."""
+    text = {"action": action, "target": target, "status": status, "error": error, "details": details}
+    cols = [(F.lit(None).cast("string") if c is None else c).alias(name) for name, c in text.items()]
+    return df.select(F.lit(event_type).alias("event_type"), "tenant_id", "correlation_id", "epoch", *cols)
 
 
 def audit_events(stages: dict[str, DataFrame], source: str = "self-heal-worker") -> DataFrame:
-    """All stage tables as one audit stream with date columns for the sink.
+    """All stage tables as one scrubbed audit stream with date columns for the sink.
 
     Keys: incident, detect, decide, execute_start, execute_done, verify, rollback, escalate, breaker;
     each may be left out.
@@ -46,7 +42,7 @@ def audit_events(stages: dict[str, DataFrame], source: str = "self-heal-worker")
         part = build[name](df)
         out = part if out is None else out.unionByName(part)
     ts = F.timestamp_seconds("epoch")
-    return out.select(
+    return scrub_struct(out, TEXT_COLUMNS).select(
         *AUDIT_COLUMNS, F.lit(source).alias("source"), F.lit("1.0").alias("version"), F.date_format(ts, "yyyy").alias("year"),
         F.date_format(ts, "MM").alias("month"), F.date_format(ts, "dd").alias("day"))
 

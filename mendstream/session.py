@@ -1,7 +1,10 @@
 """Session settings used by the library."""
 from __future__ import annotations
 
+import functools
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,7 @@ def build_session(app: str = "mendstream", master: str | None = None, partitions
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         b = b.master(master).config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
@@ -26,33 +30,22 @@ def build_session(app: str = "mendstream", master: str | None = None, partitions
     return b.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> None:
-    """Use the folder the cluster names; set ``fallback`` only where none is named."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named or fallback:
-        sc.setCheckpointDir(named or fallback)
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep a frame that several branches of a plan read.
-
-    With a checkpoint folder it is written there and its lineage cut; without one it is persisted, and
-    blocks of a lost executor are computed again.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return df.checkpoint()
-    return df.persist()
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local temporary one only where none is named (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    import tempfile
+    return named.rstrip("/") if named else _local_scratch()
 
+
+@functools.cache
+def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="mendstream-")
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """A frame that several branches of a plan read, as a table in the shared folder.
+
+    It is computed once, its lineage is cut for planner and recovery alike, and readers prune its columns.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/reuse-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -32,7 +32,7 @@ def parse_profiles(df: DataFrame, json: str = "json") -> dict[str, DataFrame]:
 
 
 def load_platform_profile(spark: SparkSession, paths: str | list[str]) -> dict[str, DataFrame]:
-    return parse_profiles(spark.read.option("wholetext", True).text(paths).withColumnRenamed("value", "json"))
+    return parse_profiles(spark.read.text(paths, wholetext=True).withColumnRenamed("value", "json"))
 
 
 def flat_runbooks(books: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def load_runbooks(spark: SparkSession, profile: DataFrame | None = None, path: s
     if profile is not None and profile.take(1):
         return flat_runbooks(profile)
     if path:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         books = text.select(F.explode(F.from_json("value", f"map<string,struct<{RUNBOOK.replace(' string', ':string').replace(' array', ':array').replace(' struct', ':struct')}>>")).alias("k", "r"))
         return flat_runbooks(books.select("r.*"))
     return catalog_runbooks(spark, only_default=not catalog)

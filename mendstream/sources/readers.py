@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scalars import pod_service_name
+from mendstream.functions.validate import RFC3339
 
 POINT = ["t", "tenant_id", "service", "signal_name", "value_num", "value_str", "labels"]
 RUN_PATH = r"([^/]+)/(\d+)/[^/]+$"
@@ -50,7 +51,7 @@ def run_key(path: Column) -> Column:
 
 
 def read_metric_runs(spark: SparkSession, root: str, name: str = "simple_metrics.csv", tenant_id: str = "benchmark") -> DataFrame:
-    lines = spark.read.text(f"{root}/*/*/{name}").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    lines = spark.read.text(f"{root}/*/[0-9]*/{name}").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
     return parse_metric_csv(lines, tenant_id)
 
 
@@ -72,7 +73,7 @@ def parse_run_logs(rows: DataFrame, tenant_id: str = "benchmark") -> DataFrame:
 def read_log_runs(spark: SparkSession, root: str, tenant_id: str = "benchmark") -> DataFrame:
     rows = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False)
-        .schema("timestamp string, container_name string, message string, level string").csv(f"{root}/*/*/logs.csv")
+        .schema("timestamp string, container_name string, message string, level string").csv(f"{root}/*/[0-9]*/logs.csv")
     )
     return parse_run_logs(rows.select("*", F.col("_metadata.file_path").alias("path")), tenant_id)
 
@@ -109,7 +110,7 @@ def ground_truth(files: DataFrame, inject: DataFrame, strict: bool = False) -> D
 def scan_ground_truth(spark: SparkSession, root: str, strict: bool = False) -> DataFrame:
     # only names are needed, the content column is pruned away
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    inject = spark.read.option("wholetext", True).text(f"{root}/*/*/inject_time.txt").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    inject = spark.read.text(f"{root}/*/[0-9]*/inject_time.txt", wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     return ground_truth(files, inject, strict)
 
 
@@ -122,12 +123,10 @@ def parse_k8s_log_lines(df: DataFrame, line: str = "line", read_at: Column | Non
     A line without a readable time keeps its whole text and takes the time it was read.
     """
     read_at = F.current_timestamp() if read_at is None else read_at
-    pattern = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})(?:\.(\d{1,6})\d*)?(Z|[+-]\d{2}:\d{2})? (.*)$"
-    part = lambda i: F.regexp_extract(line, "(?s)" + pattern, i)
-    text = F.concat(part(1), F.lit("."), F.rpad(part(2), 6, "0"), F.when(part(3) == "", "Z").otherwise(part(3)))
-    ts = F.when(part(1) != "", F.try_to_timestamp(text))
-    rest = F.when(F.col("ts").isNotNull(), part(4)).otherwise(F.col(line))
-    out = df.withColumn("ts", ts).withColumn("message", rest).withColumn("ts", F.coalesce("ts", read_at))
+    first = F.substring_index(line, " ", 1)
+    out = df.withColumn("ts", F.when(F.col(line).contains(" ") & first.rlike(RFC3339), F.try_to_timestamp(first)))
+    rest = F.substring(F.col(line), F.length(first) + 2, F.length(line))
+    out = out.withColumns({"message": F.when(F.col("ts").isNotNull(), rest).otherwise(F.col(line)), "ts": F.coalesce("ts", read_at)})
     return out.where(F.trim("message") != "")
 
 
@@ -150,10 +149,11 @@ def read_range_matrix(df: DataFrame, json: str = "json", pods: DataFrame | None
     Results that are not a success and unreadable values are skipped. ``pods`` (``pod, service``) names the
     service, else the pod does.
     """
-    d = df.withColumn("_j", F.from_json(json, MATRIX)).where(F.col("_j.status") == "success")
+    # the status is looked at inside the explode: a filter would be pushed below and parse the text twice
+    d = df.withColumn("_j", F.from_json(json, MATRIX))
     result = F.col("_j.data.result")
-    d = d.withColumn("_r", F.slice(result, 1, 1) if first_series_only else result)
-    d = d.select("tenant_id", "namespace", "signal_name", F.explode("_r").alias("s"))
+    found = F.when(F.col("_j.status") == "success", F.slice(result, 1, 1) if first_series_only else result)
+    d = d.select("tenant_id", "namespace", "signal_name", F.explode(found).alias("s"))
     d = d.select("*", F.col("s.metric")["pod"].alias("pod"), F.explode("s.values").alias("x"))
     t, v = F.try_element_at("x", F.lit(1)).try_cast("double"), F.try_element_at("x", F.lit(2)).try_cast("double")
     d = d.select("tenant_id", "namespace", "signal_name", "pod", F.floor(t).alias("t"), v.alias("value_num")).where("t IS NOT NULL AND value_num IS NOT NULL")

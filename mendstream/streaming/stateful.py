@@ -95,22 +95,22 @@ class MovingAverage(StatefulProcessor):
         self.y = handle.getValueState("y", "y double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("t")
+        pdf = pd.concat(list(rows)).sort_values(["t", "seq"])
         y = self.y.get()[0] if self.y.exists() else None
         out = []
         for v in pdf["v"]:
             y = float(v) if y is None else self.alpha * float(v) + (1 - self.alpha) * y
             out.append(y)
         self.y.update((y,))
-        yield pdf[["tenant_id", "series", "t", "v"]].assign(ewma=out)
+        yield pdf[["tenant_id", "series", "t", "seq", "v"]].assign(ewma=out)
 
     def close(self) -> None:
         pass
 
 
 def stream_ewma(points: DataFrame, alpha: float = fixed.EWMA_ALPHA) -> DataFrame:
-    return points.select("tenant_id", "series", "t", "v").groupBy("tenant_id", "series").transformWithStateInPandas(
-        MovingAverage(alpha), "tenant_id string, series string, t long, v double, ewma double", "Append", "None")
+    return points.select("tenant_id", "series", "t", "seq", "v").groupBy("tenant_id", "series").transformWithStateInPandas(
+        MovingAverage(alpha), "tenant_id string, series string, t long, seq long, v double, ewma double", "Append", "None")
 
 
 # -- window queries -------------------------------------------------------------------------------------------
