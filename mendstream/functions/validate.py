@@ -82,7 +82,7 @@ def alert_outcome(alerts: DataFrame, namespaces: DataFrame) -> DataFrame:
 
     The whole payload is not given up at its first violation; each alert gets its own outcome.
     """
-    dim = F.broadcast(namespaces.select("namespace", F.col("tenant_id").alias("expected_tenant")))
+    dim = namespaces.select("namespace", F.col("tenant_id").alias("expected_tenant"))
     outcome = (
         F.when(F.col("status") != "firing", "ignored_not_firing")
         .when(~F.col("alertname").isin(fixed.ADMITTED_ALERTS), "ignored_alert_name")

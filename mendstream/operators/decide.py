@@ -13,18 +13,14 @@ def match_runbook(contexts: DataFrame, mapping: DataFrame, runbooks: DataFrame,
 
     ``mapping``: fault, runbook; ``runbooks``: name and the runbook fields (both small configuration).
     """
-    books = runbooks.select(F.col("name").alias("runbook"), F.struct(*runbooks.columns).alias("book"))
-    fallback = books.where(F.col("runbook") == default).select(F.col("book").alias("_default"))
+    books = F.broadcast(runbooks.select(F.col("name").alias("matched_runbook"), F.struct(*runbooks.columns).alias("book")))
     if always_default:
-        return contexts.join(F.broadcast(fallback)).withColumnRenamed("_default", "book").withColumn("matched_runbook", F.col("book.name"))
-    dim = mapping.join(books, "runbook", "left").select(F.col("fault").alias("suspected_fault_type"), "book")
-    return (
-        contexts.join(F.broadcast(dim), "suspected_fault_type", "left")
-        # one row: the default runbook
-        .join(F.broadcast(fallback))
-        .withColumn("book", F.coalesce("book", "_default")).drop("_default")
-        .withColumn("matched_runbook", F.col("book.name"))
-    )
+        named = contexts.withColumn("matched_runbook", F.lit(default))
+    else:
+        known = mapping.join(books, F.col("runbook") == F.col("matched_runbook"), "left_semi")
+        dim = F.broadcast(known.select(F.col("fault").alias("suspected_fault_type"), F.col("runbook").alias("_runbook")))
+        named = contexts.join(dim, "suspected_fault_type", "left").withColumn("matched_runbook", F.coalesce("_runbook", F.lit(default))).drop("_runbook")
+    return named.join(books, "matched_runbook")
 
 
 def render_plan(matched: DataFrame) -> DataFrame:

@@ -119,11 +119,13 @@ def acceptance_gate(metrics: DataFrame, targets: DataFrame) -> DataFrame:
 
 def benchmark_report(summary: DataFrame, prf: DataFrame, per_fault: DataFrame) -> DataFrame:
     """The three aggregates as one nested JSON document (one row each, or one per fault)."""
-    s = summary.select(F.struct(*summary.columns).alias("summary"))
-    m = prf.select(F.struct(*prf.columns).alias("service_metrics"))
+    parts = summary.select(F.struct(*summary.columns).alias("summary"))
+    parts = parts.unionByName(prf.select(F.struct(*prf.columns).alias("service_metrics")), allowMissingColumns=True)
     # one row per fault family
-    f = per_fault.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("true_fault", F.struct("runs", "accuracy"))))).alias("fault_accuracy"))
-    return s.join(F.broadcast(m)).join(F.broadcast(f)).select(F.to_json(F.struct("summary", "service_metrics", "fault_accuracy")).alias("report"))
+    entries = F.array_sort(F.collect_list(F.struct("true_fault", F.struct("runs", "accuracy"))))
+    parts = parts.unionByName(per_fault.agg(F.map_from_entries(entries).alias("fault_accuracy")), allowMissingColumns=True)
+    names = ["summary", "service_metrics", "fault_accuracy"]
+    return parts.agg(*[F.first(n, ignorenulls=True).alias(n) for n in names]).select(F.to_json(F.struct(*names)).alias("report"))
 
 
 def quality_drift(weekly: DataFrame, baseline: DataFrame, tolerance: float = 0.05) -> DataFrame:

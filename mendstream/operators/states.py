@@ -19,7 +19,7 @@ def cooldown_dedup(alerts: DataFrame, cooldowns: DataFrame, key: list[str], by:
     Alerts are reduced to the first one per (key, second) before the fold, so a key has at most
     one row per second whatever its volume.
     """
-    dim = F.broadcast(cooldowns.select(by, F.col("cooldown").cast("long")))
+    dim = cooldowns.select(by, F.col("cooldown").cast("long"))
     d = alerts.join(dim, by, "left").withColumn("_gap", F.coalesce("cooldown", F.lit(default)) + 1).drop("cooldown")
     firsts = d.groupBy(*key, "t").agg(F.min("alert_id").alias("alert_id"), F.max("_gap").alias("_g"))
     taken = greedy_spacing(firsts.select(*key, "t", "_g"), key, "t", "_g")
@@ -71,7 +71,7 @@ def correlate_incidents(alerts: DataFrame, edges: DataFrame, closes: DataFrame |
     steps = firsts.withColumn("kind", F.lit(1))
     if closed is not None:
         steps = steps.unionByName(closed.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-    dim = F.broadcast(edges.groupBy("service").agg(F.array_sort(F.collect_set("depends_on")).alias("depends")))
+    dim = edges.groupBy("service").agg(F.array_sort(F.collect_set("depends_on")).alias("depends"))
     steps = steps.join(dim, "service", "left").select(
         "tenant_id", "t", "kind", F.coalesce("first_id", F.lit(-1)).alias("first_id"), F.coalesce("epoch", F.lit(-1)).alias("epoch"),
         "service", F.concat_ws(",", "depends").alias("depends"))
@@ -220,7 +220,7 @@ def tier_rate_limit(requests: DataFrame, tiers: DataFrame, seconds: int = 60) ->
     Per-second counts decide the border second of each window; only that second's
     requests are ranked, all others follow from the counts.
     """
-    dim = F.broadcast(tiers.select("tenant_id", "rate_limit"))
+    dim = tiers.select("tenant_id", "rate_limit")
     d = requests.withColumn("slot", F.expr(f"t div {seconds}"))
     per = d.groupBy("tenant_id", "slot", "t").agg(F.count("*").alias("n"))
     before = W.partitionBy("tenant_id", "slot").orderBy("t").rowsBetween(W.unboundedPreceding, -1)

@@ -35,7 +35,7 @@ def _cluster(rows: Iterator[tuple[int, list[str]]], similarity: float) -> Iterat
         yield item, best
 
 
-def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARITY, shard_size: int = 20000,
+def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARITY, shard_size: int = 5000,
                    keys: list[str] = ["tenant_id"]) -> tuple[DataFrame, DataFrame]:
     """Returns (messages, templates).
 
