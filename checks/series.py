@@ -8,6 +8,7 @@ from mendstream.functions.scalars import series_name
 from mendstream.operators import templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
 from mendstream.plans.detect import trigger_metric
+from mendstream.session import reuse
 
 
 @query("c1_bin_points", with_(BINS) + "SELECT * FROM bins")
@@ -29,7 +30,7 @@ SELECT tenant_id, CAST(0 AS BIGINT) AS window_id, t, row, series, coalesce(last_
 FROM ti JOIN (SELECT DISTINCT tenant_id, series FROM b) USING (tenant_id) LEFT JOIN b USING (tenant_id, t, series)""")
 def _(spark, sf):
     p = X.telemetry(spark, sf).withColumn("series", series_name(F.col("service"), F.col("signal_name"), X.SERVICES))
-    return plain(TS.align_series(TS.bin_points(p, X.BIN), block=86400))
+    return plain(TS.align_series(reuse(TS.bin_points(p, X.BIN)), block=86400))
 
 
 # every 7th sample becomes NaN, every 11th infinite

@@ -7,7 +7,7 @@ from checks import query
 from checks.ctes import ALERTS, EV, TEL, with_
 from mendstream.functions.scalars import series_name
 from mendstream.plans import fixtures as X
-from mendstream.session import ROCKSDB, scratch_dir
+from mendstream.session import ROCKSDB, reuse, scratch_dir
 from mendstream.streaming import stateful as ST
 
 
@@ -97,7 +97,7 @@ def _(spark, sf):
     pts = tel.select("ts", "t", "tenant_id", series_name(F.col("service"), signal, X.SERVICES).alias("series"), F.col("value").alias("value_num"), F.col("event_id").alias("seq"))
 
     def detect(bins):
-        df = TS.baseline_split(TS.align_series(bins))
+        df = reuse(TS.baseline_split(TS.align_series(reuse(bins))))
         flags = D.detect(df, None, max_rows=120)
         start = df.groupBy(*TS.WIN).agg(F.min("baseline_len").alias("search_start"))
         return TS.first_detection(flags, start)

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mendstream import fixed
+from mendstream.session import bounded
 
 UUID = "^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
 RFC3339 = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -82,7 +83,7 @@ def alert_outcome(alerts: DataFrame, namespaces: DataFrame) -> DataFrame:
 
     The whole payload is not given up at its first violation; each alert gets its own outcome.
     """
-    dim = namespaces.select("namespace", F.col("tenant_id").alias("expected_tenant"))
+    dim = bounded(namespaces.select("namespace", F.col("tenant_id").alias("expected_tenant")))
     outcome = (
         F.when(F.col("status") != "firing", "ignored_not_firing")
         .when(~F.col("alertname").isin(fixed.ADMITTED_ALERTS), "ignored_alert_name")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from mendstream import fixed
 from mendstream.operators.scans import fold_sorted, forward_fill, greedy_spacing, running_sum, with_block
 from mendstream.operators.timeseries import WIN, rolling_range
+from mendstream.session import bounded, reuse
 
 
 def cooldown_dedup(alerts: DataFrame, cooldowns: DataFrame, key: list[str], by: str = "namespace",
@@ -19,9 +20,9 @@ def cooldown_dedup(alerts: DataFrame, cooldowns: DataFrame, key: list[str], by:
     Alerts are reduced to the first one per (key, second) before the fold, so a key has at most
     one row per second whatever its volume.
     """
-    dim = cooldowns.select(by, F.col("cooldown").cast("long"))
+    dim = bounded(cooldowns.select(by, F.col("cooldown").cast("long")))
     d = alerts.join(dim, by, "left").withColumn("_gap", F.coalesce("cooldown", F.lit(default)) + 1).drop("cooldown")
-    firsts = d.groupBy(*key, "t").agg(F.min("alert_id").alias("alert_id"), F.max("_gap").alias("_g"))
+    firsts = reuse(d.groupBy(*key, "t").agg(F.min("alert_id").alias("alert_id"), F.max("_gap").alias("_g")))
     taken = greedy_spacing(firsts.select(*key, "t", "_g"), key, "t", "_g")
     hit = firsts.drop("_g").join(taken, [*key, "t"]).withColumn("accepted", F.lit(True))
     return d.drop("_gap").join(hit, [*key, "t", "alert_id"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
@@ -66,12 +67,13 @@ def correlate_incidents(alerts: DataFrame, edges: DataFrame, closes: DataFrame |
             marks.withColumn("_o", F.col("t") * 2), allowMissingColumns=True)
         both = forward_fill(with_block(both, "t", block), ["tenant_id"], "_o", "_c", "block", out="epoch")
         secs = both.where("first_id IS NOT NULL").select(*key, "first_id", F.coalesce("epoch", F.lit(-1)).alias("epoch"))
+    secs = reuse(secs)
     firsts = secs.groupBy("tenant_id", "epoch", "service").agg(F.min(F.struct("t", "first_id")).alias("f"))
     firsts = firsts.select("tenant_id", "epoch", "service", F.col("f.t").alias("t"), F.col("f.first_id").alias("first_id"))
     steps = firsts.withColumn("kind", F.lit(1))
     if closed is not None:
         steps = steps.unionByName(closed.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-    dim = edges.groupBy("service").agg(F.array_sort(F.collect_set("depends_on")).alias("depends"))
+    dim = bounded(edges.groupBy("service").agg(F.array_sort(F.collect_set("depends_on")).alias("depends")))
     steps = steps.join(dim, "service", "left").select(
         "tenant_id", "t", "kind", F.coalesce("first_id", F.lit(-1)).alias("first_id"), F.coalesce("epoch", F.lit(-1)).alias("epoch"),
         "service", F.concat_ws(",", "depends").alias("depends"))
@@ -220,7 +222,7 @@ def tier_rate_limit(requests: DataFrame, tiers: DataFrame, seconds: int = 60) ->
     Per-second counts decide the border second of each window; only that second's
     requests are ranked, all others follow from the counts.
     """
-    dim = tiers.select("tenant_id", "rate_limit")
+    dim = bounded(tiers.select("tenant_id", "rate_limit"))
     d = requests.withColumn("slot", F.expr(f"t div {seconds}"))
     per = d.groupBy("tenant_id", "slot", "t").agg(F.count("*").alias("n"))
     before = W.partitionBy("tenant_id", "slot").orderBy("t").rowsBetween(W.unboundedPreceding, -1)

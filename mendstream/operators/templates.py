@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from mendstream import fixed
 from mendstream.functions.scalars import is_error_log, mask_log
 from mendstream.operators.scans import map_runs
+from mendstream.session import reuse
 
 WILD = "<*>"
 
@@ -50,7 +51,8 @@ def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARIT
     """
     leaf = [*keys, "container_name", "n_tokens"]
     masked = mask_log(F.concat_ws(" ", "container_name", "message"))
-    distinct = (
+    # kept: the logs are masked once for both the leaf sizes and the clustering
+    distinct = reuse(
         logs.select(*keys, "container_name", masked.alias("masked"), "seq", "level")
         .groupBy(*keys, "container_name", "masked")
         .agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"), F.min_by("level", "seq").alias("level"))
@@ -72,8 +74,8 @@ def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARIT
             yield (*key[:-1], *r, " ".join(tpl))
 
     cols = sharded.select(*leaf, "_shard", "masked", "first_seq", "n", "level", "_shards")
-    local = map_runs(cols, [*leaf, "_shard"], ["first_seq"], first_pass,
-                     f"{leaf_ddl}, masked string, first_seq long, n long, level string, _shards long, _local string")
+    local = reuse(map_runs(cols, [*leaf, "_shard"], ["first_seq"], first_pass,
+                           f"{leaf_ddl}, masked string, first_seq long, n long, level string, _shards long, _local string"))
 
     def second_pass(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
         if rows[0][2] == 1:

@@ -29,7 +29,8 @@ def bin_points(df: DataFrame, width: int = 1, window: int | None = None) -> Data
 def align_series(bins: DataFrame, block: int | None = None) -> DataFrame:
     """Dense grid: every bin seen in the window x every series, filled forward, then 0.
 
-    ``block`` (seconds) switches to the blocked fill for windows that span a whole history.
+    ``block`` (seconds) switches to the blocked fill for windows that span a whole history. ``bins`` is read
+    three times: pass a kept frame (``session.reuse``) so that the points behind it are read once.
     """
     times = bins.groupBy(*WIN, "t").agg(F.lit(1).alias("_n")).drop("_n")
     times = times.withColumn("row", F.row_number().over(W.partitionBy(*WIN).orderBy("t")) - 1)

@@ -13,7 +13,8 @@ WIN = TS.WIN
 
 def aligned_windows(points: DataFrame, width: int, window: int, services: list[str] = SERVICES) -> DataFrame:
     named = points.withColumn("series", series_name(F.col("service"), F.col("signal_name"), services))
-    return TS.align_series(TS.bin_points(named, width, window))
+    # the bins are read three times; written once, the points are read once
+    return TS.align_series(reuse(TS.bin_points(named, width, window)))
 
 
 def trigger_metric(df: DataFrame, anchors: DataFrame, services: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -49,3 +49,8 @@ def reuse(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/reuse-{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded(dim: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A configuration table with a broadcast hint if it has at most ``rows`` rows; a larger one is joined by a shuffle."""
+    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim

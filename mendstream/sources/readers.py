@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from mendstream import fixed
 from mendstream.functions.scalars import pod_service_name
 from mendstream.functions.validate import RFC3339
+from mendstream.session import bounded
 
 POINT = ["t", "tenant_id", "service", "signal_name", "value_num", "value_str", "labels"]
 RUN_PATH = r"([^/]+)/(\d+)/[^/]+$"
@@ -37,7 +38,7 @@ def parse_metric_csv(lines: DataFrame, tenant_id: str = "benchmark") -> DataFram
     cells = F.transform(F.split("line", ","), lambda x: F.trim(x))
     d = lines.withColumn("c", cells)
     head = d.where(F.col("c")[0] == "time").select("path", F.col("c").alias("names")).distinct()
-    rows = d.where(F.col("c")[0] != "time").join(head, "path")
+    rows = d.where(F.col("c")[0] != "time").join(bounded(head), "path")
     rows = rows.select("path", F.col("c")[0].try_cast("double").cast("long").alias("t"), F.explode(F.arrays_zip("names", "c")).alias("x"))
     v = F.col("x.c").try_cast("double")
     rows = rows.where(F.col("t").isNotNull() & (F.col("x.names") != "time") & v.isNotNull() & ~F.isnan(v))
@@ -158,8 +159,7 @@ def read_range_matrix(df: DataFrame, json: str = "json", pods: DataFrame | None
     t, v = F.try_element_at("x", F.lit(1)).try_cast("double"), F.try_element_at("x", F.lit(2)).try_cast("double")
     d = d.select("tenant_id", "namespace", "signal_name", "pod", F.floor(t).alias("t"), v.alias("value_num")).where("t IS NOT NULL AND value_num IS NOT NULL")
     if pods is not None:
-        # size decided by the optimiser: the pod list grows with the fleet
-        d = d.join(pods.select("pod", "service"), "pod", "left")
+        d = d.join(bounded(pods.select("pod", "service")), "pod", "left")
     else:
         d = d.withColumn("service", F.lit(None).cast("string"))
     d = d.withColumn("service", F.coalesce("service", "pod", F.lit("unknown")))
