@@ -276,7 +276,11 @@ def _(spark, sf):
     return TS.backlog_over_time(_samples(spark, sf, "mem"), X.alerts(spark, sf), 21600)
 
 
-@query("c22_template_counts")
+# template ids are hashes of the two message shapes of each container
+@query("c22_template_counts", with_(GRID, LOGS[len(EV) + 2:], """sh AS (SELECT tenant_id, container_name, e, CASE WHEN e THEN 'svc<NUM> request <NUM> failed after <NUM> ms from <IP>' ELSE 'svc<NUM> ' || CASE WHEN count(DISTINCT event_type) > 1 THEN '<*>' ELSE any_value(event_type) END || ' ok user <NUM>' END AS pattern
+    FROM (SELECT 'tenant-' || (user_id % 4) AS tenant_id, 'svc' || (user_id % 6) AS container_name, event_type = 'error' AS e, event_type FROM events) GROUP BY 1, 2, 3),
+  lc AS (SELECT lg.tenant_id, lg.t // 432000 AS window_id, (lg.t // 3600) * 3600 AS t, sha256(lg.tenant_id || '#' || lg.container_name || '#' || pattern)[:16] AS template_id, count(*)::DOUBLE AS n FROM lg JOIN sh ON sh.tenant_id = lg.tenant_id AND sh.container_name = lg.container_name AND e = (level = 'error') GROUP BY 1, 2, 3, 4)""") + """
+SELECT tenant_id, window_id, t, row, template_id, coalesce(n, 0) AS n FROM times JOIN (SELECT DISTINCT tenant_id, window_id, template_id FROM lc) USING (tenant_id, window_id) LEFT JOIN lc USING (tenant_id, window_id, t, template_id)""")
 def _(spark, sf):
     lg = X.logs(spark, sf)
     msgs, _t = TP.mine_templates(lg)

@@ -57,7 +57,26 @@ def _(spark, sf):
     return d.select("alert_id", "tenant_id", "service", "role", "root_service", "start_time")
 
 
-@query("g3_close_incident")
+# the whole rule as a recursion over each tenant's events in order
+FOLD = ALERTS + ", " + EDGES + """, cl AS (SELECT DISTINCT 'tenant-' || (user_id % 4) AS tenant_id, 'svc' || (user_id % 6) AS service, t FROM ev WHERE event_type = 'purchase' AND k >= 80),
+  e0 AS (SELECT tenant_id, service, t, 1 AS kind, alert_id FROM al0 UNION ALL SELECT tenant_id, service, t, 0, -1 FROM cl),
+  e1 AS (SELECT e0.*, coalesce(needs, []) AS needs, row_number() OVER (PARTITION BY tenant_id ORDER BY t, kind, alert_id) AS i FROM e0 LEFT JOIN (SELECT service, list(depends_on) AS needs FROM edges GROUP BY 1) USING (service)),
+  fo AS (SELECT tenant_id, CAST(0 AS BIGINT) AS i, CAST(-1 AS BIGINT) AS alert_id, CAST(0 AS BIGINT) AS t, '' AS service, '' AS role, '' AS root_service, CAST(0 AS BIGINT) AS start_time, [{'s': '', 't': CAST(0 AS BIGINT)}][2:] AS roots FROM e1 WHERE i = 1
+    UNION ALL SELECT tenant_id, i, alert_id, t, service, CASE WHEN kind = 0 THEN '' WHEN len(own) > 0 THEN 'duplicate' WHEN len(up) > 0 THEN 'symptom' ELSE 'root' END, CASE WHEN len(own) > 0 THEN service WHEN len(up) > 0 THEN up[1].s ELSE service END,
+      CASE WHEN len(own) > 0 THEN own[1].t WHEN len(up) > 0 THEN up[1].t ELSE t END,
+      CASE WHEN kind = 0 THEN list_filter(roots, lambda r: r.s <> service) WHEN len(own) > 0 OR len(up) > 0 THEN roots ELSE list_append(roots, {'s': service, 't': t}) END
+    FROM (SELECT e1.*, fo.roots, list_filter(fo.roots, lambda r: r.s = e1.service) AS own, list_filter(fo.roots, lambda r: list_contains(e1.needs, r.s)) AS up FROM fo JOIN e1 ON e1.tenant_id = fo.tenant_id AND e1.i = fo.i + 1) x)"""
+
+
+@query("g2_incidents_with_closes", "WITH RECURSIVE " + FOLD + " SELECT tenant_id, alert_id, service, role, root_service, start_time FROM fo WHERE role <> ''")
+def _(spark, sf):
+    d = S.correlate_incidents(X.alerts(spark, sf), X.edges(spark), _closes(spark, sf))
+    return d.select("tenant_id", "alert_id", "service", "role", "root_service", "start_time")
+
+
+@query("g3_close_incident", "WITH RECURSIVE " + FOLD + """, ic AS (SELECT tenant_id, root_service, start_time, coalesce(array_to_string(list_sort(list(DISTINCT service) FILTER (role = 'symptom')), ','), '') AS symptoms, count(*) FILTER (role = 'duplicate') AS duplicates FROM fo WHERE role <> '' GROUP BY 1, 2, 3)
+SELECT ic.*, sha256(ic.tenant_id || '#' || root_service || '#' || start_time)[:32] AS incident_id, c.closed_at, CASE WHEN c.closed_at IS NULL THEN 'active' ELSE 'resolved' END AS status
+FROM ic LEFT JOIN (SELECT ic.tenant_id, root_service, start_time, min(cl.t) AS closed_at FROM ic JOIN cl ON cl.tenant_id = ic.tenant_id AND cl.service = ic.root_service AND cl.t > ic.start_time GROUP BY 1, 2, 3) c USING (tenant_id, root_service, start_time)""")
 def _(spark, sf):
     c = _closes(spark, sf)
     inc = S.incident_table(S.correlate_incidents(X.alerts(spark, sf), X.edges(spark), c), c)

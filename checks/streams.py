@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.ctes import ALERTS, EV, TEL, with_
+from checks.states import FOLD
 from mendstream.functions.scalars import series_name
 from mendstream.plans import fixtures as X
 from mendstream.session import ROCKSDB, reuse, scratch_dir
@@ -42,7 +43,7 @@ def _(spark, sf):
     return run(ST.stream_cooldown(a))
 
 
-@query("g2_stream_incidents")
+@query("g2_stream_incidents", "WITH RECURSIVE " + FOLD + " SELECT tenant_id, alert_id, t, service, role, root_service, start_time FROM fo WHERE role <> ''")
 def _(spark, sf):
     s = source(spark, sf)
     ev = s.where("event_type = 'error' OR (event_type = 'purchase' AND k >= 80)").select(
@@ -75,7 +76,8 @@ def _(spark, sf):
     return run(ST.stream_idempotency(s, within="60 days")).groupBy("tenant_id", "idempotency_key").agg(F.count("*").alias("n"))
 
 
-@query("g10_stream_volume")
+# seconds the watermark (one minute behind) has not passed stay open
+@query("g10_stream_volume", with_(EV) + "SELECT t, 'tenant-' || (user_id % 4) AS tenant_id, event_type AS signal_name, count(*) AS n FROM ev GROUP BY 1, 2, 3 HAVING t + 1 <= (SELECT epoch(max(ts)) FROM events) - 60")
 def _(spark, sf):
     return run(ST.stream_volume(source(spark, sf).withColumnRenamed("event_type", "signal_name")))
 
