@@ -1 +1,7 @@
 """Self-healing telemetry analytics as Spark DataFrame operators."""
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel with their tasks, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
