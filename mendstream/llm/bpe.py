@@ -122,8 +122,8 @@ def word_starts(codes: np.ndarray, classes: np.ndarray, cuts: np.ndarray) -> np.
     return np.flatnonzero(begin[:n])
 
 
-def merge_rounds(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
-    """Token ids of each word."""
+def merge_rounds(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all words in a row, and how many each word has."""
     lengths = np.array([len(w) for w in words], np.int64)
     sym = v.of_byte[np.frombuffer(b"".join(words), np.uint8)]
     owner = np.repeat(np.arange(len(words)), lengths)
@@ -155,10 +155,10 @@ def merge_rounds(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
         keep[m + 1] = False
         sym, owner = sym[keep], owner[keep]
     if not done_sym:
-        return [np.zeros(0, np.int64) for _ in words]
+        return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
     sym, owner = np.concatenate(done_sym), np.concatenate(done_owner)
     o = np.argsort(owner, kind="stable")
-    return np.split(sym[o], np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
+    return sym[o], np.bincount(owner, minlength=len(words))
 
 
 class Encoder:
@@ -166,8 +166,17 @@ class Encoder:
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.known: dict[str, tuple[list[int], str]] = {}
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(v.special, key=len, reverse=True)) + ")") if v.special else None
+        self.digits = [str(i) for i in range(v.size)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Only the special strings are known."""
+        ids = list(self.v.special.values())
+        self.known = {w: k for k, w in enumerate(self.v.special)}
+        self.decimal = [str(i) for i in ids]
+        self.ids = np.array(ids, np.int64)
+        self.first = np.arange(len(ids) + 1)  # where the tokens of the k-th word begin
 
     def words(self, texts: list[str]) -> list[list[str]]:
         """Words of each text; special strings are words of their own."""
@@ -196,19 +205,33 @@ class Encoder:
             lo = hi
         return out
 
-    def encode(self, texts: list[str]) -> list[list[tuple[list[int], str]]]:
-        """For each text, the (ids, decimal ids) of its words."""
+    def learn(self, words: list[str]) -> None:
+        ids, sizes = merge_rounds([w.encode() for w in words], self.v)
+        self.known.update(zip(words, range(len(self.decimal), len(self.decimal) + len(words))))
+        text, at = [self.digits[i] for i in ids.tolist()], 0
+        for n in sizes.tolist():
+            self.decimal.append(text[at] if n == 1 else ",".join(text[at : at + n]))
+            at += n
+        self.first = np.append(self.first, self.first[-1] + np.cumsum(sizes))
+        self.ids = np.append(self.ids, ids)
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+        """For each text its ids, as numbers and as decimals joined by commas."""
         words = self.words(texts)
         if len(self.known) > CACHE:
-            self.known.clear()
-        for s, i in self.v.special.items():
-            self.known[s] = ([i], str(i))
-        new = list({w for ws in words for w in ws if w not in self.known})
-        for w, ids in zip(new, merge_rounds([w.encode() for w in new], self.v) if new else ()):
-            ids = ids.tolist()
-            self.known[w] = (ids, ",".join(map(str, ids)))
-        known = self.known
-        return [[known[w] for w in ws] for ws in words]
+            self.forget()
+        new = [w for w in set(chain.from_iterable(words)) if w not in self.known]
+        if new:
+            self.learn(new)
+        code_of, decimal_of = self.known.__getitem__, self.decimal.__getitem__
+        codes = [list(map(code_of, ws)) for ws in words]
+        decimals = [",".join(map(decimal_of, c)) for c in codes]
+        code = np.fromiter(chain.from_iterable(codes), np.int64, sum(map(len, codes)))
+        size = self.first[code + 1] - self.first[code]
+        end = np.cumsum(size)
+        flat = self.ids[np.arange(end[-1] if len(end) else 0) - np.repeat(end - size, size) + np.repeat(self.first[code], size)].tolist()
+        edge = np.append(0, end)[np.cumsum([0, *map(len, codes)])].tolist()
+        return [flat[a:b] for a, b in zip(edge, edge[1:])], decimals
 
 
 def _text_batches(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -229,7 +252,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out_col: str
         enc = Encoder(v.value)
         for batch in batches:
             for i, j, texts in _text_batches(batch, text_col):
-                ids = [list(chain.from_iterable(w[0] for w in ws)) for ws in enc.encode(texts)]
+                ids, _ = enc.encode(texts)
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*[column(part, f.name) for f in kept], pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
 
@@ -263,10 +286,9 @@ def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", keep: lis
         for batch in batches:
             for i, j, texts in _text_batches(batch, "_text"):
                 sizes, digests, back = [], [], []
-                for ws in enc.encode(texts):
-                    ids = list(chain.from_iterable([w[0] for w in ws]))
+                for ids, decimals in zip(*enc.encode(texts)):
                     sizes.append(len(ids))
-                    digests.append(hashlib.sha256(",".join([w[1] for w in ws]).encode()).hexdigest())
+                    digests.append(hashlib.sha256(decimals.encode()).hexdigest())
                     text = b"".join(map(bytes_of, ids)).decode("utf-8", "replace")
                     back.append(hashlib.sha256(text.encode()).hexdigest())
                 part = batch.slice(i, j - i)

@@ -7,7 +7,16 @@ from importlib import import_module
 from pyspark.sql import DataFrame
 
 NAMES = {
+    "op1_bpe": ("bpe", "op1"),
+    "op2_fingerprints": ("fingerprint", "op2"),
+    "op3_top_k": ("topk", "op3"),
+    "op4_toxicity": ("toxicity", "op4"),
+    "op5_perspectives": ("chat", "op5"),
+    "op6_mix": ("mixing", "op6"),
     "op7_suffix_dedup": ("suffix", "op7"),
+    "op8_quality": ("quality", "op8"),
+    "op9_ngram_join": ("ngramjoin", "op9"),
+    "op10_url_filter": ("urls", "op10"),
 }
 
 
