@@ -56,7 +56,13 @@ def byte_chars() -> dict[str, int]:
 class Vocabulary:
     """Arrays of a byte-level vocabulary file: sorted pair keys with ranks and results, bytes of each token."""
 
-    def __init__(self, path: str):
+    def __init__(self, parts: dict):
+        """From what ``read`` returns: plain arrays and lists, so that workers need no copy of this class."""
+        self.__dict__.update(parts)
+
+    @classmethod
+    def read(cls, path: str) -> dict:
+        self = cls({})
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, byte_of = spec["model"]["vocab"], byte_chars()
@@ -76,6 +82,7 @@ class Vocabulary:
         self.keys, self.ranks = key[order], order.astype(np.int64)
         self.results = np.array([vocab[a + b] for a, b in merges], np.int64)  # by rank
         self.classes = char_classes()
+        return self.__dict__
 
 
 def word_starts(codes: np.ndarray, classes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -244,12 +251,12 @@ def _text_batches(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int,
 
 def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text_col``, array<int>. A null text has no ids. ``out_col`` replaces a column of that name."""
-    v = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    v = df.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
     kept = [f for f in df.schema.fields if f.name != out_col]
     schema = StructType([*kept, StructField(out_col, ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(v.value)
+        enc = Encoder(Vocabulary(v.value))
         for batch in batches:
             for i, j, texts in _text_batches(batch, text_col):
                 ids, _ = enc.encode(texts)
@@ -261,12 +268,12 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out_col: str
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text of the token ids; broken UTF-8 is replaced as usual, ids outside the vocabulary add nothing. Null ids: empty."""
-    v = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    v = df.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
     kept = [f for f in df.schema.fields if f.name != out_col]
     schema = StructType([*kept, StructField(out_col, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = v.value.token
+        token = v.value["token"]
         for batch in batches:
             texts = [b"".join([token[i] for i in ids or () if i is not None and 0 <= i < len(token)]).decode("utf-8", "replace") for ids in column(batch, ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[column(batch, f.name) for f in kept], pa.array(texts, pa.string())], names=schema.names)
@@ -276,13 +283,13 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str =
 
 def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", keep: list[str] = ()) -> DataFrame:
     """Encodes and decodes in one pass; returns ``keep`` and n_tokens, ids_sha256, decoded_sha256. Null texts count as empty."""
-    v = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
+    v = df.sparkSession.sparkContext.broadcast(Vocabulary.read(vocabulary))
     rows = batch_rows(df).select(*keep, F.col(text_col).alias("_text"))
     schema = StructType([*[rows.schema[c] for c in keep], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(v.value)
-        bytes_of = v.value.token.__getitem__
+        enc = Encoder(Vocabulary(v.value))
+        bytes_of = v.value["token"].__getitem__
         for batch in batches:
             for i, j, texts in _text_batches(batch, "_text"):
                 sizes, digests, back = [], [], []

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mendstream.session import reuse
+from mendstream.session import TABLES, release, reuse
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
@@ -19,7 +19,7 @@ BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CHUNK = 1 << 21  # bytes of text handled at once by array code
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-__all__ = ["BASE", "CHUNK", "U", "batch_rows", "chunks", "column", "fetch_key", "flat", "mix", "powers", "prefix_hash", "reuse", "same", "span_hash", "word_bounds"]
+__all__ = ["BASE", "CHUNK", "TABLES", "U", "batch_rows", "chunks", "column", "fetch_key", "flat", "mix", "powers", "prefix_hash", "release", "reuse", "same", "span_hash", "word_bounds"]
 
 
 def batch_rows(df: DataFrame, rows: int = 512) -> DataFrame:

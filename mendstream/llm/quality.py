@@ -1,7 +1,7 @@
 """Quality by supervised subword embeddings.
 
-Every word and every run of 3 to 5 bytes inside a word with its neighbours is hashed to one of ``BUCKETS`` rows of a vector table. A text is the mean of
-its vectors; a linear layer and softmax give the score. Table and layer are learned together by stochastic gradient descent in
+Every word, every run of 3 to 5 bytes inside a word with its neighbours, and every word bigram that repeats one word (as one
+mark, whatever the word) is hashed to one of ``BUCKETS`` rows of a vector table. A text is the mean of its vectors; a linear layer and softmax give the score. Table and layer are learned together by stochastic gradient descent in
 numpy on a bounded sample of the labelled rows (``limit`` texts of each label, by hash of the id), whole texts.
 """
 from __future__ import annotations
@@ -16,18 +16,21 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from mendstream.llm.common import U, batch_rows, chunks, column, flat, mix, powers, prefix_hash, span_hash, word_bounds
 from mendstream.llm.toxicity import training_ids
 
-BUCKETS, DIMS, GRAMS = 1 << 16, 12, (3, 4, 5)
+BUCKETS, DIMS, GRAMS = 1 << 16, 8, (3, 4, 5)
+REPEAT = U(12345)  # bucket of a word bigram that repeats one word
 
 
 def buckets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, bucket) of each word and each run of bytes that touches no white space but at its ends."""
+    """(text number, bucket) of each word, repeated word, and run of bytes that touches no white space but at its ends."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pw, inv = powers(len(buf) + 1)
     h = prefix_hash(buf, pw)
     start, end = word_bounds(buf, off)
     text = np.searchsorted(off, start, "right") - 1
-    docs, found = [text], [span_hash(h, inv, start, end) >> U(48)]
+    word = span_hash(h, inv, start, end)
+    again = np.flatnonzero((word[1:] == word[:-1]) & (text[1:] == text[:-1])) + 1
+    docs, found = [text, text[again]], [word >> U(48), np.full(len(again), REPEAT, U)]
     inside = np.zeros(len(buf) + 1, np.int32)
     np.add.at(inside, start, 1)
     np.add.at(inside, end, -1)
@@ -41,7 +44,7 @@ def buckets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(found).astype(np.int64) % BUCKETS
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8, rate: float = 1.0, batch: int = 32, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 5, rate: float = 1.0, batch: int = 32, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(vectors, layer, constants) from bags of (bucket, share of the text)."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMS, 1 / DIMS, (BUCKETS, DIMS)).astype(np.float32)
@@ -55,8 +58,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
             ids = np.concatenate([bags[k][0] for k in pick])
             share = np.concatenate([bags[k][1] for k in pick])
             row = np.repeat(np.arange(len(pick)), [len(bags[k][0]) for k in pick])
-            mean = np.zeros((len(pick), DIMS), np.float32)
-            np.add.at(mean, row, vectors[ids] * share[:, None])
+            mean = np.stack([np.bincount(row, weights=vectors[ids, k] * share, minlength=len(pick)) for k in range(DIMS)], axis=1).astype(np.float32)
             z = mean @ layer + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -65,7 +67,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
             back = (p @ layer.T).astype(np.float32)
             layer -= lr * (mean.T @ p) / len(pick)
             bias -= lr * p.mean(axis=0)
-            np.add.at(vectors, ids, (-lr * 20) * back[row] * share[:, None])
+            for k in range(DIMS):
+                vectors[:, k] -= (lr * 20) * np.bincount(ids, weights=back[row, k] * share, minlength=BUCKETS).astype(np.float32)
             done += 1
     return vectors, layer, bias
 

@@ -194,11 +194,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return inside.unionAll(whole).unionAll(part)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, as_text: bool = False) -> DataFrame:
     """``df`` with the bytes of every repeated string of ``length`` bytes taken out.
 
-    Added columns: _n_bytes long, _n_removed long, _n_spans long (maximal removed runs), _kept binary (what is left) and
-    _kept_sha256. Null texts count as empty; all columns of ``df`` stay as they are. Repeats are judged on the input. The names
+    Added columns: _n_bytes long, _n_removed long, _n_spans long (maximal removed runs), _kept binary (what is left; with ``as_text`` a string without
+    the characters that were cut in two) and _kept_sha256. Null texts count as empty; all columns of ``df`` stay as they are. Repeats are judged on the input. The names
     above and _id, _h, _text, _spans must not be columns of ``df``.
     """
     spans = repeated_spans(df, id_col, text_col, length)
@@ -206,7 +206,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.withColumn("_h", fetch_key(id_col, text_col))
     joined = docs.join(spans, docs[id_col].eqNullSafe(spans["_sid"]) & (docs["_h"] == spans["_sh"]), "left").drop("_sid", "_sh", "_h")
     kept = df.columns
-    schema = StructType([*df.schema.fields, StructField("_n_bytes", LongType()), StructField("_n_removed", LongType()), StructField("_n_spans", LongType()), StructField("_kept", BinaryType()), StructField("_kept_sha256", StringType())])
+    schema = StructType([*df.schema.fields, StructField("_n_bytes", LongType()), StructField("_n_removed", LongType()), StructField("_n_spans", LongType()), StructField("_kept", StringType() if as_text else BinaryType()), StructField("_kept_sha256", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,9 +228,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 sizes.append(len(text))
                 removed.append(len(text) - len(rest))
                 runs.append(len(cut[0]))
-                out.append(rest)
+                out.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 digest.append(hashlib.sha256(rest).hexdigest())
-            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in kept], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(out, pa.binary()), pa.array(digest, pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in kept], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(out, pa.string() if as_text else pa.binary()), pa.array(digest, pa.string())], names=schema.names)
 
     return batch_rows(joined).mapInArrow(run, schema)
 
