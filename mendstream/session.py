@@ -1,8 +1,10 @@
 """Session settings used by the library."""
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,14 +33,27 @@ def build_session(app: str = "mendstream", master: str | None = None, partitions
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local temporary one only where none is named (tests)."""
+    """The shared folder the cluster names in spark.checkpoint.dir or by setCheckpointDir.
+
+    Only a local session may do without: it gets a temporary folder. On a cluster each executor would write to a disk of its own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else _local_scratch()
+    named = named or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("shared intermediates need a folder that all executors see: set spark.checkpoint.dir")
+    return _local_scratch()
 
 
 @functools.cache
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="mendstream-")
+    folder = tempfile.mkdtemp(prefix="mendstream-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+TABLES: list[str] = []  # shared tables of this driver, oldest first
 
 
 def reuse(df: DataFrame) -> DataFrame:
@@ -48,9 +63,18 @@ def reuse(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/reuse-{uuid.uuid4()}"
     df.write.parquet(path)
+    TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, tables: list[str]) -> None:
+    """Delete shared tables whose results have been written elsewhere."""
+    for path in tables:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        TABLES.remove(path)
+
+
 def bounded(dim: DataFrame, rows: int = 100_000) -> DataFrame:
     """A configuration table with a broadcast hint if it has at most ``rows`` rows; a larger one is joined by a shuffle."""
     return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
