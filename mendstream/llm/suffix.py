@@ -10,8 +10,9 @@ Corpus order is (trigger, place, bytes), cut off at ``length`` bytes, as nothing
 occurs twice in the parse has only repeated suffixes. A trigger that occurs once has none. What is left are
 different phrases of one trigger: their suffixes are put in order and equal neighbours are repeats.
 
-No group meets in one task: counts are summed before the shuffle, suffix order is dealt by (trigger, suffix),
-and joins on a phrase may be split. Texts move twice, each time by document.
+No unbounded group meets in one task: counts are summed before the shuffle, joins on a phrase may be split, and triggers with very many
+phrases are dealt by (trigger, suffix). Texts move once, by document: the join that fetches phrases and the one that cuts the spans
+share a shuffle.
 """
 from __future__ import annotations
 
@@ -23,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
-from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, mix, powers, prefix_hash, reuse, same, span_hash
+from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, mix, powers, prefix_hash, reuse, span_hash
 
 GRAM = 32
+TOGETHER = 4096  # different phrases of a trigger whose suffixes are put in order in one task; of more, every suffix becomes a row
 POS = 27  # low bits that hold the place of a trigger inside a chunk
 
 
@@ -134,64 +136,137 @@ def parse_table(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _suffixes(rows: DataFrame, length: int) -> DataFrame:
-    """Suffixes of the dictionary phrases whose trigger has other phrases too, cut off at ``length`` bytes."""
-    schema = StructType([StructField("_id", rows.schema["_id"].dataType), StructField("_h", LongType()), StructField("trig", LongType()), StructField("suffix", LongType()), StructField("phrase", LongType()), StructField("single", IntegerType()), StructField("start", IntegerType())])
+def _phrase_rows(picked: DataFrame, text_col: str) -> DataFrame:
+    """Bytes of the dictionary phrases that stand in ``picked``, with all that is known about them."""
+    fields = ("trig", "phrase", "single", "start", "cnt", "rel")
+    schema = StructType([StructField("_sid", picked.schema["_sid"].dataType), StructField("_sh", LongType()), StructField("trig", LongType()), StructField("phrase", LongType()), StructField("single", IntegerType()), StructField("start", IntegerType()), StructField("cnt", IntegerType()), StructField("rel", ShortType()), StructField("bytes", BinaryType())])
+    reach = "reach"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, lists = column(batch, "_id"), column(batch, "_h"), column(batch, "_ex")
-            whole, offs = flat(column(batch, "_text"))
-            per = np.diff(np.asarray(lists.offsets))
+            lists = column(batch, "_ex")
+            buf, off = flat(column(batch, text_col))
+            data = buf.tobytes()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
             items = lists.flatten()
-            f = {x: np.asarray(items.field(x)) for x in ("start", "cnt", "trig", "phrase", "single", "rel")}
-            row_of = np.repeat(np.arange(len(per)), per)
-            for i, j in chunks(offs):
-                use = (row_of >= i) & (row_of < j)
-                if not use.any():
-                    continue
-                sub = {k: v[use] for k, v in f.items()}
-                row = row_of[use]
-                base = offs[row] - offs[i]
-                k, suffix = string_hashes(whole[offs[i] : offs[j]], base + sub["start"], sub["cnt"].astype(np.int64), length)
-                step = np.arange(len(k)) - np.repeat(np.cumsum(sub["cnt"]) - sub["cnt"], sub["cnt"])
-                at = row[k]
-                place = sub["rel"][k] - step  # bytes from the start of the string to its trigger
+            start = off[row] + np.asarray(items.field("start"))
+            end = start + np.asarray(items.field(reach))
+            for i in range(0, len(row), 1 << 14):
+                part = slice(i, i + (1 << 14))
+                at = pa.array(row[part])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at)), keys.take(pa.array(at)), pa.array(sub["trig"][k]), pa.array(_signed(mix(suffix + place.astype(U) * U(0x9E3779B97F4A7C15)))), pa.array(sub["phrase"][k]), pa.array(sub["single"][k].astype(np.int32)), pa.array((sub["start"][k] + step).astype(np.int32))],
+                    [column(batch, "_sid").take(at), column(batch, "_sh").take(at), *[items.field(f)[part] for f in fields], pa.array([data[x:y] for x, y in zip(start[part].tolist(), end[part].tolist())], pa.binary())],
                     names=schema.names,
                 )
 
-    return batch_rows(rows, 256).mapInArrow(run, schema)
+    return picked.mapInArrow(run, schema)
+
+
+def _suffixes(table: pa.Table | pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All suffixes of the given phrases, cut off at ``length`` bytes: row, number inside the phrase, hash that also holds the place of the trigger."""
+    texts = table.column("bytes")
+    buf, off = flat(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+    count, rel = np.asarray(table.column("cnt")).astype(np.int64), np.asarray(table.column("rel")).astype(np.int64)
+    row, suffix = string_hashes(buf, off[:-1], count, length)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    return row, step, mix(suffix + (rel[row] - step).astype(U) * U(0x9E3779B97F4A7C15))
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
-    """Byte spans covered by strings of ``length`` bytes that also start elsewhere: _id, _h, _from, _to. They may overlap.
+def _suffix_order(rows: DataFrame, length: int) -> DataFrame:
+    """Spans (_sid, _sh, _from, _to) of phrases that occur once where a suffix equals one of another phrase of the trigger.
 
-    Texts shorter than ``length`` and null texts have none. Equal rows are each other's repeats.
+    Rows come sorted by trigger; the suffixes of whole triggers are put in order together and neighbours compared.
     """
-    docs = batch_rows(df).select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), fetch_key(id_col, text_col).alias("_h"))
-    parse = reuse(parse_table(docs, length))
+    schema = StructType([StructField("_sid", rows.schema["_sid"].dataType), StructField("_sh", LongType()), StructField("_from", IntegerType()), StructField("_to", IntegerType())])
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        row, step, suffix = _suffixes(table, length)
+        trig, phrase = np.asarray(table.column("trig"))[row], np.asarray(table.column("phrase"))[row]
+        o = np.lexsort((phrase, suffix, trig))
+        new = np.ones(len(o), bool)
+        new[1:] = (trig[o][1:] != trig[o][:-1]) | (suffix[o][1:] != suffix[o][:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(o)) - 1
+        equal = np.zeros(len(o), bool)
+        equal[o] = np.repeat(phrase[o][head] != phrase[o][tail], tail - head + 1)
+        at = np.flatnonzero(equal & (np.asarray(table.column("single"))[row] == 1))
+        begin = np.ones(len(at), bool)
+        begin[1:] = (row[at][1:] != row[at][:-1]) | (step[at][1:] != step[at][:-1] + 1)
+        first = np.flatnonzero(begin)
+        last = np.append(first[1:], len(at))[: len(first)] - 1
+        of = row[at[first]]
+        start = np.asarray(table.column("start"))[of]
+        take = pa.array(of)
+        one = table.select(["_sid", "_sh"]).take(take).combine_chunks()
+        ids = [one.column(c).combine_chunks() for c in ("_sid", "_sh")]
+        return pa.RecordBatch.from_arrays([*ids, pa.array((start + step[at[first]]).astype(np.int32)), pa.array((start + step[at[last]] + length).astype(np.int32))], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of a trigger that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            trig = np.asarray(table.column("trig"))
+            k = int(np.searchsorted(trig, trig[-1]))
+            if k:
+                yield compare(table.slice(0, k).combine_chunks())
+            held = table.slice(k).combine_chunks()
+        if held is not None:
+            yield compare(held)
+
+    return rows.repartition("trig").sortWithinPartitions("trig").mapInArrow(run, schema)
+
+
+def _suffix_rows(rows: DataFrame, length: int) -> DataFrame:
+    """The same suffixes as rows, for triggers with too many phrases for one task."""
+    schema = StructType([StructField("_sid", rows.schema["_sid"].dataType), StructField("_sh", LongType()), StructField("trig", LongType()), StructField("suffix", LongType()), StructField("phrase", LongType()), StructField("single", IntegerType()), StructField("start", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, step, suffix = _suffixes(batch, length)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*[column(batch, c).take(take) for c in ("_sid", "_sh", "trig")], pa.array(_signed(suffix)), column(batch, "phrase").take(take), column(batch, "single").take(take), pa.array((np.asarray(column(batch, "start"))[row] + step).astype(np.int32))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """Byte spans covered by strings of ``length`` bytes that also start elsewhere: _sid, _sh, _from, _to. They may overlap.
+
+    ``docs`` has all its columns and _h; it is joined as a whole, so that the caller's own join can use the same shuffle.
+    """
+    keys = [F.col("_id").alias("_sid"), F.col("_h").alias("_sh")]
+    parse = reuse(parse_table(docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), "_h"), length))
     key = ["trig", "phrase"]
     phrases = parse.where("n > 0")
     busy = phrases.groupBy("trig").agg(F.sum("n").alias("c")).where("c > 1").select("trig")
     shared = reuse(phrases.join(busy, "trig", "left_semi"))
     book = reuse(shared.groupBy(*key).agg(F.sum("n").alias("total"), F.min(F.struct("_id", "_h", "start", "cnt", "rel")).alias("ex")))
-    several = book.groupBy("trig").agg(F.count("*").alias("c")).where("c > 1").select("trig")
-    examples = (
-        book.join(several, "trig", "left_semi")
-        .groupBy(F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"))
-        .agg(F.collect_list(F.struct(F.col("ex.start").alias("start"), F.col("ex.cnt").alias("cnt"), F.col("ex.rel").alias("rel"), "trig", "phrase", (F.col("total") == 1).cast("int").alias("single"))).alias("_ex"))
-    )
-    picked = docs.join(examples, same(docs, examples, ["_id", "_h"])).select(docs["_id"], docs["_h"], "_text", "_ex")
-    suffixes = reuse(_suffixes(picked, length))
-    order = ["trig", "suffix"]
-    repeats = suffixes.groupBy(*order).agg(F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("a < b").select(*order)
-    span = lambda end: ["_id", "_h", F.col("start").alias("_from"), end.cast("int").alias("_to")]
-    inside = parse.where("n = 0").select(*span(F.col("start") + F.col("cnt")))
-    whole = shared.join(book.where("total > 1").select(*key), key, "left_semi").select(*span(F.col("start") + F.col("cnt") + (length - 1)))
-    part = suffixes.where("single = 1").join(repeats, order, "left_semi").select(*span(F.col("start") + length))
-    return inside.unionAll(whole).unionAll(part)
+    # triggers with different phrases, one of which at least occurs once: the others need no comparison
+    several = reuse(book.groupBy("trig").agg(F.count("*").alias("c"), F.min("total").alias("least")).where("c > 1 and least = 1").select("trig", "c"))
+
+    def rows_of(triggers: DataFrame) -> DataFrame:
+        item = F.struct("trig", "phrase", (F.col("total") == 1).cast("int").alias("single"), F.col("ex.start").alias("start"), F.col("ex.cnt").alias("cnt"), F.col("ex.rel").alias("rel"), (F.col("ex.cnt") + (length - 1)).alias("reach"))
+        examples = book.join(triggers.select("trig"), "trig", "left_semi").groupBy(F.col("ex._id").alias("_sid"), F.col("ex._h").alias("_sh")).agg(F.collect_list(item).alias("_ex"))
+        return _phrase_rows(docs.join(examples, _match(docs, examples, id_col)), text_col)
+
+    small = _suffix_order(rows_of(several.where(F.col("c") <= TOGETHER)), length)
+    inside = parse.where("n = 0").select(*keys, F.col("start").alias("_from"), (F.col("start") + F.col("cnt")).cast("int").alias("_to"))
+    whole = shared.join(book.where("total > 1").select(*key), key, "left_semi").select(*keys, F.col("start").alias("_from"), (F.col("start") + F.col("cnt") + (length - 1)).cast("int").alias("_to"))
+    spans = inside.unionAll(whole).unionAll(small)
+    many = several.where(F.col("c") > TOGETHER)
+    if not many.isEmpty():
+        suffixes = reuse(_suffix_rows(rows_of(many), length))
+        order = ["trig", "suffix"]
+        repeats = suffixes.groupBy(*order).agg(F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("a < b").select(*order)
+        spans = spans.unionAll(suffixes.where("single = 1").join(repeats, order, "left_semi").select("_sid", "_sh", F.col("start").alias("_from"), (F.col("start") + length).cast("int").alias("_to")))
+    return spans
+
+
+def _match(docs: DataFrame, found: DataFrame, id_col: str):
+    return docs[id_col].eqNullSafe(found["_sid"]) & (docs["_h"] == found["_sh"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, as_text: bool = False) -> DataFrame:
@@ -199,12 +274,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Added columns: _n_bytes long, _n_removed long, _n_spans long (maximal removed runs), _kept binary (what is left; with ``as_text`` a string without
     the characters that were cut in two) and _kept_sha256. Null texts count as empty; all columns of ``df`` stay as they are. Repeats are judged on the input. The names
-    above and _id, _h, _text, _spans must not be columns of ``df``.
+    above and _h, _ex, _sid, _sh, _spans must not be columns of ``df``.
     """
-    spans = repeated_spans(df, id_col, text_col, length)
-    spans = spans.groupBy("_id", "_h").agg(F.collect_set(F.struct("_from", "_to")).alias("_spans")).withColumnsRenamed({"_id": "_sid", "_h": "_sh"})
-    docs = df.withColumn("_h", fetch_key(id_col, text_col))
-    joined = docs.join(spans, docs[id_col].eqNullSafe(spans["_sid"]) & (docs["_h"] == spans["_sh"]), "left").drop("_sid", "_sh", "_h")
+    docs = batch_rows(df).withColumn("_h", fetch_key(id_col, text_col))
+    spans = repeated_spans(docs, id_col, text_col, length).groupBy("_sid", "_sh").agg(F.collect_list(F.struct("_from", "_to")).alias("_spans"))
+    joined = docs.join(spans, _match(docs, spans, id_col), "left")
     kept = df.columns
     schema = StructType([*df.schema.fields, StructField("_n_bytes", LongType()), StructField("_n_removed", LongType()), StructField("_n_spans", LongType()), StructField("_kept", StringType() if as_text else BinaryType()), StructField("_kept_sha256", StringType())])
 
@@ -232,7 +306,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 digest.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in kept], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(out, pa.string() if as_text else pa.binary()), pa.array(digest, pa.string())], names=schema.names)
 
-    return batch_rows(joined).mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
