@@ -199,16 +199,19 @@ def trie_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, wei
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """a, b, degree: for each node that shares a prefix n-gram with another one, the root of its cell and its degree there."""
-    tokens = nodes.select("node", F.explode("ex.prefix").alias("token"))
-    busy = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("low")).where("c > 1").select("token", "low")
-    edges = tokens.join(busy, "token").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    cluster = reuse(components(edges))
-    member = nodes.join(cluster, "node").select("node", "label", "copies", F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"), F.col("ex.n").alias("n"))
-    sizes = cluster.join(nodes.select("node", F.col("ex.n").alias("n")), "node").groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    nodes = nodes.withColumn("nid", F.xxhash64("node"))  # should two nodes share it, their clusters are compared as one
+    tokens = nodes.select("nid", F.explode("ex.prefix").alias("token"))
+    busy = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    shared = reuse(tokens.join(busy, "token", "left_semi"))
+    low = shared.groupBy("token").agg(F.min("nid").alias("low"))
+    edges = shared.join(low, "token").select(F.col("nid").alias("a"), F.col("low").alias("b"))
+    cluster = reuse(components(edges).withColumnRenamed("node", "nid"))
+    member = nodes.join(cluster, "nid").select("node", "label", "copies", F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"), F.col("ex.n").alias("n"))
+    sizes = cluster.join(nodes.select("nid", F.col("ex.n").alias("n")), "nid").groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     member = member.join(sizes, "label")
     picked = docs.join(member, same(docs, member, ["_id", "_h"])).select("_text", "node", "label", "copies", "blocks")
-    schema = "label binary, i int, j int, side int, node binary, copies long, grams binary"
-    cell_schema = pa.schema([("label", pa.binary()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.binary()), ("copies", pa.int64()), ("grams", pa.binary())])
+    schema = "label long, i int, j int, side int, node binary, copies long, grams binary"
+    cell_schema = pa.schema([("label", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.binary()), ("copies", pa.int64()), ("grams", pa.binary())])
 
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), cell_schema)], schema=cell_schema)
