@@ -1,8 +1,7 @@
 """Join of texts whose word n-gram sets have a high Jaccard similarity, by prefix trees.
 
 1. Sets. Words are folded to 64-bit hashes, n-grams to hashes of words; equal sets become one node.
-2. Global order. A sketch of fixed size counts n-grams; rarer cells come first, ties by hash. It only orders, so an error in
-   it costs time, never a link.
+2. Global order. N-grams with small hashes, a fixed share of all, come first and rarer ones before others; the rest follows by hash.
 3. Clusters. Two sets with enough in common share one of their first n - ceil(t n) + 1 n-grams. Nodes joined by such
    shared n-grams form clusters; nothing is compared across clusters.
 4. Tries. The sets of a cluster are stored in a trie, commonest n-grams first, so near sets share long paths. One
@@ -13,18 +12,16 @@ Each cell returns one row per node: its degree and the least node it is joined w
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, mix, powers, prefix_hash, reuse, same, span_hash, word_bounds
 from mendstream.llm.components import components
 
-CELL_BITS = 17
 BLOCK_NODES, BLOCK_GRAMS = 1024, 1 << 20  # of a block of a large cluster
 
 
@@ -80,50 +77,52 @@ def _binary16(x: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(0, 16 * len(x) + 1, 16, dtype=np.int32).tobytes()), pa.py_buffer(data)])
 
 
-def sketch(docs: DataFrame, words: int) -> np.ndarray:
-    """Numbers of n-grams by the first bits of their hash: a table of fixed size."""
+def prefixes(docs: DataFrame, words: int, num: int, den: int, pool: float) -> DataFrame:
+    """_id, _h, n (set size), p (prefix length), u, node (16 bytes, equal for equal sets) and tokens.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
-            whole, offs = flat(column(batch, "_text"))
-            for i, j in chunks(offs):
-                _, gram = gram_sets(whole[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
-                total += np.bincount((gram >> U(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "c"])
-
-    rows = docs.select("_text").mapInArrow(run, "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(1 << CELL_BITS, np.int64)
-    for r in rows:
-        out[r.cell] = r.c
-    return out
-
-
-def prefixes(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """_id, _h, n (set size), node (16 bytes, equal for equal sets) and the prefix of each set in the global order."""
-    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, words))
-    schema = StructType([docs.schema["_id"], StructField("_h", LongType()), StructField("n", IntegerType()), StructField("node", BinaryType()), StructField("prefix", ArrayType(LongType()))])
+    ``tokens`` are the n-grams of the pool, those with the least hashes (the same share of all n-grams for every text), ``u`` of them, and as many of
+    the next hashes as the prefix length asks for.
+    """
+    limit = U(min((1 << 64) - 1, int(pool * (den - num) / den * (1 << 64))))
+    schema = StructType([docs.schema["_id"], StructField("_h", LongType()), StructField("n", IntegerType()), StructField("p", IntegerType()), StructField("u", IntegerType()), StructField("node", BinaryType()), StructField("tokens", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counts.value
         for batch in batches:
             whole, offs = flat(column(batch, "_text"))
             for i, j in chunks(offs):
                 doc, gram = gram_sets(whole[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
                 size, node = _nodes(doc, gram, j - i)
-                o = np.lexsort((gram, count[(gram >> U(64 - CELL_BITS)).astype(np.int64)], doc))
-                gram = gram[o]
-                take = np.where(size > 0, size + (-size * num) // den + 1, 0)
+                p = np.where(size > 0, size + (-size * num) // den + 1, 0)
+                u = np.bincount(doc[gram < limit], minlength=j - i)
+                take = np.maximum(p, u)
                 end = np.cumsum(take)
                 at = np.arange(end[-1] if len(end) else 0) - np.repeat(end - take, take) + np.repeat(np.cumsum(size) - size, take)
                 part = batch.slice(i, j - i)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, end).astype(np.int32)), pa.array(gram[at].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_h"), pa.array(size.astype(np.int32)), _binary16(node), lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_h"), *[pa.array(x.astype(np.int32)) for x in (size, p, u)], _binary16(node), lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
+def clusters(sets: DataFrame) -> DataFrame:
+    """nid, label: nodes joined by an n-gram that both have in their prefix.
+
+    The global order puts pool n-grams first, rarer ones before others, then the rest by hash. N-grams of one text only need no
+    rows for that: how many of them a prefix holds follows from the counts.
+    """
+    tokens = sets.where("n > 0").select(F.xxhash64("node").alias("nid"), "p", "u", F.posexplode("tokens").alias("at", "token"))
+    busy = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    few = tokens.select("nid", "token", F.when(F.col("at") < F.col("u"), F.struct("p", "u")).alias("pool"))
+    shared = reuse(few.join(busy, "token", "left_semi").distinct())
+    count = shared.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    known = shared.join(count, "token")
+    own = W.partitionBy("nid", F.col("pool").isNotNull())  # at most the n-grams of one text
+    ranked = known.withColumn("rank", F.row_number().over(own.orderBy("df", "token"))).withColumn("many", F.count("*").over(own))
+    kept = reuse(ranked.where("pool is null or rank <= pool.p - (pool.u - many)").select("nid", "token"))
+    low = kept.groupBy("token").agg(F.min("nid").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
+    return components(kept.join(low, "token").select(F.col("nid").alias("a"), F.col("low").alias("b")))
+
+
 def trie_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(weighted degree, component root) of each set by one traversal of the trie of all of them.
 
@@ -197,15 +196,10 @@ def trie_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, wei
     return degree, root
 
 
-def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """a, b, degree: for each node that shares a prefix n-gram with another one, the root of its cell and its degree there."""
     nodes = nodes.withColumn("nid", F.xxhash64("node"))  # should two nodes share it, their clusters are compared as one
-    tokens = nodes.select("nid", F.explode("ex.prefix").alias("token"))
-    busy = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = reuse(tokens.join(busy, "token", "left_semi"))
-    low = shared.groupBy("token").agg(F.min("nid").alias("low"))
-    edges = shared.join(low, "token").select(F.col("nid").alias("a"), F.col("low").alias("b"))
-    cluster = reuse(components(edges).withColumnRenamed("node", "nid"))
+    cluster = reuse(clusters(sets).withColumnRenamed("node", "nid"))
     member = nodes.join(cluster, "nid").select("node", "label", "copies", F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"), F.col("ex.n").alias("n"))
     sizes = cluster.join(nodes.select("nid", F.col("ex.n").alias("n")), "nid").groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     member = member.join(sizes, "label")
@@ -253,17 +247,18 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: i
     return cells.groupBy("label", "i", "j").applyInArrow(join_cell, "a binary, b binary, degree long")
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, pool: float = 1.3) -> DataFrame:
     """Texts linked when den * |A and B| >= num * |A or B| of their ``words``-gram sets: _id, _h, n_shingles, component_id, n_links.
 
     One row per row of ``df``. component_id is the least id reachable by links, n_links the number of other rows linked directly.
     Texts without words, and null texts, have no n-grams, no links and their own id. Rows equal in text are linked. A null id is
-    never a component's id unless all its ids are null.
+    never a component's id unless all its ids are null. ``pool`` times 1 - t is the share of n-grams that are counted to order them;
+    it changes the time, not the result.
     """
     docs = batch_rows(df).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), fetch_key(id_col, text_col).alias("_h"))
-    sets = reuse(prefixes(docs, words, num, den))
-    nodes = reuse(sets.where("n > 0").groupBy("node").agg(F.min("_id").alias("low_id"), F.count("*").alias("copies"), F.min(F.struct("_id", "_h", "n", "prefix")).alias("ex")))
-    links = reuse(linked_nodes(docs, nodes, words, num, den))
+    sets = reuse(prefixes(docs, words, num, den, pool))
+    nodes = reuse(sets.where("n > 0").groupBy("node").agg(F.min("_id").alias("low_id"), F.count("*").alias("copies"), F.min(F.struct("_id", "_h", "n")).alias("ex")))
+    links = reuse(linked_nodes(docs, sets, nodes, words, num, den))
     label = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("degree").alias("degree"))
     known = nodes.select("node", "low_id", "copies").join(label, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -288,4 +283,4 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 def op9(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return jaccard_components(docs, words=3, num=90, den=100).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+    return jaccard_components(docs, words=3, num=90, den=100, pool=2.0).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links")
