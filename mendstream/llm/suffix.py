@@ -115,8 +115,10 @@ def parse_table(docs: DataFrame, length: int) -> DataFrame:
                 times = np.diff(np.append(head, len(o)))
                 again = np.zeros(len(o), bool)
                 again[o] = np.repeat(times > 1, times)
-                s, e = _merged(start[again], start[again] + count[again] + length - 1)
-                sd = np.searchsorted(off, s, "right") - 1
+                gap = doc[again]  # one byte between texts, so spans of neighbours do not touch
+                s, e = _merged(start[again] + gap, start[again] + gap + count[again] + length - 1)
+                sd = np.searchsorted(off + np.arange(len(off)), s, "right") - 1
+                s, e = s - sd, e - sd
                 lone = o[head]
                 at = np.concatenate([doc[lone], sd])
                 yield pa.RecordBatch.from_arrays(
