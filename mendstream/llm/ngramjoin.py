@@ -248,11 +248,11 @@ def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int,
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, pool: float = 1.3) -> DataFrame:
-    """Texts linked when den * |A and B| >= num * |A or B| of their ``words``-gram sets: _id, _h, n_shingles, component_id, n_links.
+    """Texts linked when den * |A and B| >= num * |A or B| of their ``words``-gram sets: _id, _h, n_shingles, component_id, n_links, component.
 
     One row per row of ``df``. component_id is the least id reachable by links, n_links the number of other rows linked directly.
     Texts without words, and null texts, have no n-grams, no links and their own id. Rows equal in text are linked. A null id is
-    never a component's id unless all its ids are null. ``pool`` times 1 - t is the share of n-grams that are counted to order them;
+    never a component's id unless all its ids are null. component names a component even where rows of several share an id. ``pool`` times 1 - t is the share of n-grams that are counted to order them;
     it changes the time, not the result.
     """
     docs = batch_rows(df).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), fetch_key(id_col, text_col).alias("_h"))
@@ -263,16 +263,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("degree").alias("degree"))
     known = nodes.select("node", "low_id", "copies").join(label, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
     low = known.groupBy("label").agg(F.min("low_id").alias("component_id"))
-    named = known.join(low, "label").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
+    named = known.join(low, "label").select("node", "component_id", F.col("label").alias("component"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
     left = sets.select("_id", "_h", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     out = left.join(named, "node", "left")
-    return out.select("_id", "_h", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("_id", "_h", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "component")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``df`` with one row of each component, the one with the least id; texts without words all stay. Columns as in ``df``."""
     found = jaccard_components(df, id_col, text_col, words, num, den).where("n_shingles > 0")
-    first = reuse(found.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("f")).select(F.col("f._id").alias("_id"), F.col("f._h").alias("_h")))
+    first = reuse(found.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("f")).select(F.col("f._id").alias("_id"), F.col("f._h").alias("_h")))
     keyed = df.withColumn("_h2", fetch_key(id_col, text_col))
     empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = keyed.where(~empty).join(first, keyed[id_col].eqNullSafe(first["_id"]) & (keyed["_h2"] == first["_h"]), "left_semi")
