@@ -95,8 +95,8 @@ def _(spark, sf):
     return J.retention_tier(X.telemetry(spark, sf), lim, F.lit(1704067200 + 8640000)).select("seq", "tier")
 
 
-@query("j6_rollout_gate", with_(HTTP) + """SELECT (t // 86400) * 86400 AS window_start, endpoint, count(*) AS n, round(coalesce(avg((status_code >= 500)::INT), 0), 6) AS share_5xx, round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms,
- coalesce(avg((status_code >= 500)::INT), 0) > 0.01 OR quantile_cont(latency_ms, 0.99) > CASE endpoint WHEN '/v1/detect' THEN 800 WHEN '/v1/decide' THEN 3000 ELSE 1000 END AS abort FROM ht GROUP BY 1, 2""")
+@query("j6_rollout_gate", with_(HTTP) + """SELECT (t // 86400) * 86400 AS window_start, endpoint, count(*) AS n, round(avg((coalesce(status_code, 500) >= 500)::INT), 6) AS share_5xx, round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms,
+ avg((coalesce(status_code, 500) >= 500)::INT) > 0.01 OR quantile_cont(latency_ms, 0.99) > CASE endpoint WHEN '/v1/detect' THEN 800 WHEN '/v1/decide' THEN 3000 ELSE 1000 END AS abort FROM ht GROUP BY 1, 2""")
 def _(spark, sf):
     lim = spark.createDataFrame(fixed.ENDPOINT_P99_MS, "endpoint string, p99_limit_ms int")
     d = J.rollout_gate(_http(spark, sf), lim, 86400).drop("p99_limit_ms")

@@ -12,9 +12,9 @@ from mendstream.plans.detect import first_anomalies
 # The moving average by recursion over the rows of each KPI series
 _EWMA = LIVE + """, kp AS (SELECT * FROM split WHERE series LIKE '%latency%' OR series LIKE '%error%'),
   ew AS (SELECT tenant_id, window_id, series, row, v, v AS y FROM kp WHERE row = 0
-    UNION ALL SELECT k.tenant_id, k.window_id, k.series, k.row, k.v, 0.1 * k.v + 0.9 * e.y FROM ew e JOIN kp k
+    UNION ALL SELECT k.tenant_id, k.window_id, k.series, k.row, k.v, e.y + 0.1 * (k.v - e.y) FROM ew e JOIN kp k
       ON k.tenant_id = e.tenant_id AND k.window_id = e.window_id AND k.series = e.series AND k.row = e.row + 1),
-  rs AS (SELECT e.*, CASE WHEN abs(e.v - e.y) > 1e-11 * greatest(abs(e.v), abs(e.y)) THEN e.v - e.y ELSE 0 END AS res, k.is_baseline FROM ew e JOIN kp k USING (tenant_id, window_id, series, row)),
+  rs AS (SELECT e.*, e.v - e.y AS res, k.is_baseline FROM ew e JOIN kp k USING (tenant_id, window_id, series, row)),
   sd AS (SELECT tenant_id, window_id, series, CASE WHEN coalesce(stddev_samp(res) FILTER (is_baseline), 0) = 0 THEN 1e-6 ELSE stddev_samp(res) FILTER (is_baseline) END AS s FROM rs GROUP BY 1, 2, 3),
   det AS (SELECT r.*, abs(res) > {k} * s AS is_anomaly, abs(res) / s AS score FROM rs r JOIN sd USING (tenant_id, window_id, series))"""
 

@@ -95,11 +95,15 @@ def retention_tier(df: DataFrame, limits: DataFrame, now: Column, cold_days: int
 
 
 def rollout_gate(calls: DataFrame, limits: DataFrame, seconds: int = 300, max_5xx: float = fixed.MAX_5XX_RATE) -> DataFrame:
-    """Per window and endpoint: abort when the 5xx share or the exact p99 is over its limit."""
+    """Per window and endpoint: abort when the 5xx share or the exact p99 is over its limit.
+
+    A call without a status counts as 5xx; an endpoint without a limit is judged by its 5xx share alone.
+    """
+    code = F.coalesce("status_code", F.lit(500))
     per = calls.groupBy(F.expr(f"(t div {seconds}) * {seconds}").alias("window_start"), "endpoint").agg(
-        F.count("*").alias("n"), F.avg((F.col("status_code") >= 500).cast("double")).alias("share_5xx"), F.percentile("latency_ms", 0.99).alias("p99_ms"))
-    d = per.join(F.broadcast(limits.select("endpoint", "p99_limit_ms")), "endpoint")
-    return d.withColumn("abort", (F.col("share_5xx") > max_5xx) | (F.col("p99_ms") > F.col("p99_limit_ms")))
+        F.count("*").alias("n"), F.avg((code >= 500).cast("double")).alias("share_5xx"), F.percentile("latency_ms", 0.99).alias("p99_ms"))
+    d = per.join(limits.select("endpoint", "p99_limit_ms"), "endpoint", "left")
+    return d.withColumn("abort", (F.col("share_5xx") > max_5xx) | F.coalesce(F.col("p99_ms") > F.col("p99_limit_ms"), F.lit(False)))
 
 
 def firing_summary(alerts: DataFrame) -> DataFrame:

@@ -5,22 +5,33 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scalars import render_deployment, render_target
+from mendstream.sources.profile import FLAT, catalog_runbooks
 
 
 def match_runbook(contexts: DataFrame, mapping: DataFrame, runbooks: DataFrame, default: str = fixed.DEFAULT_RUNBOOK,
                   always_default: bool = False) -> DataFrame:
-    """Runbook of the fault; unknown faults and missing runbooks take the default one.
+    """Runbook of the fault; unknown faults and missing runbooks take the default one, the built-in default where the books have none.
 
-    ``mapping``: fault, runbook; ``runbooks``: name and the runbook fields (both small configuration).
+    ``mapping``: fault, runbook; ``runbooks``: name and the runbook fields (both small configuration). Where they carry ``profile_name``, contexts
+    must carry it too and take the mapping and books of their profile.
     """
-    books = F.broadcast(runbooks.select(F.col("name").alias("matched_runbook"), F.struct(*runbooks.columns).alias("book")))
+    by = lambda df: [c for c in ["profile_name"] if c in df.columns]
+    for df in (mapping, runbooks):
+        if by(df) and not by(contexts):
+            raise ValueError("contexts need profile_name, as mapping or runbooks are kept by profile")
+    books = runbooks.select(*by(runbooks), F.col("name").alias("matched_runbook"), F.struct(*FLAT).alias("book"))
     if always_default:
         named = contexts.withColumn("matched_runbook", F.lit(default))
     else:
-        known = mapping.join(books, F.col("runbook") == F.col("matched_runbook"), "left_semi")
-        dim = F.broadcast(known.select(F.col("fault").alias("suspected_fault_type"), F.col("runbook").alias("_runbook")))
-        named = contexts.join(dim, "suspected_fault_type", "left").withColumn("matched_runbook", F.coalesce("_runbook", F.lit(default))).drop("_runbook")
-    return named.join(books, "matched_runbook")
+        dim = mapping.select(*by(mapping), F.col("fault").alias("suspected_fault_type"), F.col("runbook").alias("_runbook"))
+        named = contexts.join(dim, [*by(mapping), "suspected_fault_type"], "left")
+        known = books.select(*by(books), F.col("matched_runbook").alias("_runbook"), F.lit(True).alias("_known"))
+        named = named.join(known, [*by(books), "_runbook"], "left")
+        named = named.withColumn("matched_runbook", F.when(F.col("_known"), F.col("_runbook")).otherwise(default)).drop("_runbook", "_known")
+    found = named.join(books, [*by(books), "matched_runbook"], "left")
+    found = found.withColumn("matched_runbook", F.when(F.col("book").isNull(), fixed.DEFAULT_RUNBOOK).otherwise(F.col("matched_runbook")))
+    last = catalog_runbooks(contexts.sparkSession, only_default=True).select(F.col("name").alias("matched_runbook"), F.struct(*FLAT).alias("_default"))
+    return found.join(last, "matched_runbook", "left").withColumn("book", F.coalesce("book", "_default")).drop("_default")
 
 
 def render_plan(matched: DataFrame) -> DataFrame:
@@ -40,7 +51,7 @@ def render_plan(matched: DataFrame) -> DataFrame:
         render_target(s["target"], service, deployment).alias("target"), params(s["params"]).alias("params")))
     blast = F.struct(
         F.col("book.max_pod_impact_pct").alias("max_pod_impact_pct"), F.col("book.circuit_breaker_error_rate").alias("circuit_breaker_error_rate"),
-        F.array_union(F.col("book.allowed_namespaces"), F.array(space)).alias("allowed_namespaces"))
+        F.array_union(F.coalesce("book.allowed_namespaces", F.array(*[F.lit(n[0]) for n in fixed.NAMESPACES])), F.array(space)).alias("allowed_namespaces"))
     verify = F.struct(F.col("book.window_seconds").alias("window_seconds"), F.col("book.success_conditions").alias("success_conditions"))
     return matched.withColumns({
         "pattern_type": F.col("book.pattern_type"), "action_plan": plan, "blast_radius_config": blast, "verify_policy": verify,

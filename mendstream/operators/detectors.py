@@ -39,37 +39,34 @@ def ewma(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, max_rows: int | None =
     d = df if single else df.withColumn("_b", F.expr(f"row div {block_rows}"))
     d = d.withColumn("_j", j)
     w = W.partitionBy(*SERIES, *([] if single else ["_b"])).orderBy("row").rowsBetween(W.unboundedPreceding, 0)
-    scaled = F.col("v") * alpha * F.pow(F.lit(keep), -F.col("_j"))
+    # values are taken relative to the first one of the scan, which makes the average of a constant exact
+    d = d.withColumn("_x0", F.first("v").over(w))
+    scaled = (F.col("v") - F.col("_x0")) * alpha * F.pow(F.lit(keep), -F.col("_j"))
     d = d.withColumn("_loc", F.pow(F.lit(keep), F.col("_j")) * F.sum(scaled).over(w))
     if single:
-        return d.withColumn(out, F.col("_loc") + F.pow(F.lit(keep), F.col("_j") + 1) * F.first("v").over(w)).drop("_j", "_loc")
+        return d.withColumn(out, F.col("_x0") + F.col("_loc")).drop("_j", "_loc", "_x0")
 
     blocks = d.groupBy(*SERIES, "_b").agg(
         F.max_by("_loc", "row").alias("c"), F.count("*").alias("n"), F.min_by("v", "row").alias("x0"))
 
     def chain(key: tuple, items: list[tuple]):
         y = float(items[0][3])
-        for b, c, n, _ in items:
+        for b, c, n, x0 in items:
             yield (*key, int(b), y)
-            y = keep ** int(n) * y + float(c)
+            y = float(x0) + keep ** int(n) * (y - float(x0)) + float(c)
 
     carries = map_runs(blocks, SERIES, ["_b"], chain, "tenant_id string, window_id long, series string, _b long, _carry double")
     return (
         d.join(carries, [*SERIES, "_b"])
-        .withColumn(out, F.col("_loc") + F.pow(F.lit(keep), F.col("_j") + 1) * F.col("_carry"))
-        .drop("_b", "_j", "_loc", "_carry")
+        .withColumn(out, F.col("_x0") + F.col("_loc") + F.pow(F.lit(keep), F.col("_j") + 1) * (F.col("_carry") - F.col("_x0")))
+        .drop("_b", "_j", "_loc", "_carry", "_x0")
     )
 
 
 def ewma_detect(df: DataFrame, alpha: float = fixed.EWMA_ALPHA, k: float = fixed.EWMA_THRESHOLD,
                 max_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
-    """Flag |x - y| > k * std, with the sample std of the baseline residuals (1e-6 if 0 or missing).
-
-    A residual within rounding noise of the values counts as 0, so a constant series is never flagged.
-    """
-    res = F.col("v") - F.col("ewma")
-    noise = 1e-11 * F.greatest(F.abs("v"), F.abs("ewma"))
-    d = ewma(df, alpha, max_rows, block_rows).withColumn("_res", F.when(F.abs(res) > noise, res).otherwise(0.0))
+    """Flag |x - y| > k * std, with the sample std of the baseline residuals (1e-6 if 0 or missing)."""
+    d = ewma(df, alpha, max_rows, block_rows).withColumn("_res", F.col("v") - F.col("ewma"))
     spread = F.stddev_samp(F.when(F.col("is_baseline"), F.col("_res")))
     if max_rows is not None:
         # a short series stays in the partition the scan put it in
@@ -244,50 +241,47 @@ def rrcf_detect(df: DataFrame, k: float = fixed.FOREST_MULTIPLIER, trees: int =
     return _per_window(df, score)
 
 
-def run_length_modes(x: np.ndarray, hazard: float, cap: int) -> np.ndarray:
+def run_length_modes(x: np.ndarray, hazard: float) -> np.ndarray:
     """Most likely run length before each row (Adams & MacKay 2007, multivariate t predictive).
 
-    Prior: mean 0, scale matrix I, kappa 1, d + 1 degrees of freedom. Run lengths beyond
-    ``cap`` are merged into the last one.
+    Prior: mean 0, scale matrix I, kappa 1, d + 1 degrees of freedom. Every run length of the window is kept; the inverse
+    and log-determinant of each scale matrix follow its rank-one updates, so a row costs d * d per run length.
     """
     n, d = x.shape
-    mu, psi = np.zeros((1, d)), np.eye(d)[None]
-    kappa, nu = np.ones(1), np.full(1, d + 1.0)
+    ages = np.arange(n + 1.0)
+    kappas, dofs = 1.0 + ages, 2.0 + ages  # by run length
+    gammas = np.array([math.lgamma((f + d) / 2) - math.lgamma(f / 2) for f in dofs]) - d / 2 * np.log(dofs * math.pi)
+    widths = (kappas + 1) / (kappas * dofs)
+    mu, inverse, logdet = np.zeros((1, d)), np.eye(d)[None], np.zeros(1)
     log_r, modes = np.zeros(1), np.zeros(n, int)
     stay, leave = math.log1p(-1.0 / hazard), -math.log(hazard)
-    lgamma = np.vectorize(math.lgamma)
     for t in range(n):
         modes[t] = int(np.argmax(log_r))
-        dof = nu - d + 1
-        shape = psi * ((kappa + 1) / (kappa * dof))[:, None, None]
+        kappa, dof, wide = kappas[: t + 1], dofs[: t + 1], widths[: t + 1]
         diff = x[t] - mu
-        dist = np.einsum("ri,ri->r", diff, np.linalg.solve(shape, diff[..., None])[..., 0])
-        logp = (
-            lgamma((dof + d) / 2) - lgamma(dof / 2) - d / 2 * np.log(dof * math.pi)
-            - 0.5 * np.linalg.slogdet(shape)[1] - (dof + d) / 2 * np.log1p(dist / dof)
-        )
+        reach = np.einsum("rij,rj->ri", inverse, diff)
+        dist = np.einsum("ri,ri->r", diff, reach)
+        logp = gammas[: t + 1] - 0.5 * (logdet + d * np.log(wide)) - (dof + d) / 2 * np.log1p(dist / (wide * dof))
         grown = log_r + logp
         log_r = np.concatenate([[np.logaddexp.reduce(grown) + leave], grown + stay])
         log_r -= np.logaddexp.reduce(log_r)
-        step = (kappa / (kappa + 1))[:, None, None] * np.einsum("ri,rj->rij", diff, diff)
+        share = kappa / (kappa + 1)
+        shrink = share / (1 + share * dist)
+        inverse = np.concatenate([np.eye(d)[None], inverse - shrink[:, None, None] * reach[:, :, None] * reach[:, None, :]])
+        logdet = np.concatenate([[0.0], logdet + np.log1p(share * dist)])
         mu = np.concatenate([np.zeros((1, d)), (kappa[:, None] * mu + x[t]) / (kappa + 1)[:, None]])
-        psi = np.concatenate([np.eye(d)[None], psi + step])
-        kappa, nu = np.concatenate([[1.0], kappa + 1]), np.concatenate([[d + 1.0], nu + 1])
-        if len(log_r) > cap + 1:
-            log_r[-2] = np.logaddexp(log_r[-2], log_r[-1])
-            log_r, mu, psi, kappa, nu = log_r[:-1], mu[:-1], psi[:-1], kappa[:-1], nu[:-1]
     return modes
 
 
-def change_points(modes: np.ndarray, cap: int) -> np.ndarray:
+def change_points(modes: np.ndarray) -> np.ndarray:
     """Rows at which the most likely run does not simply grow by one."""
     flags = np.zeros(len(modes), bool)
-    flags[1:] = (modes[1:] != modes[:-1] + 1) & ~((modes[1:] == cap) & (modes[:-1] == cap))
+    flags[1:] = modes[1:] != modes[:-1] + 1
     return flags
 
 
-def bocpd_detect(df: DataFrame, hazard: float = fixed.HAZARD, cap: int = 300) -> DataFrame:
-    """Change points of the scaled, non-constant resource series; a failing window has none."""
+def bocpd_detect(df: DataFrame, hazard: float = fixed.HAZARD) -> DataFrame:
+    """Change points of the scaled, non-constant resource series."""
 
     def score(x: np.ndarray, base: np.ndarray):
         span = x.max(0) - x.min(0)
@@ -296,10 +290,7 @@ def bocpd_detect(df: DataFrame, hazard: float = fixed.HAZARD, cap: int = 300) ->
             return np.zeros(len(x), bool), np.zeros(len(x))
         span = x.max(0) - x.min(0)
         x = np.where(span > 1e-6, (x - x.min(0)) / np.where(span > 1e-6, span, 1.0), 0.0)
-        try:
-            flags = change_points(run_length_modes(x, hazard, cap), cap)
-        except np.linalg.LinAlgError:
-            flags = np.zeros(len(x), bool)
+        flags = change_points(run_length_modes(x, hazard))
         return flags, flags.astype(float)
 
     return _per_window(resource_series(df), score)

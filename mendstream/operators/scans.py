@@ -8,9 +8,19 @@ Block rows per key grow with the time span only, never with the row count.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import IntegralType
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null equals null, so rows with a missing key stay."""
+    named = {k: f"_same_{k}" for k in keys}
+    other = right.select(*[F.col(k).alias(n) for k, n in named.items()], *[c for c in right.columns if c not in named])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()])
+    return left.join(other, on, how).drop(*named.values())
 
 
 def with_block(df: DataFrame, order: str, seconds: int, name: str = "block") -> DataFrame:
@@ -35,8 +45,7 @@ def forward_fill(df: DataFrame, keys: list[str], order: str, col: str, block: st
         .drop("_last")
     )
     return (
-        df.withColumn("_local", F.last(col, ignorenulls=True).over(local))
-        .join(blocks, [*keys, block])
+        join_same(df.withColumn("_local", F.last(col, ignorenulls=True).over(local)), blocks, [*keys, block])
         .withColumn(out, F.coalesce("_local", "_carry"))
         .drop("_local", "_carry")
     )
@@ -61,8 +70,7 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
         .drop("_s")
     )
     return (
-        df.withColumn("_local", F.coalesce(F.sum("_x").over(local), F.lit(0)))
-        .join(blocks, [*keys, block])
+        join_same(df.withColumn("_local", F.coalesce(F.sum("_x").over(local), F.lit(0))), blocks, [*keys, block])
         .withColumn(out, F.col("_base") + F.col("_local"))
         .drop("_x", "_local", "_base")
     )
@@ -113,18 +121,26 @@ def map_runs(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[tup
     """Apply ``fn(key, rows)`` to every run of equal keys, rows sorted by ``order``.
 
     For groups of a bounded size (one block, one row per block). Works through whole Arrow batches, so
-    many small groups cost no call into pandas each; one group at a time is held.
+    many small groups cost no call into pandas each; one group at a time is held. Null keys form one run.
     """
     names = df.columns
     n = len(keys)
     cols = [*keys, *[c for c in names if c not in keys]]
     out_names = [c.strip().split()[0].strip("`") for c in schema.split(", ")]
 
+    whole = {k for k in keys if isinstance(df.schema[k].dataType, IntegralType)}
+
+    def values(pdf: pd.DataFrame, c: str) -> pd.Series | list:
+        if c not in keys or not pdf[c].hasnans:
+            return pdf[c]
+        # a null among numbers arrives as NaN, and numbers as floats
+        return [None if pd.isna(v) else int(v) if c in whole else v for v in pdf[c]]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, []
         for pdf in batches:
             out: list[tuple] = []
-            for row in zip(*[pdf[c] for c in cols]):
+            for row in zip(*[values(pdf, c) for c in cols]):
                 if row[:n] != current:
                     if held:
                         out.extend(fn(current, held))
@@ -175,7 +191,7 @@ def greedy_spacing(df: DataFrame, keys: list[str], order: str, gap: str, block_s
                 yield (*key[:-1], int(t))
                 allowed = int(t) + int(g)
 
-    joined = rows.join(carry, [*keys, "block"]).select(*keys, "block", "_t", "_gap", "_allowed")
+    joined = join_same(rows, carry, [*keys, "block"]).select(*keys, "block", "_t", "_gap", "_allowed")
     return map_runs(joined, [*keys, "block"], ["_t"], accept, f"{key_ddl}, _t long").withColumnRenamed("_t", order)
 
 
@@ -187,7 +203,7 @@ def fold_sorted(df: DataFrame, key: str, order: list[str], step, new_state, sche
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.strip().split()[0] for c in schema.split(",")]
-        current, state = None, None
+        current, state = object(), None  # equal to no key, null included
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):

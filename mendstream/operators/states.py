@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
-from mendstream.operators.scans import fold_sorted, forward_fill, greedy_spacing, running_sum, with_block
+from mendstream.operators.scans import fold_sorted, forward_fill, greedy_spacing, join_same, running_sum, with_block
 from mendstream.operators.timeseries import WIN, rolling_range
 from mendstream.session import bounded, reuse
 
@@ -18,14 +18,14 @@ def cooldown_dedup(alerts: DataFrame, cooldowns: DataFrame, key: list[str], by:
     alert by more than the cooldown. Rejected alerts do not extend it.
 
     Alerts are reduced to the first one per (key, second) before the fold, so a key has at most
-    one row per second whatever its volume.
+    one row per second whatever its volume. Alerts that miss a part of the key share the key with a null there.
     """
     dim = bounded(cooldowns.select(by, F.col("cooldown").cast("long")))
     d = alerts.join(dim, by, "left").withColumn("_gap", F.coalesce("cooldown", F.lit(default)) + 1).drop("cooldown")
     firsts = reuse(d.groupBy(*key, "t").agg(F.min("alert_id").alias("alert_id"), F.max("_gap").alias("_g")))
     taken = greedy_spacing(firsts.select(*key, "t", "_g"), key, "t", "_g")
-    hit = firsts.drop("_g").join(taken, [*key, "t"]).withColumn("accepted", F.lit(True))
-    return d.drop("_gap").join(hit, [*key, "t", "alert_id"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+    hit = join_same(firsts.drop("_g"), taken, [*key, "t"]).withColumn("accepted", F.lit(True))
+    return join_same(d.drop("_gap"), hit, [*key, "t", "alert_id"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 
 def detection_candidates(flags: DataFrame, start: DataFrame, gap: int = 5, limit: int = 8) -> DataFrame:
@@ -95,10 +95,10 @@ def correlate_incidents(alerts: DataFrame, edges: DataFrame, closes: DataFrame |
 
     fate = fold_sorted(steps, "tenant_id", ["t", "kind", "first_id"], step, dict,
                        "tenant_id string, epoch long, service string, role0 string, root_service string, start_time long, opened_by long")
-    labelled = secs.select(*key, "epoch").join(fate, ["tenant_id", "epoch", "service"]).drop("epoch")
+    labelled = join_same(secs.select(*key, "epoch"), fate, ["tenant_id", "epoch", "service"]).drop("epoch")
     role = F.when((F.col("role0") == "root") & (F.col("alert_id") != F.col("opened_by")), "duplicate").otherwise(F.col("role0"))
     return (
-        alerts.join(labelled, key)
+        join_same(alerts, labelled, key)
         .withColumn("role", role)
         .withColumn("incident_id", incident_id("tenant_id", "root_service", "start_time"))
         .drop("role0", "opened_by")
@@ -123,7 +123,7 @@ def incident_table(labelled: DataFrame, closes: DataFrame | None = None) -> Data
     ev = ev.withColumn("_o", -(F.col("t") * 2 + F.when(F.col("c").isNull(), 1).otherwise(0))).withColumn("_neg", -F.col("t")).distinct()
     ev = forward_fill(with_block(ev, "_neg", 86400), ["tenant_id", "service"], "_o", "c", "block", out="closed_at")
     ends = ev.where("c IS NULL").select("tenant_id", F.col("service").alias("root_service"), F.col("t").alias("start_time"), "closed_at")
-    return inc.join(ends, ["tenant_id", "root_service", "start_time"], "left").withColumn(
+    return join_same(inc, ends, ["tenant_id", "root_service", "start_time"], "left").withColumn(
         "status", F.when(F.col("closed_at").isNull(), "active").otherwise("resolved"))
 
 
@@ -170,7 +170,7 @@ def circuit_breaker(failures: DataFrame, alerts: DataFrame, reset_after: int | N
     opens = breaker_openings(failures, limit, window)
     if reset_after is None:
         first = opens.groupBy(*BREAKER_KEY).agg(F.min("t").alias("opened_at"))
-        return alerts.join(first, BREAKER_KEY, "left").withColumn(
+        return join_same(alerts, first, BREAKER_KEY, "left").withColumn(
             "breaker_open", F.coalesce(F.col("opened_at") <= F.col("t"), F.lit(False)))
     marks = opens.select(*BREAKER_KEY, "t", F.lit(None).cast("long").alias("alert_id"), F.col("t").alias("_at"))
     both = alerts.withColumn("_at", F.lit(None).cast("long")).unionByName(marks, allowMissingColumns=True)
@@ -216,8 +216,8 @@ def idempotency_dedup(requests: DataFrame, stage: str = "decide") -> DataFrame:
     return d.withColumn("conflict", F.coalesce(later, F.lit(False))).drop("_f")
 
 
-def tier_rate_limit(requests: DataFrame, tiers: DataFrame, seconds: int = 60) -> DataFrame:
-    """Adds ``allowed``: the first ``limit`` requests of the tenant's tier per window.
+def tier_rate_limit(requests: DataFrame, tiers: DataFrame, seconds: int = 60, default: int = fixed.TIER_LIMITS[-1][1]) -> DataFrame:
+    """Adds ``allowed``: the first ``limit`` requests of the tenant's tier per window; unlisted tenants have the ``default`` limit.
 
     Per-second counts decide the border second of each window; only that second's
     requests are ranked, all others follow from the counts.
@@ -226,8 +226,9 @@ def tier_rate_limit(requests: DataFrame, tiers: DataFrame, seconds: int = 60) ->
     d = requests.withColumn("slot", F.expr(f"t div {seconds}"))
     per = d.groupBy("tenant_id", "slot", "t").agg(F.count("*").alias("n"))
     before = W.partitionBy("tenant_id", "slot").orderBy("t").rowsBetween(W.unboundedPreceding, -1)
-    per = per.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(dim, "tenant_id")
-    d = d.join(per, ["tenant_id", "slot", "t"])
+    per = per.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(dim, "tenant_id", "left")
+    per = per.withColumn("rate_limit", F.coalesce("rate_limit", F.lit(default)))
+    d = join_same(d, per, ["tenant_id", "slot", "t"])
     border = (F.col("before") < F.col("rate_limit")) & (F.col("before") + F.col("n") > F.col("rate_limit"))
     ranked = d.where(border).withColumn("_r", F.row_number().over(W.partitionBy("tenant_id", "slot", "t").orderBy("request_id")))
     inside = d.where(~border).withColumn("allowed", F.col("before") < F.col("rate_limit"))

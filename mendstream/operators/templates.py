@@ -36,7 +36,7 @@ def _cluster(rows: Iterator[tuple[int, list[str]]], similarity: float) -> Iterat
         yield item, best
 
 
-def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARITY, shard_size: int = 5000,
+def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARITY,
                    keys: list[str] = ["tenant_id"]) -> tuple[DataFrame, DataFrame]:
     """Returns (messages, templates).
 
@@ -45,50 +45,31 @@ def mine_templates(logs: DataFrame, similarity: float = fixed.TEMPLATE_SIMILARIT
     is decided by the first message of a template.
 
     Rows are reduced to distinct masked messages first. Messages can share a template only inside a
-    leaf (container, token count), so leaves are independent. A leaf with more than ``shard_size``
-    distinct messages is cut into shards that are clustered alone, then the shard templates
-    of the leaf are clustered by the same rule; smaller leaves are clustered in first-seen order.
+    leaf (container, token count), so leaves are independent; each is clustered in first-seen order whatever its
+    size, as the order decides the templates. A task holds the distinct masked messages of one leaf: few where masking hides what varies,
+    but a leaf of messages that all differ stays in one task.
     """
     leaf = [*keys, "container_name", "n_tokens"]
     masked = mask_log(F.concat_ws(" ", "container_name", "message"))
-    # kept: the logs are masked once for both the leaf sizes and the clustering
-    distinct = reuse(
+    distinct = (
         logs.select(*keys, "container_name", masked.alias("masked"), "seq", "level")
         .groupBy(*keys, "container_name", "masked")
         .agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"), F.min_by("level", "seq").alias("level"))
         .withColumn("n_tokens", F.size(F.split(F.trim("masked"), r"\s+")))
     )
-    size = distinct.groupBy(*leaf).agg(F.count("*").alias("_m"))
-    # a hash shard needs no order over the whole leaf; one shard keeps the first-seen order exactly
-    sharded = (
-        distinct.join(size, leaf).withColumn("_shards", F.ceil(F.col("_m") / shard_size))
-        .withColumn("_shard", F.pmod(F.xxhash64("masked"), "_shards")).drop("_m")
-    )
-
     key_ddl = ", ".join(f"{k} {logs.schema[k].dataType.simpleString()}" for k in keys)
     leaf_ddl = f"{key_ddl}, container_name string, n_tokens int"
 
-    def first_pass(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
-        items = list(_cluster(enumerate(r[0].split() for r in rows), similarity))
-        for r, (_, tpl) in zip(rows, items):
-            yield (*key[:-1], *r, " ".join(tpl))
-
-    cols = sharded.select(*leaf, "_shard", "masked", "first_seq", "n", "level", "_shards")
-    local = reuse(map_runs(cols, [*leaf, "_shard"], ["first_seq"], first_pass,
-                           f"{leaf_ddl}, masked string, first_seq long, n long, level string, _shards long, _local string"))
-
-    def second_pass(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
-        if rows[0][2] == 1:
-            yield from ((*key, r[0], r[0]) for r in rows)
-            return
+    def cluster(key: tuple, rows: list[tuple]) -> Iterator[tuple]:
         items = list(_cluster(enumerate(r[0].split() for r in rows), similarity))
         for r, (_, tpl) in zip(rows, items):
-            yield (*key, r[0], " ".join(tpl))
+            yield (*key, *r, " ".join(tpl))
 
-    firsts = local.groupBy(*leaf, "_local").agg(F.min("first_seq").alias("_seen"), F.max("_shards").alias("_shards"))
-    merged = map_runs(firsts, leaf, ["_seen"], second_pass, f"{leaf_ddl}, _local string, pattern string")
+    # both results read it
+    named = reuse(map_runs(distinct.select(*leaf, "masked", "first_seq", "n", "level"), leaf, ["first_seq", "masked"], cluster,
+                           f"{leaf_ddl}, masked string, first_seq long, n long, level string, pattern string"))
     template_id = F.substring(F.sha2(F.concat_ws("#", *keys, "container_name", "pattern"), 256), 1, 16)
-    messages = local.join(merged, [*leaf, "_local"]).withColumn("template_id", template_id).drop("_local", "_shards")
+    messages = named.withColumn("template_id", template_id)
     templates = messages.groupBy(*keys, "template_id", "pattern", "container_name").agg(
         F.sum("n").alias("n"), F.min_by("level", "first_seq").alias("_level"), F.min_by("masked", "first_seq").alias("first_pattern")
     ).withColumn("is_error", is_error_log(F.col("first_pattern"), F.col("_level"))).drop("_level")

@@ -35,7 +35,7 @@ def trigger_metric(df: DataFrame, anchors: DataFrame, services: DataFrame | None
 
 def first_anomalies(points: DataFrame, width: int, window: int, detector: str | None = "bocpd") -> DataFrame:
     """One row per window: first flagged row after the live baseline (-1 if none), severity and trigger metric."""
-    df = reuse(TS.baseline_split(aligned_windows(points, width, window)))
+    df = reuse(TS.baseline_split(TS.clean_non_finite(aligned_windows(points, width, window))))
     flags = reuse(D.detect(df, detector, max_rows=window // width))
     start = df.groupBy(*WIN).agg(F.min("baseline_len").alias("search_start"))
     found = TS.first_detection(flags, start)

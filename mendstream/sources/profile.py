@@ -36,8 +36,9 @@ def load_platform_profile(spark: SparkSession, paths: str | list[str]) -> dict[s
 
 
 def flat_runbooks(books: DataFrame) -> DataFrame:
+    """One row per runbook, with its profile where ``books`` have one."""
     return books.select(
-        "name", F.coalesce("pattern_type", F.lit("urgent")).alias("pattern_type"), "action_plan", "blast_radius_config.max_pod_impact_pct",
+        *[c for c in ["profile_name"] if c in books.columns], "name", F.coalesce("pattern_type", F.lit("urgent")).alias("pattern_type"), "action_plan", "blast_radius_config.max_pod_impact_pct",
         "blast_radius_config.circuit_breaker_error_rate", "blast_radius_config.allowed_namespaces", "verify_policy.window_seconds", "verify_policy.success_conditions")
 
 

@@ -77,7 +77,7 @@ def test_ten_thousand_point_window(spark):
 def test_run_length_restarts_at_a_mean_shift():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 0.05, (80, 2)), rng.normal(1, 0.05, (40, 2))])
-    flags = D.change_points(D.run_length_modes(x, 50, 300), 300)
+    flags = D.change_points(D.run_length_modes(x, 50))
     assert flags[78:90].any() and not flags[20:78].any()
     # the cap merges old run lengths and must not itself look like a change
     assert not D.change_points(D.run_length_modes(rng.normal(0, 1, (200, 1)), 1e6, 50), 50)[60:].any()
@@ -95,10 +95,10 @@ def test_templates_merge_and_stay_apart(spark):
     assert msgs.count() == 5
 
 
-def test_sharded_leaf_gives_the_same_templates(spark):
+def test_large_leaf_gives_the_same_templates(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     rows = [("hot", f"job {word()} done in time by worker") for _ in range(300)] + [("hot", f"lock lost on table {word()} again now") for _ in range(300)]
     one = {r.pattern: r.n for r in TP.mine_templates(logs(spark, rows))[1].collect()}
-    many = {r.pattern: r.n for r in TP.mine_templates(logs(spark, rows), shard_size=50)[1].collect()}
+    many = {r.pattern: r.n for r in TP.mine_templates(logs(spark, rows).repartition(7))[1].collect()}
     assert one == many == {"hot job <*> done in time by worker": 300, "hot lock lost on table <*> again now": 300}
