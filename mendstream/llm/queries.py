@@ -17,6 +17,9 @@ NAMES = {
     "op8_quality": ("quality", "op8"),
     "op9_ngram_join": ("ngramjoin", "op9"),
     "op10_url_filter": ("urls", "op10"),
+    "op11_simhash": ("simhash", "op11"),
+    "op12_alignment": ("align", "op12"),
+    "op13_divergence": ("skyband", "op13"),
 }
 
 
