@@ -12,6 +12,8 @@ sources, so pairs are never written out for each term.
 """
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,11 +21,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from mendstream.llm.common import batch_rows, column, reuse
+from mendstream.llm.common import batch_rows, column, flat, reuse
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE, SMOOTH = 1_000_000_000, 5
+LETTERS = bytes([*range(0x61, 0x7B), *range(0x80, 0x100)])  # in lower-cased UTF-8
+WORDS, GAP = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
+PIECE, HELD = 1 << 20, 1 << 18  # bytes whose terms are listed at once, sums that a task holds
 CELLS = 1 << 19  # counts in a block of terms
 ROWS, GRID = 1024, 1 << 23  # rows that are held against a skyband at once, and comparisons
 
@@ -78,18 +83,53 @@ def skyband(df: DataFrame, by: list[str], high: str, low: str, name: str, k: int
     return merged.select(*by, F.col("_high").alias(high), F.col("_low").alias(low), F.col("_name").alias(name))
 
 
-def terms(text: Column) -> Column:
-    """Terms of a text: runs of ASCII letters and anything beyond ASCII, only A-Z lower-cased. None in a null text."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), F.lit(0))
+def term_counts(df: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """lang, source, term, n (occurrences), docs (rows with the term); null counts as ''.
 
+    Terms are runs of ASCII letters and anything beyond ASCII, only A-Z lower-cased. A task adds up what it sees and hands its sums on
+    whenever it holds ``HELD`` of them, so a common term is one row for many texts.
+    """
+    rows = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
 
-def term_counts(df: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """lang, source, term, n (occurrences), docs (rows with the term); null counts as ''."""
-    found = F.array_sort(terms(F.col(text_col)))  # a term's first place in the sorted list counts the row
-    rows = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"))], found.alias("_found"))
-    first = F.transform("_found", lambda t, i: F.struct(t.alias("term"), F.when((i == 0) | (F.get("_found", i - 1) != t), 1).otherwise(0).alias("new")))
-    rows = rows.select("lang", "source", F.explode(first).alias("_t"))
-    return rows.groupBy("lang", "source", F.col("_t.term").alias("term")).agg(F.count("*").alias("n"), F.sum("_t.new").alias("docs"))
+    def out(sums: dict) -> pa.RecordBatch:
+        keys = [k for k, (n, _) in sums.items() for _ in range(len(n))]
+        cols = [[k[0] for k in keys], [k[1] for k in keys], [t for n, _ in sums.values() for t in n], [c for n, _ in sums.values() for c in n.values()], [d[t] for n, d in sums.values() for t in n]]
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+        arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
+        arrays[2] = arrays[2].cast(pa.string())
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for batch in batches:
+            buf, off = flat(column(batch, "text"))
+            for key, a, b in zip(zip(column(batch, "lang").to_pylist(), column(batch, "source").to_pylist()), off[:-1].tolist(), off[1:].tolist()):
+                if key not in sums:
+                    sums[key] = (Counter(), Counter())
+                n, docs = sums[key]
+                seen = set()
+                while a < b:  # a very long text in pieces, cut behind a term
+                    c = min(b, a + PIECE)
+                    piece = buf[a:c].tobytes().lower()
+                    tail = len(piece.rstrip(LETTERS)) if c < b else len(piece)
+                    if not tail and c < b:  # one term longer than a piece
+                        rest = GAP.search(buf[c:b].tobytes().lower())
+                        c = c + rest.start() if rest else b
+                        piece = buf[a:c].tobytes().lower()
+                        tail = len(piece)
+                    found = WORDS.findall(piece, 0, tail)
+                    n.update(found)
+                    seen.update(found)
+                    a += tail
+                docs.update(seen)
+            if sum(len(n) for n, _ in sums.values()) > HELD:
+                yield out(sums)
+                sums = {}
+        if sums:
+            yield out(sums)
+
+    each = batch_rows(rows).mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    return each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def smoothed(count: Column, total: Column, size: Column) -> Column:

@@ -244,3 +244,12 @@ def test_empty_tables_repeated_rows_and_null_ids(docs, spark):
     got = simhash.simhash_components(df).collect()
     assert len(got) == 6 and sorted((r._id or 0, r.component_id) for r in got) == [(0, 2), (0, 3), (0, 3), (2, 2), (3, 3), (3, 3)]
     assert align.alignment(df, *paths)[0].where(F.col("n_a") > 0).count() == 4
+
+
+def test_terms_of_long_texts_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(skyband, "PIECE", 16)
+    monkeypatch.setattr(skyband, "HELD", 5)
+    df = spark.createDataFrame([(t, "l", "s") for t in [LONG[:900], "x" * 50 + " Y" * 30, "é" * 40, None]], "text string, lang string, source string")
+    got = {r.term: (r.n, r.docs) for r in skyband.term_counts(df, "text", "lang", "source").collect()}
+    lists = [TERM.findall(low(r.text)) for r in df.collect()]
+    assert got == {t: (sum(x.count(t) for x in lists), sum(t in x for x in lists)) for t in {t for x in lists for t in x}}
