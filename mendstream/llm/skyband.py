@@ -29,7 +29,7 @@ SCALE, SMOOTH = 1_000_000_000, 5
 LETTERS = bytes([*range(0x61, 0x7B), *range(0x80, 0x100)])  # in lower-cased UTF-8
 WORDS, GAP = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
 PIECE, HELD = 1 << 20, 1 << 18  # bytes whose terms are listed at once, sums that a task holds
-CELLS = 1 << 19  # counts in a block of terms
+CELLS = 1 << 15  # counts in a block of terms
 ROWS, GRID = 1024, 1 << 23  # rows that are held against a skyband at once, and comparisons
 
 
