@@ -35,23 +35,21 @@ def run(df, mode="append"):
 @query("g1_stream_cooldown", "WITH RECURSIVE " + ALERTS + """, acc AS (SELECT namespace, service, min(t) AS t FROM al0 GROUP BY 1, 2
     UNION ALL SELECT a.namespace, a.service, min(f.t) FROM acc a JOIN al0 f USING (namespace, service) WHERE f.t > a.t + 25000 GROUP BY a.namespace, a.service, a.t),
   f AS (SELECT namespace, service, t, min(alert_id) AS alert_id FROM al0 GROUP BY 1, 2, 3)
-SELECT namespace || '/' || service AS lock_key, alert_id, t, alert_id IN (SELECT f.alert_id FROM f JOIN acc USING (namespace, service, t)) AS accepted FROM al0""")
+SELECT namespace || '/' || service AS lock_key, alert_id, t, alert_id IN (SELECT f.alert_id FROM f JOIN acc USING (namespace, service, t)) AS accepted FROM al0
+WHERE t + 1 <= (SELECT epoch(max(ts)) FROM events WHERE event_type = 'error')""")
 def _(spark, sf):
     spaces = F.array(F.lit("tenant-payment"), F.lit("tenant-checkout"), F.lit("other"))
     a = source(spark, sf).where("event_type = 'error'").select(
-        F.concat_ws("/", F.element_at(spaces, (F.col("user_id") % 3 + 1).cast("int")), "service").alias("lock_key"), F.col("event_id").alias("alert_id"), "t", F.lit(25000).alias("cooldown"))
-    return run(ST.stream_cooldown(a))
+        F.concat_ws("/", F.element_at(spaces, (F.col("user_id") % 3 + 1).cast("int")), "service").alias("lock_key"), F.col("event_id").alias("alert_id"), "ts", F.lit(25000).alias("cooldown"))
+    return run(ST.stream_cooldown(a, late="0 seconds"))
 
 
-@query("g2_stream_incidents", "WITH RECURSIVE " + FOLD + " SELECT tenant_id, alert_id, t, service, role, root_service, start_time FROM fo WHERE role <> ''")
+@query("g2_stream_incidents", "WITH RECURSIVE " + FOLD + " SELECT tenant_id, alert_id, t, service, role, root_service, start_time FROM fo WHERE role <> '' AND t + 1 <= (SELECT epoch(max(e.ts)) FROM events e JOIN ev USING (event_id) WHERE e.event_type = 'error' OR (e.event_type = 'purchase' AND ev.k >= 80))")
 def _(spark, sf):
     s = source(spark, sf)
     ev = s.where("event_type = 'error' OR (event_type = 'purchase' AND k >= 80)").select(
-        "tenant_id", "t", F.when(F.col("event_type") == "error", 1).otherwise(0).alias("kind"), F.col("event_id").alias("alert_id"), "service")
-    up: dict[str, list[str]] = {}
-    for a, b in X.EDGES:
-        up.setdefault(a, []).append(b)
-    return run(ST.stream_incidents(ev, up))
+        "tenant_id", "ts", F.when(F.col("event_type") == "error", 1).otherwise(0).alias("kind"), F.col("event_id").alias("alert_id"), "service")
+    return run(ST.stream_incidents(ev, X.edges(spark), late="0 seconds"))
 
 
 @query("d1_stream_ewma", "WITH RECURSIVE " + TEL + """, b AS (SELECT tenant_id, service, t, seq, value_num AS v FROM tel WHERE signal_name = 'service_latency_p95'),
@@ -63,7 +61,7 @@ def _(spark, sf):
     return run(ST.stream_ewma(p)).select("tenant_id", "series", "t", "seq", F.round(F.sqrt("ewma"), 6).alias("ewma"))
 
 
-# the last window stays open: the watermark has not passed its end
+# seconds and windows that the watermark has not passed stay open: the watermark has not passed its end
 @query("g9_stream_malformed", with_(EV) + """SELECT (t // 21600) * 21600 AS window_start, count(*) AS n, count(*) FILTER (k = 0) AS rejected, count(*) FILTER (k = 0) / count(*) > 0.005 AS alert FROM ev GROUP BY 1 HAVING (t // 21600) * 21600 + 21600 <= (SELECT max(t) FROM ev)""")
 def _(spark, sf):
     s = source(spark, sf).withColumn("errors", F.when(F.col("k") == 0, F.array(F.lit("ts"))).otherwise(F.array().cast("array<string>")))

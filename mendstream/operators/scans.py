@@ -7,12 +7,14 @@ Block rows per key grow with the time span only, never with the row count.
 """
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -123,34 +125,25 @@ def map_runs(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[tup
     For groups of a bounded size (one block, one row per block). Works through whole Arrow batches, so
     many small groups cost no call into pandas each; one group at a time is held. Null keys form one run.
     """
-    names = df.columns
     n = len(keys)
-    cols = [*keys, *[c for c in names if c not in keys]]
-    out_names = [c.strip().split()[0].strip("`") for c in schema.split(", ")]
+    cols = [*keys, *[c for c in df.columns if c not in keys]]
+    out_type = to_arrow_schema(StructType.fromDDL(schema))
 
-    whole = {k for k in keys if isinstance(df.schema[k].dataType, IntegralType)}
-
-    def values(pdf: pd.DataFrame, c: str) -> pd.Series | list:
-        if c not in keys or not pdf[c].hasnans:
-            return pdf[c]
-        # a null among numbers arrives as NaN, and numbers as floats
-        return [None if pd.isna(v) else int(v) if c in whole else v for v in pdf[c]]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
-        for pdf in batches:
+        for batch in batches:
             out: list[tuple] = []
-            for row in zip(*[values(pdf, c) for c in cols]):
+            for row in zip(*[c.to_pylist() for c in batch.columns]):  # whole numbers stay exact beside nulls
                 if row[:n] != current:
                     if held:
                         out.extend(fn(current, held))
                     current, held = row[:n], []
                 held.append(row[n:])
-            yield pd.DataFrame(out, columns=out_names)
+            yield as_batch(out, out_type)
         if held:
-            yield pd.DataFrame(list(fn(current, held)), columns=out_names)
+            yield as_batch(list(fn(current, held)), out_type)
 
-    return df.select(*cols).repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return df.select(*cols).repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def greedy_spacing(df: DataFrame, keys: list[str], order: str, gap: str, block_seconds: int = 86400) -> DataFrame:
@@ -195,24 +188,31 @@ def greedy_spacing(df: DataFrame, keys: list[str], order: str, gap: str, block_s
     return map_runs(joined, [*keys, "block"], ["_t"], accept, f"{key_ddl}, _t long").withColumnRenamed("_t", order)
 
 
-def fold_sorted(df: DataFrame, key: str, order: list[str], step, new_state, schema: str) -> DataFrame:
-    """Stream each key's rows in order through ``step(state, row) -> output row``.
+def fold_sorted(df: DataFrame, keys: list[str], order: list[str], step, new_state, schema: str) -> DataFrame:
+    """Stream each key's rows in order through ``step(state, row) -> output row``; null is a key like any other.
 
     Rows arrive batch by batch, so memory holds one batch and the state of one key.
     """
+    Row = namedtuple("Row", df.columns)
+    out_type = to_arrow_schema(StructType.fromDDL(schema))
+    where = [df.columns.index(k) for k in keys]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.strip().split()[0] for c in schema.split(",")]
-        current, state = object(), None  # equal to no key, null included
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, state = None, None
+        for batch in batches:
             out = []
-            for row in pdf.itertuples(index=False):
-                k = getattr(row, key)
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                k = [row[i] for i in where]
                 if k != current:
                     current, state = k, new_state()
-                res = step(state, row)
+                res = step(state, Row(*row))
                 if res is not None:
                     out.append(res)
-            yield pd.DataFrame(out, columns=names)
+            yield as_batch(out, out_type)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
 
-    return df.repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, schema)
+def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
+from mendstream.operators.graph import service_parts
 from mendstream.operators.scans import fold_sorted, forward_fill, greedy_spacing, join_same, running_sum, with_block
 from mendstream.operators.timeseries import WIN, rolling_range
 from mendstream.session import bounded, reuse
@@ -50,32 +51,36 @@ def correlate_incidents(alerts: DataFrame, edges: DataFrame, closes: DataFrame |
     depends on an active root, a symptom (the oldest such incident); else it opens one. A close event
     (``tenant_id, service, t``) resolves the active incident of that root.
 
-    Between two closes of a tenant the active set only grows, so every alert of a service after its
-    first one repeats the first one's fate. Only the first alert per (tenant, close count, service)
+    Services of different connected parts of the dependency graph never meet, so every (tenant, part) is a history of its own.
+    Between two closes of a part its active set only grows, so every alert of a service after its
+    first one repeats the first one's fate. Only the first alert per (tenant, part, close count, service)
     and the closes go through the ordered fold; all other alerts are labelled by a join.
     """
     key = ["tenant_id", "service", "t"]
-    secs = alerts.groupBy(*key).agg(F.min("alert_id").alias("first_id"))
+    own = ["tenant_id", "part"]
+    dim = bounded(reuse(service_parts(edges)))
+    # a service without edges is a part of its own
+    placed = lambda d: d.join(dim, "service", "left").withColumn("part", F.coalesce("part", "service"))
+    secs = placed(alerts.groupBy(*key).agg(F.min("alert_id").alias("first_id"))).drop("depends")
     if closes is None:
         secs = secs.withColumn("epoch", F.lit(-1).cast("long"))
         closed = None
     else:
-        closed = closes.select("tenant_id", "service", "t").distinct()
-        marks = closed.groupBy("tenant_id", "t").agg(F.lit(None).cast("string").alias("service")).withColumn("_c", F.col("t"))
+        closed = placed(closes.select(*key).distinct()).drop("depends")
+        marks = closed.groupBy(*own, "t").agg(F.lit(None).cast("string").alias("service")).withColumn("_c", F.col("t"))
         # the epoch of an alert is the time of the last close at or before it
         both = secs.withColumn("_c", F.lit(None).cast("long")).withColumn("_o", F.col("t") * 2 + 1).unionByName(
             marks.withColumn("_o", F.col("t") * 2), allowMissingColumns=True)
-        both = forward_fill(with_block(both, "t", block), ["tenant_id"], "_o", "_c", "block", out="epoch")
-        secs = both.where("first_id IS NOT NULL").select(*key, "first_id", F.coalesce("epoch", F.lit(-1)).alias("epoch"))
+        both = forward_fill(with_block(both, "t", block), own, "_o", "_c", "block", out="epoch")
+        secs = both.where("first_id IS NOT NULL").select(*key, "part", "first_id", F.coalesce("epoch", F.lit(-1)).alias("epoch"))
     secs = reuse(secs)
-    firsts = secs.groupBy("tenant_id", "epoch", "service").agg(F.min(F.struct("t", "first_id")).alias("f"))
-    firsts = firsts.select("tenant_id", "epoch", "service", F.col("f.t").alias("t"), F.col("f.first_id").alias("first_id"))
+    firsts = secs.groupBy(*own, "epoch", "service").agg(F.min(F.struct("t", "first_id")).alias("f"))
+    firsts = firsts.select(*own, "epoch", "service", F.col("f.t").alias("t"), F.col("f.first_id").alias("first_id"))
     steps = firsts.withColumn("kind", F.lit(1))
     if closed is not None:
         steps = steps.unionByName(closed.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-    dim = bounded(edges.groupBy("service").agg(F.array_sort(F.collect_set("depends_on")).alias("depends")))
-    steps = steps.join(dim, "service", "left").select(
-        "tenant_id", "t", "kind", F.coalesce("first_id", F.lit(-1)).alias("first_id"), F.coalesce("epoch", F.lit(-1)).alias("epoch"),
+    steps = steps.join(dim.drop("part"), "service", "left").select(
+        *own, "t", "kind", F.coalesce("first_id", F.lit(-1)).alias("first_id"), F.coalesce("epoch", F.lit(-1)).alias("epoch"),
         "service", F.concat_ws(",", "depends").alias("depends"))
 
     def step(active: dict[str, int], r):
@@ -93,7 +98,7 @@ def correlate_incidents(alerts: DataFrame, edges: DataFrame, closes: DataFrame |
                 active[root] = r.t
         return (r.tenant_id, r.epoch, r.service, role, root, active[root], r.first_id)
 
-    fate = fold_sorted(steps, "tenant_id", ["t", "kind", "first_id"], step, dict,
+    fate = fold_sorted(steps, own, ["t", "kind", "first_id"], step, dict,
                        "tenant_id string, epoch long, service string, role0 string, root_service string, start_time long, opened_by long")
     labelled = join_same(secs.select(*key, "epoch"), fate, ["tenant_id", "epoch", "service"]).drop("epoch")
     role = F.when((F.col("role0") == "root") & (F.col("alert_id") != F.col("opened_by")), "duplicate").otherwise(F.col("role0"))

@@ -8,81 +8,117 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from mendstream import fixed
+from mendstream.operators.graph import service_parts
+from mendstream.session import bounded, reuse
+
+
+def closed_seconds(rows: DataFrame, ts: str, late: str, keys: list[str], *aggs) -> DataFrame:
+    """One row per second and key, handed on once the watermark has passed the second: ``at`` (its event time), ``t`` and ``aggs``.
+
+    This is the ordering buffer of the rules below. Micro-batches may bring rows in any order within ``late``; what leaves here is complete, never older than what left
+    before, and summed before the shuffle, so a busy key holds one row a second.
+    """
+    per = rows.withWatermark(ts, late).groupBy(F.window(ts, "1 second").alias("w"), *keys).agg(*aggs)
+    return per.select(F.window_time("w").alias("at"), F.unix_seconds("w.start").alias("t"), *[c for c in per.columns if c != "w"])
 
 
 class Cooldown(StatefulProcessor):
-    """Accepts an alert more than its cooldown after the last accepted one of the key."""
+    """Accepts the first alert more than the cooldown after the last accepted one of the key. The state is that one's time, dropped by an
+    event-time timer when the cooldown is over."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "t long")
+        self.handle = handle
+        self.last = handle.getValueState("last", "t long, until long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # one micro-batch of one key; the state is a single number
-        pdf = pd.concat(list(rows)).sort_values(["t", "alert_id"])
-        last = self.last.get()[0] if self.last.exists() else None
-        flags = []
+        # the closed seconds of one key since the last micro-batch
+        pdf = pd.concat(list(rows)).sort_values("t")
+        last, until = self.last.get() if self.last.exists() else (None, None)
+        before, flags = until, []
         for t, gap in zip(pdf["t"], pdf["cooldown"]):
             ok = last is None or t > last + gap
             flags.append(bool(ok))
             if ok:
-                last = int(t)
-        self.last.update((last,))
-        yield pdf[["lock_key", "alert_id", "t"]].assign(accepted=flags)
+                last, until = int(t), (int(t) + int(gap) + 1) * 1000
+        if until != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.last.update((last, until))
+            self.handle.registerTimer(until)
+        yield pdf[["lock_key", "alert_ids", "t"]].assign(accepted=flags)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield pd.DataFrame({"lock_key": pd.Series(dtype=str), "alert_ids": pd.Series(dtype=object), "t": pd.Series(dtype="int64"), "accepted": pd.Series(dtype=bool)})
 
     def close(self) -> None:
         pass
 
 
-def stream_cooldown(alerts: DataFrame) -> DataFrame:
-    """``alerts``: ``lock_key, alert_id, t, cooldown`` as a stream. Rows of a key must arrive in time order
-    across micro-batches; within one they are sorted."""
-    cols = alerts.select("lock_key", "alert_id", "t", F.col("cooldown").cast("long").alias("cooldown"))
-    return cols.groupBy("lock_key").transformWithStateInPandas(
-        Cooldown(), "lock_key string, alert_id long, t long, accepted boolean", "Append", "None")
+def stream_cooldown(alerts: DataFrame, ts: str = "ts", late: str = "1 minute") -> DataFrame:
+    """``alerts``: ``lock_key, alert_id, ts, cooldown`` as a stream, in any order within ``late``: ``lock_key, alert_id, t, accepted`` of every
+    alert whose second the watermark has passed.
 
+    The answer is that of the batch rule on the same alerts. Alerts later than the watermark are dropped, as with every window of the stream.
+    """
+    rows = alerts.select(ts, "lock_key", "alert_id", F.col("cooldown").cast("long").alias("cooldown"))
+    per = closed_seconds(rows, ts, late, ["lock_key"], F.max("cooldown").alias("cooldown"), F.array_sort(F.collect_list("alert_id")).alias("alert_ids"))
+    kept = per.groupBy("lock_key").transformWithStateInPandas(Cooldown(), "lock_key string, alert_ids array<long>, t long, accepted boolean", "Append", "EventTime")
+    each = kept.select("lock_key", F.posexplode("alert_ids").alias("n", "alert_id"), "t", "accepted")
+    return each.select("lock_key", "alert_id", "t", (F.col("accepted") & (F.col("n") == 0)).alias("accepted"))
 
-class Incidents(StatefulProcessor):
-    """Active incidents of one tenant: root service -> start time and creation order."""
 
-    def __init__(self, edges: dict[str, list[str]]):
-        self.edges = edges
+class Incidents(StatefulProcessor):
+    """Active incidents of one connected part of a tenant's services: root service -> start time and creation order. The state is empty when
+    all are closed."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.active = handle.getMapState("active", "service string", "start long, ord long")
-        self.next = handle.getValueState("next", "n long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["t", "kind", "alert_id"])
-        n = self.next.get()[0] if self.next.exists() else 0
+        # the closed seconds of one part since the last micro-batch, a row for each service
+        pdf = pd.concat(list(rows))
+        pdf = pdf.assign(first=[ids[0] for ids in pdf["alert_ids"]]).sort_values(["t", "kind", "first"])
         roots = {k[0]: (v[0], v[1]) for k, v in self.active.iterator()}
+        kept, n = set(roots), max((o for _, o in roots.values()), default=-1) + 1
         out = []
         for r in pdf.itertuples(index=False):
             if r.kind == 0:
-                if r.service in roots:
-                    del roots[r.service]
-                    self.active.removeKey((r.service,))
+                roots.pop(r.service, None)
                 continue
             if r.service in roots:
                 role, root = "duplicate", r.service
             else:
-                up = sorted((roots[s][1], s) for s in self.edges.get(r.service, []) if s in roots)
+                up = sorted((roots[s][1], s) for s in r.depends if s in roots)
                 role, root = ("symptom", up[0][1]) if up else ("root", r.service)
                 if role == "root":
                     roots[root] = (int(r.t), n)
-                    self.active.updateValue((root,), (int(r.t), n))
                     n += 1
-            out.append((r.tenant_id, int(r.alert_id), int(r.t), r.service, role, root, roots[root][0]))
-        self.next.update((n,))
-        yield pd.DataFrame(out, columns=["tenant_id", "alert_id", "t", "service", "role", "root_service", "start_time"])
+            out.append((r.tenant_id, list(r.alert_ids), int(r.t), r.service, role, root, roots[root][0]))
+        for s in kept - set(roots):
+            self.active.removeKey((s,))
+        for s, v in roots.items():
+            self.active.updateValue((s,), v)
+        yield pd.DataFrame(out, columns=["tenant_id", "alert_ids", "t", "service", "role", "root_service", "start_time"])
 
     def close(self) -> None:
         pass
 
 
-def stream_incidents(events: DataFrame, edges: dict[str, list[str]]) -> DataFrame:
-    """``events``: ``tenant_id, t, kind (0 close, 1 alert), alert_id, service`` as a stream."""
-    return events.select("tenant_id", "t", "kind", "alert_id", "service").groupBy("tenant_id").transformWithStateInPandas(
-        Incidents(edges), "tenant_id string, alert_id long, t long, service string, role string, root_service string, start_time long", "Append", "None")
+def stream_incidents(events: DataFrame, edges: DataFrame, ts: str = "ts", late: str = "1 minute") -> DataFrame:
+    """``events``: ``tenant_id, ts, kind (0 close, 1 alert), alert_id, service`` as a stream in any order within ``late``; ``edges``: ``service, depends_on`` as a table.
+
+    Every alert whose second the watermark has passed with its role and incident, as the batch rule gives them. The state of a tenant is split by the connected
+    parts of the dependency graph.
+    """
+    parts = bounded(reuse(service_parts(edges)))
+    rows = events.select(ts, "tenant_id", "kind", "service", "alert_id").join(parts, "service", "left")
+    rows = rows.withColumn("part", F.coalesce("part", "service"))
+    per = closed_seconds(rows, ts, late, ["tenant_id", "part", "service", "kind"], F.array_sort(F.collect_list("alert_id")).alias("alert_ids"), F.coalesce(F.first("depends"), F.array().cast("array<string>")).alias("depends"))
+    fate = per.groupBy("tenant_id", "part").transformWithStateInPandas(
+        Incidents(), "tenant_id string, alert_ids array<long>, t long, service string, role string, root_service string, start_time long", "Append", "EventTime")
+    each = fate.select("tenant_id", F.posexplode("alert_ids").alias("n", "alert_id"), "t", "service", "role", "root_service", "start_time")
+    return each.withColumn("role", F.when((F.col("role") == "root") & (F.col("n") > 0), "duplicate").otherwise(F.col("role"))).drop("n")
 
 
 class MovingAverage(StatefulProcessor):

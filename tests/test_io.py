@@ -1,5 +1,7 @@
 """Readers and sinks on real files, and streams against the batch rule."""
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,43 +71,71 @@ def test_audit_sink_layout(spark, tmp_path):
     assert "[SCRUBBED]" in spark.read.json(str(tmp_path / "a")).where("tenant_id = 't1'").first().details
 
 
-def feed(spark, tmp_path, df, parts, order):
-    """``df`` as a stream of ``parts`` files in order, one file per micro-batch."""
-    rows = df.orderBy(*order).collect()
+def shuffled(spark, tmp_path, df, parts, seed, by=7200):
+    """``df`` (with ``t``) as a stream of ``parts`` files whose rows lie up to ``by`` seconds out of order; a last file lets the watermark pass."""
+    rng = random.Random(seed)
+    rows = sorted(df.collect(), key=lambda r: r.t + rng.uniform(0, by))
     src = tmp_path / "src"
     src.mkdir()
     n = -(-len(rows) // parts)
-    for i in range(parts):
-        spark.createDataFrame(rows[i * n:(i + 1) * n], df.schema).coalesce(1).toPandas().to_parquet(src / f"{i:03d}.parquet", index=False)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-
-
-def drain(df, tmp_path):
+    for i in range(parts + 1):
+        some = rows[i * n : (i + 1) * n]
+        part = spark.createDataFrame(some, df.schema) if some else df.limit(1).withColumn("t", F.lit(4 * 10**9)).withColumns({c: F.lit("last") for c, k in df.dtypes if k == "string"})
+        part.withColumn("ts", F.timestamp_seconds("t")).coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
+        (file,) = (tmp_path / f"p{i}").glob("part*.parquet")
+        file.rename(src / f"{i:03d}.parquet")
+        os.utime(src / f"{i:03d}.parquet", (10**9 + i, 10**9 + i))
+    return spark.readStream.schema(spark.read.parquet(str(src)).schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+
+
+def drained(df, tmp_path):
+    """What the stream returns, and the rows that its last stateful operator still holds."""
     q = df.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.read.parquet(str(tmp_path / "out"))
+    held = [o["numRowsTotal"] for o in q.lastProgress["stateOperators"] if "transformWithState" in o["operatorName"]]
+    return df.sparkSession.read.parquet(str(tmp_path / "out")), held
 
 
-def test_stream_cooldown_equals_batch(spark, sf, tmp_path):
+def test_stream_cooldown_equals_batch_in_any_order(spark, sf, tmp_path):
     from mendstream.plans import fixtures as X
 
-    a = X.alerts(spark, sf).select(F.concat_ws("/", "namespace", "service").alias("lock_key"), "alert_id", "t", F.lit(90000).alias("cooldown").cast("long"), "namespace")
-    got = drain(ST.stream_cooldown(feed(spark, tmp_path, a.drop("namespace"), 4, ["t", "alert_id"])), tmp_path)
-    dims = spark.createDataFrame([(n, 90000) for n in ("tenant-payment", "tenant-checkout", "other")], "namespace string, cooldown int")
-    want = S.cooldown_dedup(a.drop("cooldown"), dims, ["lock_key"])
-    assert {r.alert_id for r in got.where("accepted").collect()} == {r.alert_id for r in want.where("accepted").collect()}
+    a = X.alerts(spark, sf).select(F.concat_ws("/", "namespace", "service").alias("lock_key"), "alert_id", "t", F.lit(90000).alias("cooldown").cast("long"))
+    got, held = drained(ST.stream_cooldown(shuffled(spark, tmp_path, a, 4, 1), late="3 hours"), tmp_path)
+    dims = spark.createDataFrame([("x", 90000)], "namespace string, cooldown int")
+    want = S.cooldown_dedup(a.drop("cooldown").withColumn("namespace", F.lit("x")), dims, ["lock_key"])
+    assert {(r.alert_id, r.accepted) for r in got.collect()} == {(r.alert_id, r.accepted) for r in want.collect()}
+    assert held == [0]  # every cooldown is over
 
 
-def test_stream_incidents_equal_batch(spark, sf, tmp_path):
+def test_stream_incidents_equal_batch_in_any_order(spark, sf, tmp_path):
     from mendstream.plans import fixtures as X
 
     al = X.alerts(spark, sf)
     cl = X.telemetry(spark, sf).where("signal_name = 'mem' AND k >= 60").select("tenant_id", "service", "t")
     ev = al.select("tenant_id", "t", F.lit(1).alias("kind"), "alert_id", "service").unionByName(cl.select("tenant_id", "t", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("alert_id"), "service"))
-    up = {}
-    for a, b in X.EDGES:
-        up.setdefault(a, []).append(b)
-    got = drain(ST.stream_incidents(feed(spark, tmp_path, ev, 3, ["t", "kind", "alert_id"]), up), tmp_path)
+    got, _ = drained(ST.stream_incidents(shuffled(spark, tmp_path, ev, 3, 2), X.edges(spark), late="3 hours"), tmp_path)
     want = S.correlate_incidents(al, X.edges(spark), cl)
     cols = ["alert_id", "role", "root_service", "start_time"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_one_tenant_is_folded_in_as_many_parts_as_its_graph_has(spark):
+    from mendstream.operators.graph import service_parts
+
+    edges = spark.createDataFrame([("a", "b"), ("c", "b"), ("d", "c"), ("x", "y"), ("z", "z"), (None, "b")], "service string, depends_on string")
+    assert {r.service: (r.part, list(r.depends)) for r in service_parts(edges).collect()} == {
+        "a": ("a", ["b"]), "b": ("a", []), "c": ("a", ["b"]), "d": ("a", ["c"]), "x": ("x", ["y"]), "y": ("x", []), "z": ("z", ["z"])}
+    rng = random.Random(3)
+    alerts = spark.createDataFrame([("t", i, i // 3, rng.choice("abcdxyzw")) for i in range(300)], "tenant_id string, alert_id long, t long, service string")
+    closes = spark.createDataFrame([("t", rng.choice("abcdxyzw"), 5 * i) for i in range(20)], "tenant_id string, service string, t long")
+    got = {r.alert_id: (r.role, r.root_service, r.start_time) for r in S.correlate_incidents(alerts, edges, closes).collect()}
+    up = {"a": "b", "c": "b", "d": "c", "x": "y", "z": "z"}
+    active, want = {}, {}
+    for _, kind, i, s, t in sorted([(r.t, 1, r.alert_id, r.service, r.t) for r in alerts.collect()] + [(r.t, 0, -1, r.service, r.t) for r in closes.collect()]):
+        if not kind:
+            active.pop(s, None)
+            continue
+        role = "duplicate" if s in active else "symptom" if up.get(s) in active else "root"
+        root = up[s] if role == "symptom" else s
+        want[i] = (role, root, active.setdefault(root, t))
+    assert got == want
