@@ -3,7 +3,7 @@ from __future__ import annotations
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["sources", "scalars", "series", "detection", "rootcause", "states", "decisions", "evaluation", "audits", "streams"]
+MODULES = ["sources", "scalars", "series", "detection", "rootcause", "states", "decisions", "evaluation", "audits", "streams", "verdicts"]
 
 
 def query(name: str, sql: str | None = None):

@@ -126,7 +126,7 @@ def _(spark, sf):
     return rounded(e.select("event_id", c.alias("confidence")), "confidence")
 
 
-_REASON = """'[BARO RCA] Diagnosed ' || target_service || ' (' || fault || ') as root cause from aggregated fault evidence led by ''' || lead || ''' (z=' || printf('%.1f', lead_z) || ', scores=' || sc || '). Top candidates: ' || c || '.'"""
+_REASON = """'Diagnosed ' || target_service || ' (' || fault || ') as root cause from aggregated fault evidence led by ''' || lead || ''' (z=' || printf('%.1f', lead_z) || ', scores=' || sc || '). Top candidates: ' || c || '.'"""
 
 
 @query("e9_rca_reason", with_(FAULT) + f""", x AS (SELECT tenant_id, window_id, string_agg(fault || ':' || printf('%.1f', score), ',' ORDER BY n) FILTER (n <= 3) AS sc FROM fb GROUP BY 1, 2),

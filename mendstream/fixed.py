@@ -93,8 +93,8 @@ ALERT_SIGNAL = {
 DEFAULT_ALERT_SIGNAL = "queue_backlog"
 # namespace, tenant id, cooldown seconds
 NAMESPACES = [
-    ("tenant-payment", "d3b07384-d113-495f-9f58-20d18d357d75", 180),
-    ("tenant-checkout", "6c8b4b2b-4d45-4209-a1b4-4b532d56a31c", 300),
+    ("tenant-payment", "00000000-0000-0000-0000-000000000001", 180),
+    ("tenant-checkout", "00000000-0000-0000-0000-000000000002", 300),
 ]
 DEFAULT_COOLDOWN = 300
 BREAKER_FAILURES = 3
@@ -191,3 +191,24 @@ MAX_5XX_RATE = 0.01
 # tier, alerts per minute
 TIER_LIMITS = [("pro", 30), ("basic", 10)]
 HISTOGRAM_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
+
+# -- fixed values: sentences of verdicts, suppressions, verification and escalation ------
+RANK_REASON = ("Diagnosed %s (%s) as root cause from aggregated fault evidence led by '%s' (z=%.1f, scores=%s). "
+               "Top candidates: %s.")
+SCORE_REASON = "Anomaly in %s (%s). Metric '%s' deviated significantly by %.1f standard deviations from the baseline."
+SCORE_LOG_REASON = "Anomaly in %s (%s). Metric '%s' deviated by %.1f std devs. Metric '%s' correlates (r=%.2f) with error log: '%s'."
+SCORE_PLAIN_REASON = "Anomaly detected in %s (%s) due to combined metric deviations and log correlation."
+NO_CAUSE_REASON = "No strong metric deviation or log correlation found. Defaulting to %s cpu."
+NO_ANOMALY_REASON = "No anomalies detected in the active telemetry window."
+CORRELATED_PREFIX = "[CORRELATED ALERT] "
+SYMPTOM_SUPPRESSED = "correlated downstream symptom of upstream %s"
+DUPLICATE_SUPPRESSED = "duplicate alert for root-cause (already decided)"
+HIGH_ERROR = "High error rate detected: %s = %s"
+HIGH_LATENCY = "High latency detected: %s = %s"
+OTHER_REGRESSION = "Regression detected in other service '%s': %s = %s"
+ACTION_FAILED = "Healing action '%s' on '%s' failed to execute."
+ACTION_CLEAN = "Target service recovered successfully without any regressions."
+ACTION_REGRESSED = "Healing action caused regression: %s"
+ACTION_UNRECOVERED = "Target service failed to recover: %s"
+BREAKER_ESCALATION = ("The service '%s' in namespace '%s' has failed automatic self-healing %s times within 1 hour. "
+                      "All automated healing actions for this service are suspended.")

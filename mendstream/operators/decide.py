@@ -78,13 +78,15 @@ def verify_action(actions: DataFrame, points: DataFrame, error: float = fixed.VE
     p = points.join(a.where("status <> 'FAILED'").select("action_id", "_svc"), "action_id")
     own = F.col("service") == F.col("_svc")
     err, lat = F.col("signal_name").contains("error"), F.col("signal_name").contains("latency")
-    shown = F.concat(F.col("signal_name"), F.lit(" = "), F.col("value_num").cast("string"))
+    said = [F.col("signal_name"), F.col("value_num").cast("string")]
+
+    def line(kind: int, sub: int, sentence: str, *parts: Column) -> Column:
+        return F.struct(F.lit(kind).alias("k"), F.col("seq"), F.lit(sub).alias("j"), F.format_string(sentence, *parts).alias("s"))
+
     lines = F.array_compact(F.array(
-        F.when(own & err & (F.col("value_num") > error), F.struct(F.lit(0).alias("k"), F.col("seq"), F.lit(0).alias("j"), F.concat(F.lit("High error rate detected: "), shown).alias("s"))),
-        F.when(own & lat & (F.col("value_num") > latency), F.struct(F.lit(0).alias("k"), F.col("seq"), F.lit(1).alias("j"), F.concat(F.lit("High latency detected: "), shown).alias("s"))),
-        F.when(~own & err & (F.col("value_num") > regression), F.struct(
-            F.lit(1).alias("k"), F.col("seq"), F.lit(0).alias("j"),
-            F.concat(F.lit("Regression detected in other service '"), F.col("service"), F.lit("': "), shown).alias("s"))),
+        F.when(own & err & (F.col("value_num") > error), line(0, 0, fixed.HIGH_ERROR, *said)),
+        F.when(own & lat & (F.col("value_num") > latency), line(0, 1, fixed.HIGH_LATENCY, *said)),
+        F.when(~own & err & (F.col("value_num") > regression), line(1, 0, fixed.OTHER_REGRESSION, F.col("service"), *said)),
     ))
     found = p.select("action_id", F.explode(lines).alias("l")).groupBy("action_id").agg(
         F.array_sort(F.collect_list("l")).alias("l"), F.bool_or(F.col("l.k") == 1).alias("regressed"))
@@ -96,10 +98,10 @@ def verify_action(actions: DataFrame, points: DataFrame, error: float = fixed.VE
         *actions.columns,
         (~failed & clean).alias("success"), (~failed & regressed).alias("regression_detected"),
         F.when(failed, "RETRY").when(clean, "DONE").when(regressed, "ROLLBACK").otherwise("ESCALATE").alias("next_action"),
-        F.when(failed, F.concat(F.lit("Healing action '"), F.col("action"), F.lit("' on '"), F.col("target"), F.lit("' failed to execute.")))
-        .when(clean, "Target service recovered successfully without any regressions.")
-        .when(regressed, F.concat(F.lit("Healing action caused regression: "), joined))
-        .otherwise(F.concat(F.lit("Target service failed to recover: "), joined)).alias("reason"),
+        F.when(failed, F.format_string(fixed.ACTION_FAILED, "action", "target"))
+        .when(clean, fixed.ACTION_CLEAN)
+        .when(regressed, F.format_string(fixed.ACTION_REGRESSED, joined))
+        .otherwise(F.format_string(fixed.ACTION_UNRECOVERED, joined)).alias("reason"),
     )
 
 

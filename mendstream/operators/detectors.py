@@ -301,7 +301,7 @@ DETECTORS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def detect(df: DataFrame, detector: str | None = "bocpd", max_rows: int | None = None) -> DataFrame:
+def detect(df: DataFrame, detector: str | None = "bocpd", max_rows: int | None = None, kpi_limit: float = fixed.EWMA_THRESHOLD) -> DataFrame:
     """Combined row flags of one multivariate detector (or none) and the KPI moving average."""
     multivariate = DETECTORS[detector](df) if detector else None
-    return combine_flags(multivariate, ewma_detect(kpi_series(df), max_rows=max_rows))
+    return combine_flags(multivariate, ewma_detect(kpi_series(df), k=kpi_limit, max_rows=max_rows))

@@ -145,8 +145,8 @@ def decide_once(requests: DataFrame, incidents: DataFrame) -> DataFrame:
     )
     reason = (
         F.when(F.col("root_service").isNull(), F.lit(None))
-        .when(~root, F.concat(F.lit("correlated downstream symptom of upstream "), F.col("root_service")))
-        .when(F.col("request_id") != F.col("_first"), "duplicate alert for root-cause (already decided)")
+        .when(~root, F.format_string(fixed.SYMPTOM_SUPPRESSED, "root_service"))
+        .when(F.col("request_id") != F.col("_first"), fixed.DUPLICATE_SUPPRESSED)
     )
     d = d.join(first, "incident_id", "left").withColumn("suppression_reason", reason).drop("_first")
     off = F.col("suppression_reason").isNotNull()

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from mendstream import fixed
 from mendstream.functions.scalars import series_name
 from mendstream.operators import detectors as D, timeseries as TS
 from mendstream.plans.fixtures import SERVICES
@@ -33,10 +34,10 @@ def trigger_metric(df: DataFrame, anchors: DataFrame, services: DataFrame | None
     return per.withColumn("_r", best).where("_r = 1").select(*WIN, F.col("series").alias("trigger_metric"), "trigger_value", "dev")
 
 
-def first_anomalies(points: DataFrame, width: int, window: int, detector: str | None = "bocpd") -> DataFrame:
+def first_anomalies(points: DataFrame, width: int, window: int, detector: str | None = "bocpd", kpi_limit: float = fixed.EWMA_THRESHOLD) -> DataFrame:
     """One row per window: first flagged row after the live baseline (-1 if none), severity and trigger metric."""
     df = reuse(TS.baseline_split(TS.clean_non_finite(aligned_windows(points, width, window))))
-    flags = reuse(D.detect(df, detector, max_rows=window // width))
+    flags = reuse(D.detect(df, detector, max_rows=window // width, kpi_limit=kpi_limit))
     start = df.groupBy(*WIN).agg(F.min("baseline_len").alias("search_start"))
     found = TS.first_detection(flags, start)
     at = flags.select(*WIN, F.col("row").alias("anomaly_row"), "t", "score")

@@ -47,6 +47,25 @@ def logs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fault_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Error lines that name a fault: connections in even services, timeouts in odd ones; and plain lines."""
+    error = F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("upstream connection refused by pod "), "event_id")).otherwise(F.concat(F.lit("request timeout after "), F.col("event_id"), F.lit(" ms")))
+    return events(spark, sf).where("event_type in ('error', 'signup')").select(
+        F.col("event_id").alias("seq"), "t",
+        F.concat(F.lit("tenant-"), F.col("user_id") % 4).alias("tenant_id"),
+        F.concat(F.lit("svc"), F.col("user_id") % 6).alias("container_name"),
+        F.when(F.col("event_type") == "error", error).otherwise(F.concat(F.lit("signup ok user "), F.col("user_id"))).alias("message"),
+        F.when(F.col("event_type") == "error", "error").otherwise("info").alias("level"),
+    )
+
+
+def tenant_services(spark: SparkSession, profiles: int = 1) -> DataFrame:
+    """Known services of each tenant; with two profiles tenants 2 and 3 know the last one by a longer name."""
+    longer = [*SERVICES[:5], "svc5_service"]
+    rows = [(f"tenant-{k}", s, i) for k in range(4) for i, s in enumerate(longer if profiles == 2 and k > 1 else SERVICES)]
+    return spark.createDataFrame(rows, "tenant_id string, service string, ord int")
+
+
 def alerts(spark: SparkSession, sf: str) -> DataFrame:
     names = F.array(*[F.lit(n) for n in [*fixed.ADMITTED_ALERTS, "HighLoad"]])
     spaces = F.array(F.lit("tenant-payment"), F.lit("tenant-checkout"), F.lit("other"))

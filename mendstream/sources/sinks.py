@@ -23,8 +23,7 @@ def write_audit(df: DataFrame, path: str, checkpoint: str | None = None):
 
 def escalations(openings: DataFrame, window: int = fixed.BREAKER_WINDOW) -> DataFrame:
     """Breaker-open messages as ``key, value``."""
-    text = F.concat(F.lit("The service '"), F.col("service"), F.lit("' in namespace '"), F.col("namespace"), F.lit("' has failed automatic self-healing "),
-                    F.col("failure_count").cast("string"), F.lit(" times within 1 hour. All automated healing actions for this service are suspended."))
+    text = F.format_string(fixed.BREAKER_ESCALATION, "service", "namespace", F.col("failure_count").cast("string"))
     body = F.struct(
         F.lit("CIRCUIT_BREAKER_OPEN").alias("event"), "tenant_id", "namespace", "service", "failure_count",
         F.lit(window).alias("error_window_seconds"), F.lit("OPEN").alias("status"), F.col("t").alias("timestamp"), text.alias("description"))

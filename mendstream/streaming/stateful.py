@@ -9,6 +9,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from mendstream import fixed
 from mendstream.operators.graph import service_parts
+from mendstream.plans.verdict import verdicts
 from mendstream.session import bounded, reuse
 
 
@@ -193,3 +194,45 @@ def stream_detect(points: DataFrame, detect: Callable[[DataFrame], DataFrame], w
         write(detect(df), batch_id)
 
     return bins.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
+
+
+def stream_verdicts(events: DataFrame, services: DataFrame, edges: DataFrame, out: str, checkpoint: str, window: str = "150 seconds", slide: str = "15 seconds",
+                    late: str = "30 seconds", width: int = 1, **options):
+    """The whole detect flow on every window that the stream closes, as a ``DataStreamWriter``; ``options`` as in ``plans.verdict.verdicts``.
+
+    ``events``: ``ts, t, seq, tenant_id, series, value_num`` for points and ``container_name, masked, level`` for log lines, with nulls in the other kind. In the state both are
+    reduced to one row per (window, bin, name). A micro-batch hands its closed windows to the batch plan and writes ``out/batch=<id>``, which a repeated batch overwrites.
+    Incidents go on across batches: of what earlier batches wrote only the roots matter, as duplicates and symptoms open nothing. Windows close in the order of their
+    ends, so earlier batches hold no later alert.
+    """
+    per = (
+        events.withWatermark("ts", late)
+        .groupBy(F.window("ts", window, slide).alias("w"), "tenant_id", F.expr(f"(t div {width}) * {width}").alias("t"), "series", "container_name", "masked")
+        .agg(F.max_by("value_num", F.when(F.col("value_num").isNotNull(), F.col("seq"))).alias("v"), F.count("*").alias("n"), F.min("seq").alias("first_seq"), F.min_by("level", "seq").alias("level"))
+        .select("tenant_id", F.unix_seconds("w.start").alias("window_id"), "t", "series", "container_name", "masked", "v", "n", "first_seq", "level")
+    )
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        closed = reuse(df)
+        if closed.isEmpty():
+            return
+        spark = df.sparkSession
+        bins = closed.where("series is not null and v is not null").select("tenant_id", "window_id", "t", "series", "v")
+        lines = closed.where("masked is not null").select("tenant_id", "window_id", "t", "container_name", "masked", "n", "first_seq", "level")
+        earlier = None
+        if batch_id and stored(spark, out):
+            before = spark.read.schema(VERDICT).option("basePath", out).parquet(out).where(F.col("batch") < batch_id)
+            earlier = before.where("role = 'root'").select("tenant_id", F.col("target_service").alias("service"), F.col("end_t").alias("t"), F.col("window_id").alias("alert_id"))
+        ends = bins.groupBy("tenant_id", "window_id").agg(F.max("t").alias("end_t"))
+        verdicts(bins, lines, services, edges, earlier=earlier, **options).join(ends, ["tenant_id", "window_id"]).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return per.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
+
+
+VERDICT = """tenant_id string, window_id long, anomaly_detected boolean, anomaly_row int, t long, severity double, target_service string, fault string, service_top_k array<string>,
+ trigger_metric string, trigger_value double, confidence double, reasoning string, role string, root_service string, incident_id string, end_t long, batch long"""
+
+
+def stored(spark, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
