@@ -1,12 +1,13 @@
 """D: detectors and log templates."""
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from checks import query
 from checks.ctes import EV, LIVE, with_
 from checks.views import kept, rounded, split
-from mendstream.operators import detectors as D, templates as TP, timeseries as TS
+from mendstream.operators import detectors as D, forests as FO, templates as TP, timeseries as TS
 from mendstream.plans import fixtures as X
 from mendstream.plans.detect import first_anomalies
+from mendstream.session import reuse
 
 # Averages of two-digit values fall on rounding borders; their square roots do not.
 # The moving average by recursion over the rows of each KPI series
@@ -66,6 +67,35 @@ def _(spark, sf):
     return rounded(D.rrcf_detect(D.resource_series(split(spark, sf))), "score")
 
 
+# every row has a score; none is displaced by more than all other rows of its window
+@query("d3_rrcf_rows", with_(LIVE) + "SELECT DISTINCT tenant_id, window_id, row, t, true AS in_range FROM split")
+def _(spark, sf):
+    d = split(spark, sf)
+    n = d.select("tenant_id", "window_id", "n_rows").distinct()
+    return D.rrcf_detect(d, trees=20).join(n, TS.WIN).select("tenant_id", "window_id", "row", "t", F.col("score").between(0, F.col("n_rows") - 1).alias("in_range"))
+
+
+_PATH = "CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln({n} - 1) + 0.5772156649) - 2 * ({n} - 1) / {n}::DOUBLE END"
+
+
+# scores from given nodes: tree k cuts the k-th series of the window at its baseline mean
+@query("d2_forest_scores", with_(LIVE) + f""", s AS (SELECT tenant_id, window_id, series, CAST(row_number() OVER (PARTITION BY tenant_id, window_id ORDER BY series) AS INT) - 1 AS k FROM (SELECT DISTINCT tenant_id, window_id, series FROM split)),
+  c AS (SELECT tenant_id, window_id, series, round(avg(v) FILTER (is_baseline), 6) AS cut FROM split GROUP BY 1, 2, 3),
+  n AS (SELECT tenant_id, window_id, series, any_value(cut) AS cut, count(*) FILTER (is_baseline AND v < cut) AS low, count(*) FILTER (is_baseline AND v >= cut) AS high, count(*) FILTER (is_baseline) AS m FROM split JOIN c USING (tenant_id, window_id, series) JOIN s USING (tenant_id, window_id, series) WHERE k < 5 GROUP BY 1, 2, 3),
+  w AS (SELECT tenant_id, window_id, row, any_value(t) AS t, avg(1 + CASE WHEN v < cut THEN {_PATH.format(n='low')} ELSE {_PATH.format(n='high')} END) AS d, any_value({_PATH.format(n='m')}) AS p FROM split JOIN n USING (tenant_id, window_id, series) GROUP BY 1, 2, 3)
+SELECT tenant_id, window_id, row, t, round(pow(2, -d / p), 6) AS score FROM w""")
+def _(spark, sf):
+    d = kept(spark, sf)
+    cut = d.groupBy(*TS.SERIES).agg(F.round(F.avg(F.when(F.col("is_baseline"), F.col("v"))), 6).alias("cut"))
+    tree = (F.row_number().over(W.partitionBy(*TS.WIN).orderBy("series")) - 1).cast("int")
+    roots = cut.withColumn("tree", tree).where("tree < 5")
+    base = d.where("is_baseline").join(roots, TS.SERIES).groupBy(*TS.WIN, "tree", "cut").agg(F.count("*").cast("int").alias("m"), F.count_if(F.col("v") < F.col("cut")).cast("int").alias("low"))
+    leaf = lambda node, size: F.struct(F.lit(node).alias("node"), F.lit(-1).alias("feature"), F.lit(-1).alias("low"), F.lit(-1).alias("high"), size.alias("size"), F.lit(1).alias("depth"))
+    root = F.struct(F.lit(0).alias("node"), F.col("tree").alias("feature"), F.lit(1).alias("low"), F.lit(2).alias("high"), F.col("m").alias("size"), F.lit(0).alias("depth"))
+    nodes = base.select(*TS.WIN, F.col("tree").alias("block"), "tree", "cut", F.explode(F.array(root, leaf(1, F.col("low")), leaf(2, F.col("m") - F.col("low")))).alias("n")).select(*TS.WIN, "block", "tree", "cut", "n.*")
+    return rounded(FO.forest_scores(FO.row_vectors(d), reuse(nodes)).drop("is_baseline"), "score")
+
+
 @query("d4_bocpd_detect")
 def _(spark, sf):
     return D.bocpd_detect(split(spark, sf))

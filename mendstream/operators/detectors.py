@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scalars import is_kpi, is_resource
+from mendstream.operators.forests import iforest_detect, rrcf_detect
 from mendstream.operators.scans import map_runs
 from mendstream.operators.timeseries import SERIES, WIN
 
@@ -127,124 +128,10 @@ def _per_window(df: DataFrame, score: Callable[[np.ndarray, np.ndarray], tuple[n
     return cols.repartition(tasks, *WIN).groupBy(*WIN).applyInPandas(run, FLAGS)
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, depth: int, limit: int) -> tuple:
-    n = len(x)
-    lo, hi = x.min(0), x.max(0)
-    wide = np.flatnonzero(hi > lo)
-    if depth >= limit or n <= 1 or len(wide) == 0:
-        return (n,)
-    f = int(rng.choice(wide))
-    cut = rng.uniform(lo[f], hi[f])
-    left = x[:, f] < cut
-    return (f, cut, _grow(x[left], rng, depth + 1, limit), _grow(x[~left], rng, depth + 1, limit))
-
-
-def _mean_path(n: float) -> float:
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n
-
-
-def _depths(node: tuple, x: np.ndarray, idx: np.ndarray, depth: int, out: np.ndarray) -> None:
-    if len(idx) == 0:
-        return
-    if len(node) == 1:
-        out[idx] = depth + _mean_path(node[0])
-        return
-    f, cut, left, right = node
-    go = x[idx, f] < cut
-    _depths(left, x, idx[go], depth + 1, out)
-    _depths(right, x, idx[~go], depth + 1, out)
-
-
-def isolation_scores(x: np.ndarray, base: np.ndarray, trees: int, sample: int, seed: int) -> np.ndarray:
-    """Isolation score of every row from trees grown on the baseline rows."""
-    rng = np.random.default_rng(seed)
-    fit = x[base] if base.any() else x
-    m = min(sample, len(fit))
-    limit = max(1, math.ceil(math.log2(max(m, 2))))
-    total, depth = np.zeros(len(x)), np.zeros(len(x))
-    for _ in range(trees):
-        tree = _grow(fit[rng.choice(len(fit), m, replace=False)], rng, 0, limit)
-        _depths(tree, x, np.arange(len(x)), 0, depth)
-        total += depth
-    return np.exp2(-total / trees / max(_mean_path(m), 1e-9))
-
-
-def iforest_detect(df: DataFrame, k: float = fixed.FOREST_MULTIPLIER, trees: int = fixed.FOREST_TREES,
-                   sample: int = fixed.FOREST_SAMPLE, seed: int = 42) -> DataFrame:
-    """Isolation forest; threshold = mean + k * population std of the baseline scores."""
-
-    def score(x: np.ndarray, base: np.ndarray):
-        s = isolation_scores(x, base, trees, sample, seed)
-        ref = s[base] if base.any() else s
-        return s > ref.mean() + k * ref.std(), s
-
-    return _per_window(df, score)
-
-
-def _displacement(x: np.ndarray, idx: np.ndarray, rng: np.random.Generator, out: np.ndarray) -> None:
-    """Collusive displacement of every leaf of one random cut tree: the largest ratio of the
-    sibling's size to the own subtree's size on the way to the root."""
-    stack = [(idx, 0.0)]
-    while stack:
-        rows, worst = stack.pop()
-        if len(rows) == 1:
-            out[rows[0]] = worst
-            continue
-        sub = x[rows]
-        span = sub.max(0) - sub.min(0)
-        total = span.sum()
-        if total > 0:
-            f = int(rng.choice(len(span), p=span / total))
-            low = sub[:, f].min()
-            left = sub[:, f] <= low + rng.uniform(0.0, 1.0) * span[f]
-            if left.all():
-                left = sub[:, f] <= low
-        else:
-            # identical points are split by their position
-            left = np.arange(len(rows)) < (len(rows) + 1) // 2
-        a, b = rows[left], rows[~left]
-        stack.append((a, max(worst, len(b) / len(a))))
-        stack.append((b, max(worst, len(a) / len(b))))
-
-
-def rrcf_scores(x: np.ndarray, trees: int, sample: int, seed: int) -> np.ndarray:
-    n = len(x)
-    rng = np.random.default_rng(seed)
-    scale = np.nan_to_num(x.std(0)) + 1e-5 * (np.nan_to_num(np.abs(x).mean(0)) + 1.0)
-    x = x + rng.normal(0.0, 1e-6, x.shape) * scale
-    m = min(sample, n)
-    total, seen, grown = np.zeros(n), np.zeros(n), 0
-    while grown < trees:
-        order = rng.permutation(n)
-        for part in order[: (n // m) * m].reshape(-1, m):
-            one = np.zeros(n)
-            _displacement(x, part, rng, one)
-            total += one
-            seen[part] += 1
-            grown += 1
-    return np.divide(total, seen, out=np.zeros(n), where=seen > 0)
-
-
-def rrcf_detect(df: DataFrame, k: float = fixed.FOREST_MULTIPLIER, trees: int = fixed.FOREST_TREES,
-                sample: int = fixed.FOREST_SAMPLE, seed: int = 42) -> DataFrame:
-    """Random cut forest; the threshold comes from a forest of the baseline rows alone."""
-
-    def score(x: np.ndarray, base: np.ndarray):
-        s = rrcf_scores(x, trees, sample, seed)
-        ref = rrcf_scores(x[base], trees, sample, seed) if base.any() else s
-        return s > ref.mean() + k * max(ref.std(), 1e-4), s
-
-    return _per_window(df, score)
-
-
 def run_length_modes(x: np.ndarray, hazard: float) -> np.ndarray:
     """Most likely run length before each row (Adams & MacKay 2007, multivariate t predictive).
 
-    Prior: mean 0, scale matrix I, kappa 1, d + 1 degrees of freedom. Every run length of the window is kept; the inverse
+    Prior: mean 0, scale matrix I, kappa 1, d + 1 degrees of freedom. Every run length of the window with a weight above zero is kept; the inverse
     and log-determinant of each scale matrix follow its rank-one updates, so a row costs d * d per run length.
     """
     n, d = x.shape
@@ -252,24 +139,38 @@ def run_length_modes(x: np.ndarray, hazard: float) -> np.ndarray:
     kappas, dofs = 1.0 + ages, 2.0 + ages  # by run length
     gammas = np.array([math.lgamma((f + d) / 2) - math.lgamma(f / 2) for f in dofs]) - d / 2 * np.log(dofs * math.pi)
     widths = (kappas + 1) / (kappas * dofs)
-    mu, inverse, logdet = np.zeros((1, d)), np.eye(d)[None], np.zeros(1)
-    log_r, modes = np.zeros(1), np.zeros(n, int)
     stay, leave = math.log1p(-1.0 / hazard), -math.log(hazard)
+    # one entry per row at which a run may have begun, the newest last, updated in place
+    born, mu, inverse, logdet, log_r = np.zeros(16, int), np.zeros((16, d)), np.zeros((16, d, d)), np.zeros(16), np.zeros(16)
+    inverse[0], k = np.eye(d), 1
+    modes = np.zeros(n, int)
     for t in range(n):
-        modes[t] = int(np.argmax(log_r))
-        kappa, dof, wide = kappas[: t + 1], dofs[: t + 1], widths[: t + 1]
-        diff = x[t] - mu
-        reach = np.einsum("rij,rj->ri", inverse, diff)
+        age = t - born[:k]
+        modes[t] = age[k - 1 - int(np.argmax(log_r[:k][::-1]))]
+        kappa, dof, wide = kappas[age], dofs[age], widths[age]
+        diff = x[t] - mu[:k]
+        reach = np.einsum("rij,rj->ri", inverse[:k], diff)
         dist = np.einsum("ri,ri->r", diff, reach)
-        logp = gammas[: t + 1] - 0.5 * (logdet + d * np.log(wide)) - (dof + d) / 2 * np.log1p(dist / (wide * dof))
-        grown = log_r + logp
-        log_r = np.concatenate([[np.logaddexp.reduce(grown) + leave], grown + stay])
-        log_r -= np.logaddexp.reduce(log_r)
+        grown = log_r[:k] + gammas[age] - 0.5 * (logdet[:k] + d * np.log(wide)) - (dof + d) / 2 * np.log1p(dist / (wide * dof))
+        fresh = np.logaddexp.reduce(grown) + leave
+        whole = np.logaddexp(np.logaddexp.reduce(grown) + stay, fresh)
         share = kappa / (kappa + 1)
         shrink = share / (1 + share * dist)
-        inverse = np.concatenate([np.eye(d)[None], inverse - shrink[:, None, None] * reach[:, :, None] * reach[:, None, :]])
-        logdet = np.concatenate([[0.0], logdet + np.log1p(share * dist)])
-        mu = np.concatenate([np.zeros((1, d)), (kappa[:, None] * mu + x[t]) / (kappa + 1)[:, None]])
+        for i in range(0, k, 256):  # no copy of all matrices
+            j = min(k, i + 256)
+            inverse[i:j] -= shrink[i:j, None, None] * reach[i:j, :, None] * reach[i:j, None, :]
+        logdet[:k] += np.log1p(share * dist)
+        mu[:k] += diff / (kappa + 1)[:, None]
+        log_r[:k] = grown + stay - whole
+        alive = np.exp(log_r[:k]) > 0  # a run whose weight is zero never comes back
+        if 2 * int(alive.sum()) < k:
+            for a in (born, mu, inverse, logdet, log_r):
+                a[: alive.sum()] = a[:k][alive]
+            k = int(alive.sum())
+        if k == len(born):
+            born, mu, inverse, logdet, log_r = (np.concatenate([a, np.zeros_like(a)]) for a in (born, mu, inverse, logdet, log_r))
+        born[k], mu[k], inverse[k], logdet[k], log_r[k] = t + 1, 0.0, np.eye(d), 0.0, fresh - whole
+        k += 1
     return modes
 
 
