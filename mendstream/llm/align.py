@@ -13,8 +13,8 @@ A pair that occurs in all chunks is spread by chunk, and the join to the counts
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from mendstream.llm.bpe import byte_chars
+from mendstream.llm.bpe import Encoder, Vocabulary
 from mendstream.llm.common import batch_rows, chunks, column, reuse
 
 CHUNK_BITS = 16
@@ -34,20 +34,13 @@ TOGETHER = 1 << 21  # characters that are tokenized at once
 class Pair:
     """The two tokenizers in a worker, with the bytes of each token."""
 
-    def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, vocabulary: dict, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a, self.b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        byte_of = byte_chars()
-        vocab = self.a.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
-        for t, i in vocab.items():
-            self.bytes_a[i] = bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
+
+        v = Vocabulary(vocabulary)
+        v.special = {}  # their strings in a text are plain text
+        self.a, self.b = Encoder(v), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.bytes_a = v.token
         pieces = [self.b.id_to_piece(i) for i in range(len(self.b))]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
@@ -59,10 +52,10 @@ class Pair:
         """Ids of A and of B for each text; none where a text is null, empty or not what its tokens spell."""
         known = [i for i, t in enumerate(texts) if t]
         spaced = [" " + texts[i] for i in known]
-        a, b = self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode([texts[i] for i in known], num_threads=1)
+        a, b = self.a.encode(spaced)[0] if known else [], self.b.encode([texts[i] for i in known], num_threads=1)
         ids_a, ids_b = [[] for _ in texts], [[] for _ in texts]
         for i, want, x, y in zip(known, spaced, a, b):
-            x, want = x.ids, want.encode()
+            want = want.encode()
             if b"".join(map(self.bytes_a.__getitem__, x)) == want and b"".join(map(self.bytes_b.__getitem__, y)) == want:
                 ids_a[i], ids_b[i] = x, y
         return ids_a, ids_b
@@ -71,7 +64,7 @@ class Pair:
         """Per text n_a, n_b, n_groups and sha256 of its groups; per link the text's number and the two ids. A token has at least one byte, so a link is a group's end."""
         lists_a, lists_b = self.encode(texts)
         n_a, n_b = (np.array([len(x) for x in lists], np.int64) for lists in (lists_a, lists_b))
-        a, b = (np.fromiter((i for x in lists for i in x), np.int64, int(n.sum())) for lists, n in ((lists_a, n_a), (lists_b, n_b)))
+        a, b = (np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())) for lists, n in ((lists_a, n_a), (lists_b, n_b)))
         stop_a, stop_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])  # both count the same bytes, so texts end together
         end_a, end_b = np.isin(stop_a, stop_b, assume_unique=True), np.isin(stop_b, stop_a, assume_unique=True)
         group_a, group_b = np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b
@@ -144,11 +137,12 @@ def members(postings: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 def index(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One table of two kinds of rows. Documents: _id, chunk, bit, n_a, n_b, n_groups, sha. Pieces of postings: chunk, a, b, postings, links."""
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary.read(path_a))  # of a fixed size
     long_ = [StructField(c, LongType()) for c in ("n_a", "n_b", "n_groups")]
     schema = StructType([rows.schema["_id"], StructField("chunk", LongType()), StructField("bit", IntegerType()), *long_, StructField("sha", StringType()), StructField("a", IntegerType()), StructField("b", IntegerType()), StructField("postings", BinaryType()), StructField("links", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(path_a, path_b)
+        pair = Pair(vocabulary.value, path_b)
         base, done, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
         width = len(pair.bytes_b)
 
@@ -255,7 +249,7 @@ def alignment(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     """(documents, pairs).
 
     documents: one row per row of ``df``: _id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256. pairs: a, b, docs, links. ``path_a`` is a byte-level vocabulary file,
-    ``path_b`` a piece model, both of fixed size and read in the workers.
+    ``path_b`` a piece model that the workers read, both of fixed size.
 
     Null and empty texts, and texts that the tokens of A or B do not spell exactly, have zeros and ''. Special strings in a text are plain text. Equal texts, repeated ids
     and null ids are rows of their own; an empty table gives no rows; other columns play no part, whatever their names. Texts are tokenized whole.

@@ -11,7 +11,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from mendstream.llm import align, simhash, skyband
+from mendstream.llm import align, bpe, simhash, skyband
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -114,7 +114,7 @@ def brute_alignment():
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    shown = {c: bytes([x]) for c, x in align.byte_chars().items()}
+    shown = {c: bytes([x]) for c, x in bpe.byte_chars().items()}
     found, links = [], []
     for t in TEXTS:
         rows, text = ([], []), " " + (t or "")
