@@ -11,6 +11,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -32,6 +33,7 @@ ADDED = [
 # Endings that an apostrophe binds to.
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 OTHER, LETTER, NUMBER, SPACE = range(4)
+LONG = 1024  # bytes of a word that is merged by itself
 CACHE = 1 << 18  # words kept with their tokens in a task; beyond it the cache starts anew
 
 
@@ -129,12 +131,44 @@ def word_starts(codes: np.ndarray, classes: np.ndarray, cuts: np.ndarray) -> np.
     return np.flatnonzero(begin[:n])
 
 
+def merge_long(word: bytes, v: Vocabulary, rank_of: dict[int, int]) -> np.ndarray:
+    """Token ids of one long word: a round would look at all of it for every merge, so its pairs wait in a heap by rank, then place, and a merge
+    looks only at its neighbours."""
+    sym = v.of_byte[np.frombuffer(word, np.uint8)].tolist()
+    n = len(sym)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := rank_of.get(sym[i] * v.size + sym[i + 1])) is not None]
+    heapify(heap)
+    results = v.results.tolist()
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i]
+        if sym[i] < 0 or j >= n or rank_of.get(sym[i] * v.size + sym[j]) != rank:
+            continue
+        sym[i], sym[j] = results[rank], -1
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (r := rank_of.get(sym[i] * v.size + sym[k])) is not None:
+                heappush(heap, (r, i))
+        if (h := before[i]) >= 0 and (r := rank_of.get(sym[h] * v.size + sym[i])) is not None:
+            heappush(heap, (r, h))
+    return np.array([x for x in sym if x >= 0], np.int64)
+
+
 def merge_rounds(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all words in a row, and how many each word has."""
     lengths = np.array([len(w) for w in words], np.int64)
-    sym = v.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-    owner = np.repeat(np.arange(len(words)), lengths)
+    long = np.flatnonzero(lengths > LONG)
     done_sym, done_owner = [], []
+    if len(long):
+        rank_of = dict(zip(v.keys.tolist(), v.ranks.tolist()))
+        for k in long.tolist():
+            done_sym.append(merge_long(words[k], v, rank_of))
+            done_owner.append(np.full(len(done_sym[-1]), k))
+    short = np.flatnonzero(lengths <= LONG)
+    sym = v.of_byte[np.frombuffer(b"".join([words[k] for k in short.tolist()]) if len(long) else b"".join(words), np.uint8)]
+    owner = np.repeat(short, lengths[short])
     none = len(v.keys)
     while len(sym):
         pair = np.where(owner[1:] == owner[:-1], sym[:-1] * v.size + sym[1:], -1)

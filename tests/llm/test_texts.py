@@ -1,6 +1,8 @@
 """Operators on texts against brute force, on a small fixture with nulls, empty and long texts, copies and clashing column names."""
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -132,8 +134,52 @@ def test_mix_meets_targets(docs):
     assert len(rows) == len(TEXTS)
     assert all(abs(taken[s] - goal[s]) <= 8 for s in goal)
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix_blocks(docs, words=8)[1].collect()))
-    places = [p for r in mix.collect() for p in zip(r.shard, r.place)]
-    assert len(places) == len(set(places))
+    drawn, of_row = mix.collect(), Counter()
+    assert len({(r.shard, r.place) for r in drawn}) == len(drawn)
+    assert {r.shard for r in drawn} <= set(range(64))
+    for r in drawn:
+        of_row[r._row] += r.words
+    assert {r._row: r.taken for r in rows if r.taken} == of_row  # what the shards drew, and nothing else
+    assert max(Counter((r._row, r.block) for r in drawn).values()) <= 2
+
+
+def test_mixing_equal_rows_and_clashing_names(spark):
+    """Five equal rows are drawn as five; a caller's columns keep their values under any name."""
+    same = "three equal words"
+    rows = [(1, same, "a", "x", 9)] * 5 + [(i, f"other words {i} " * 3, "b", "y", i) for i in range(2, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _dh string, _shard long")
+    _, docs = mixing.mix_blocks(df, words=1 << 40)
+    out = mixing.mix_documents(df)
+    assert out.columns == df.columns
+    got = Counter(tuple(r) for r in out.collect())
+    taken = docs.where("taken > 0").selectExpr("_id", "taken / size as n").groupBy("_id").agg(F.sum("n").alias("n")).collect()
+    assert {r._id: r.n for r in taken} == {k[0]: n for k, n in got.items()}
+    assert got[rows[0]] <= 10 and set(got) <= set(rows)
+
+
+def test_long_words_merge_like_short_ones():
+    v = bpe.Vocabulary(bpe.Vocabulary.read(bpe.default_vocabulary()))
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeéz ") for _ in range(n)).encode() for n in (900, 40, 1, 700)] + [b"a" * 800, b"ab" * 400]
+    before = bpe.merge_rounds(words, v)
+    old, bpe.LONG = bpe.LONG, 30
+    try:
+        after = bpe.merge_rounds(words, v)
+    finally:
+        bpe.LONG = old
+    assert all((x == y).all() for x, y in zip(before, after))
+    start = time.perf_counter()
+    ids, _ = bpe.merge_rounds(["".join(rng.choice("acgt") for _ in range(10**6)).encode()], v)
+    assert b"".join(v.token[i] for i in ids.tolist()).startswith(b"") and time.perf_counter() - start < 30
+
+
+def test_words_that_a_polynomial_confuses_stay_apart(spark):
+    """Each of the two long words is the other with its letters swapped; a polynomial hash modulo 2^64 takes them for one."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    x, y = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    df = spark.createDataFrame([(1, x), (2, y), (3, f"{x} {x} {y}"), (4, f"{y} {x} {y}")], "doc_id long, text string")
+    got = ngramjoin.jaccard_components(df, words=3, num=90).collect()
+    assert {r._id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4}
 
 
 def test_split_tree_keeps_quotas():
