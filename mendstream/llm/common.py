@@ -19,7 +19,7 @@ BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CHUNK = 1 << 21  # bytes of text handled at once by array code
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-__all__ = ["BASE", "CHUNK", "TABLES", "U", "batch_rows", "chunks", "column", "fetch_key", "flat", "mix", "powers", "prefix_hash", "release", "reuse", "same", "span_hash", "word_bounds"]
+__all__ = ["BASE", "CHUNK", "TABLES", "U", "batch_rows", "chunks", "column", "fetch_key", "flat", "fresh", "mix", "powers", "prefix_hash", "release", "reuse", "same", "span_hash", "word_bounds", "word_hashes"]
 
 
 def batch_rows(df: DataFrame, rows: int = 512) -> DataFrame:
@@ -97,6 +97,23 @@ def span_hash(h: np.ndarray, inv: np.ndarray, start: np.ndarray, end: np.ndarray
     return mix((h[end] - h[start]) * inv[start] + (end - start).astype(U))
 
 
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each non-empty span: the sum of its bytes, each mixed together with its place. No structure of the bytes makes two spans meet, as it can with a polynomial."""
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    mixed = mix(buf[np.repeat(start, size) + place].astype(U) | ((place.astype(U) + U(1)) << U(8)))
+    return mix(np.add.reduceat(mixed, first) + size.astype(U))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes other than space and tab to carriage return; no run spans two texts."""
     word = np.ones(len(buf) + 2, bool)

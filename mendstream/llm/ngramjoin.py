@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, mix, powers, prefix_hash, reuse, same, span_hash, word_bounds
+from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, fresh, mix, reuse, same, word_bounds, word_hashes
 from mendstream.llm.components import components
 
 BLOCK_NODES, BLOCK_GRAMS = 1024, 1 << 20  # of a block of a large cluster
@@ -34,8 +34,7 @@ def gram_sets(buf: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray,
     start, end = word_bounds(low, off)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, U)
-    pw, inv = powers(len(low) + 1)
-    word = span_hash(prefix_hash(low, pw), inv, start, end)
+    word = word_hashes(low, start, end)
     doc = np.searchsorted(off, start, "right") - 1
     count = np.bincount(doc, minlength=len(off) - 1)
     first = np.cumsum(count) - count
@@ -273,12 +272,13 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     """``df`` with one row of each component, the one with the least id; texts without words all stay. Columns as in ``df``."""
     found = jaccard_components(df, id_col, text_col, words, num, den).where("n_shingles > 0")
     first = reuse(found.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("f")).select(F.col("f._id").alias("_id"), F.col("f._h").alias("_h")))
-    keyed = df.withColumn("_h2", fetch_key(id_col, text_col))
+    own = fresh(df, "_h2")
+    keyed = df.withColumn(own, fetch_key(id_col, text_col))
     empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.where(~empty).join(first, keyed[id_col].eqNullSafe(first["_id"]) & (keyed["_h2"] == first["_h"]), "left_semi")
+    kept = keyed.where(~empty).join(first, keyed[id_col].eqNullSafe(first["_id"]) & (keyed[own] == first["_h"]), "left_semi")
     if not found.groupBy("_id", "_h").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "_h2"])
-    return kept.drop("_h2").unionByName(df.where(empty))
+        kept = kept.dropDuplicates([id_col, own])
+    return kept.drop(own).unionByName(df.where(empty))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
