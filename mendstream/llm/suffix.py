@@ -67,15 +67,6 @@ def parse_phrases(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.nda
     return np.searchsorted(off, start, "right") - 1, start, count, grams[trig], phrase, trig - start
 
 
-def string_hashes(buf: np.ndarray, start: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row number, hash) of the strings that the given phrases hold, in order."""
-    pw, inv = powers(len(buf) + 1)
-    h = prefix_hash(buf, pw)
-    row = np.repeat(np.arange(len(start)), count)
-    at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + start[row]
-    return row, span_hash(h, inv, at, at + length)
-
-
 def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of spans, touching ones joined."""
     if not len(start):
@@ -164,14 +155,41 @@ def _phrase_rows(picked: DataFrame, text_col: str) -> DataFrame:
     return picked.mapInArrow(run, schema)
 
 
-def _suffixes(table: pa.Table | pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes of the given phrases, cut off at ``length`` bytes: row, number inside the phrase, hash that also holds the place of the trigger."""
+def suffix_ranks(buf: np.ndarray, length: int) -> np.ndarray:
+    """Rank of every suffix of ``buf`` among all, cut off at ``length`` bytes; equal suffixes have equal ranks.
+
+    The order of the first 8 bytes is that of a number; ranks of 2 w bytes follow from ranks of w bytes at two places. The last ``length`` - 1 places have no rank.
+    """
+    w = min(8, length)
+    n = len(buf) - w + 1
+    word = np.zeros(n, U)
+    for k in range(w):
+        word = (word << U(8)) | buf[k : k + n].astype(U)
+    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
+    while w < length:
+        step = min(w, length - w)
+        top = int(rank.max()) + 1
+        rank = np.unique(rank[: len(rank) - step] * top + rank[step:], return_inverse=True)[1].astype(np.int64)
+        w += step
+    return rank
+
+
+def _places(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Bytes of the given phrases in a row; of each suffix its row, its number inside the phrase, where it starts, and the place of the trigger."""
     texts = table.column("bytes")
     buf, off = flat(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
     count, rel = np.asarray(table.column("cnt")).astype(np.int64), np.asarray(table.column("rel")).astype(np.int64)
-    row, suffix = string_hashes(buf, off[:-1], count, length)
+    row = np.repeat(np.arange(len(count)), count)
     step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return row, step, mix(suffix + (rel[row] - step).astype(U) * U(0x9E3779B97F4A7C15))
+    return buf, row, step, off[:-1][row] + step, rel[row] - step
+
+
+def _suffixes(table: pa.Table | pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All suffixes of the given phrases, cut off at ``length`` bytes: row, number inside the phrase, hash that also holds the place of the trigger."""
+    buf, row, step, at, place = _places(table)
+    pw, inv = powers(len(buf) + 1)
+    suffix = span_hash(prefix_hash(buf, pw), inv, at, at + length)
+    return row, step, mix(suffix + place.astype(U) * U(0x9E3779B97F4A7C15))
 
 
 def _suffix_order(rows: DataFrame, length: int) -> DataFrame:
@@ -182,11 +200,12 @@ def _suffix_order(rows: DataFrame, length: int) -> DataFrame:
     schema = StructType([StructField("_sid", rows.schema["_sid"].dataType), StructField("_sh", LongType()), StructField("_from", IntegerType()), StructField("_to", IntegerType())])
 
     def compare(table: pa.Table) -> pa.RecordBatch:
-        row, step, suffix = _suffixes(table, length)
+        buf, row, step, at, place = _places(table)
+        suffix = suffix_ranks(buf, length)[at]
         trig, phrase = np.asarray(table.column("trig"))[row], np.asarray(table.column("phrase"))[row]
-        o = np.lexsort((phrase, suffix, trig))
+        o = np.lexsort((phrase, suffix, place, trig))  # the suffix array of the dictionary: trigger, place, bytes
         new = np.ones(len(o), bool)
-        new[1:] = (trig[o][1:] != trig[o][:-1]) | (suffix[o][1:] != suffix[o][:-1])
+        new[1:] = (trig[o][1:] != trig[o][:-1]) | (place[o][1:] != place[o][:-1]) | (suffix[o][1:] != suffix[o][:-1])
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(o)) - 1
         equal = np.zeros(len(o), bool)
@@ -252,7 +271,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     def rows_of(triggers: DataFrame) -> DataFrame:
         item = F.struct("trig", "phrase", (F.col("total") == 1).cast("int").alias("single"), F.col("ex.start").alias("start"), F.col("ex.cnt").alias("cnt"), F.col("ex.rel").alias("rel"), (F.col("ex.cnt") + (length - 1)).alias("reach"))
         examples = book.join(triggers.select("trig"), "trig", "left_semi").groupBy(F.col("ex._id").alias("_sid"), F.col("ex._h").alias("_sh")).agg(F.collect_list(item).alias("_ex"))
-        return _phrase_rows(docs.join(examples, _match(docs, examples, id_col)), text_col)
+        return _phrase_rows(docs.join(examples.hint("merge"), _match(docs, examples, id_col)), text_col)
 
     small = _suffix_order(rows_of(several.where(F.col("c") <= TOGETHER)), length)
     inside = parse.where("n = 0").select(*keys, F.col("start").alias("_from"), (F.col("start") + F.col("cnt")).cast("int").alias("_to"))
@@ -280,7 +299,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = batch_rows(df).withColumn("_h", fetch_key(id_col, text_col))
     spans = repeated_spans(docs, id_col, text_col, length).groupBy("_sid", "_sh").agg(F.collect_list(F.struct("_from", "_to")).alias("_spans"))
-    joined = docs.join(spans, _match(docs, spans, id_col), "left")
+    # the same join at every size: texts are dealt by document once, for the dictionary and for the cut
+    joined = docs.join(spans.hint("merge"), _match(docs, spans, id_col), "left")
     kept = df.columns
     schema = StructType([*df.schema.fields, StructField("_n_bytes", LongType()), StructField("_n_removed", LongType()), StructField("_n_spans", LongType()), StructField("_kept", StringType() if as_text else BinaryType()), StructField("_kept_sha256", StringType())])
 
