@@ -63,6 +63,18 @@ def _http(spark, sf):
 HTTP = CALLS + ", ht AS (SELECT call_id, c.t, provider, status_code, ['/v1/detect', '/v1/decide', '/v1/verify'][k % 3 + 1] AS endpoint, value / 50 AS seconds, CAST(floor(value * 10) AS BIGINT) AS latency_ms FROM calls c JOIN ev ON event_id = call_id)"
 
 
+@query("j2_worker_counters", with_(OUTCOME) + """SELECT 'messages' AS counter, CASE WHEN outcome IN ('EXCEPTION', 'EMPTY_PLAN', 'EXEC_FAILED', 'VERIFY_FAILED') THEN 'FAILED' WHEN outcome = 'NO_ANOMALY' THEN 'COMPLETED' ELSE outcome END AS status, '' AS action, '' AS lane, '' AS tenant_id, '' AS reason, count(*) AS n FROM oc WHERE outcome NOT IN ('UNKNOWN_NAMESPACE', 'SKIPPED_CB') GROUP BY 2
+UNION ALL SELECT 'breaker_skips', '', '', '', tenant_id, '', count(*) FROM oc WHERE outcome = 'SKIPPED_CB' GROUP BY 5
+UNION ALL SELECT 'executions', CASE WHEN outcome = 'EXEC_FAILED' THEN 'FAILED' ELSE 'COMPLETED' END, 'RESTART_DEPLOYMENT', CASE WHEN k % 3 = 0 THEN 'slow' ELSE 'fast' END, '', '', count(*) FROM oc WHERE outcome IN ('EXEC_FAILED', 'VERIFY_FAILED', 'DRY_RUN', 'COMPLETED') GROUP BY 2, 4
+UNION ALL SELECT 'escalations', '', '', '', '', CASE WHEN outcome = 'SKIPPED_CB' THEN 'CB_OPEN' ELSE outcome END, count(*) FROM oc WHERE outcome IN ('SKIPPED_CB', 'EXCEPTION', 'EMPTY_PLAN', 'EXEC_FAILED', 'VERIFY_FAILED') GROUP BY 6
+UNION ALL SELECT 'rollbacks', CASE WHEN alert_id % 4 = 0 THEN 'FAILED' ELSE 'COMPLETED' END, '', '', '', '', count(*) FROM oc WHERE outcome = 'VERIFY_FAILED' AND k % 10 = 5 GROUP BY 2
+UNION ALL SELECT 'breaker_opens', '', '', '', tenant_id, '', count(*) FROM oc WHERE outcome = 'EXCEPTION' GROUP BY 5""")
+def _(spark, sf):
+    lanes = worker_events(spark, sf).join(X.alerts(spark, sf).select("alert_id", "k"), "alert_id")
+    o = H.worker_outcome(lanes).withColumns({"action": F.lit("RESTART_DEPLOYMENT"), "lane": H.lane(F.when(F.col("k") % 3 == 0, "deferred").otherwise("urgent")), "rollback_status": F.when(F.col("alert_id") % 4 == 0, "FAILED").otherwise("COMPLETED")})
+    return J.worker_counters(o, o.where("outcome = 'EXCEPTION'").select("tenant_id"))
+
+
 @query("j2_call_errors", with_(HTTP) + "SELECT endpoint, status_code, count(*) AS n FROM ht WHERE coalesce(status_code, 500) <> 200 GROUP BY 1, 2")
 def _(spark, sf):
     return J.call_errors(_http(spark, sf))
@@ -88,6 +100,17 @@ def _(spark, sf):
     return rounded(J.resolved_share(J.incident_timeline(J.audit_events(_stages(spark, sf)))), "auto_resolved_share", "mean_seconds")
 
 
+@query("j4_lane_compliance", with_(_TL) + """SELECT tenant_id, lane, count(*) AS incidents, count(*) FILTER (total_seconds < CASE lane WHEN 'fast' THEN 15 ELSE 120 END) AS within_limit, round(avg(auto_resolved::INT), 6) AS auto_resolved_share,
+  count(*) FILTER (total_seconds < CASE lane WHEN 'fast' THEN 15 ELSE 120 END) = count(*) AS lane_ok, avg(auto_resolved::INT) >= 0.6 AS share_ok
+FROM (SELECT t2.* REPLACE (CASE WHEN correlation_id[-1] IN ('3', '7') THEN total_seconds * 20 ELSE total_seconds END AS total_seconds), CASE WHEN correlation_id[-1] = '3' THEN 'slow' ELSE 'fast' END AS lane FROM t2) GROUP BY 1, 2""")
+def _(spark, sf):
+    t = J.incident_timeline(J.audit_events(_stages(spark, sf)))
+    last = F.substring("correlation_id", -1, 1)
+    slow = t.where(last == "3").select("correlation_id", F.lit("slow").alias("lane"))
+    t = t.withColumn("total_seconds", F.when(last.isin("3", "7"), F.col("total_seconds") * 20).otherwise(F.col("total_seconds")))
+    return rounded(J.lane_compliance(t, slow), "auto_resolved_share")
+
+
 # as of 100 days after the first event
 @query("j5_retention_tier", with_(TEL) + """SELECT seq, CASE WHEN (1704067200 + 8640000 - t) / 86400 <= CASE WHEN signal_name = 'application_log_event' THEN 14 ELSE 7 END THEN 'hot' WHEN (1704067200 + 8640000 - t) / 86400 <= 90 THEN 'cold' ELSE 'drop' END AS tier FROM tel""")
 def _(spark, sf):

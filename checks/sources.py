@@ -40,6 +40,62 @@ def _(spark, sf):
     return R.parse_run_logs(rows).select("run_key", "t", "service", "value_str", F.col("labels")["level"].alias("level"))
 
 
+def _written(df, root, name):
+    """``df`` (path, text) as one file per path under ``root``; ``path`` is relative."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    df.repartition("path").write.mode("append").partitionBy("path").text(root)
+    glob = jvm.org.apache.hadoop.fs.Path(f"{root}/path=*/part-*")
+    fs = glob.getFileSystem(conf)
+    for f in fs.globStatus(glob):
+        run = f.getPath().getParent().getName().split("=", 1)[1].replace("%2F", "/")
+        to = jvm.org.apache.hadoop.fs.Path(f"{root}/{run}/{name}")
+        fs.mkdirs(to.getParent())
+        fs.rename(f.getPath(), to)
+    return root
+
+
+def _run_folders(spark, sf):
+    """The events as run folders: metric files whose time stands in another column by service, log files with messages over line breaks."""
+    root = f"{scratch_dir(spark)}/runs-{uuid.uuid4()}"
+    e = X.events(spark, sf).withColumn("run", F.regexp_extract(_run_path("x"), "^/data/(.*)/x$", 1))
+    late = F.col("user_id") % 2 == 1
+    cells = [F.col("t").cast("string"), F.col("value").cast("string")]
+    line = F.when(late, F.concat_ws(",", cells[1], cells[0])).otherwise(F.concat_ws(",", *cells))
+    head = F.when(late, F.concat(_svc(), F.lit("_cpu,time"))).otherwise(F.concat(F.lit("time,"), _svc(), F.lit("_cpu")))
+    quoted = F.concat(F.col("t").cast("string"), F.lit(',"said ""'), "event_type", F.lit('""\nagain, '), F.col("event_id").cast("string"), F.lit('",error'))
+    plain = F.concat_ws(",", F.col("t").cast("string"), F.concat(F.lit("plain "), "event_id"), F.lit("info"))
+    for name, first, body in (("simple_metrics.csv", head, line), ("logs.csv", F.lit("timestamp,message,level"), F.when(F.col("k") % 2 == 0, quoted).otherwise(plain))):
+        one = e.groupBy(F.col("run").alias("path")).agg(F.concat_ws("\n", F.max(first), F.array_join(F.collect_list(body), "\n")).alias("value"))
+        _written(one, root, name)
+    return root
+
+
+_IN_RUN = f"SELECT {_RUN} AS run_key, t, event_id, event_type, k, value, user_id FROM ev"
+
+
+# files on disk, the time in any column
+@query("a1_run_files", with_(EV) + f"SELECT run_key, t, 'svc' || (user_id % 6) AS service, 'svc' || (user_id % 6) || '_cpu' AS signal_name, value AS value_num FROM ({_IN_RUN})")
+def _(spark, sf):
+    return R.read_metric_runs(spark, _run_folders(spark, sf)).select("run_key", "t", "service", "signal_name", "value_num")
+
+
+# quoted messages over line breaks
+@query("a2_run_files", with_(EV) + f"SELECT run_key, t, CASE WHEN k % 2 = 0 THEN 'said \"' || event_type || '\"' || chr(10) || 'again, ' || event_id ELSE 'plain ' || event_id END AS value_str, CASE WHEN k % 2 = 0 THEN 'error' ELSE 'info' END AS level FROM ({_IN_RUN})")
+def _(spark, sf):
+    return R.read_log_runs(spark, _run_folders(spark, sf)).select("run_key", "t", "value_str", F.col("labels")["level"].alias("level"))
+
+
+# one service and fault, cut around an inject time of each run
+@query("a8_sliced_runs", with_(EV) + f", r AS ({_IN_RUN}), i AS (SELECT run_key, min(t) + 86400 AS at FROM r GROUP BY 1) SELECT run_key, signal_name, count(*) AS n, round(sum(v), 4) AS total FROM (SELECT run_key, t, 'svc2_cpu' AS signal_name, value AS v FROM r UNION ALL SELECT run_key, t, 'application_log_event', NULL FROM r) JOIN i USING (run_key) WHERE run_key LIKE 'svc2_mem/%' AND t BETWEEN at - 43200 AND at + 86400 GROUP BY 1, 2")
+def _(spark, sf):
+    root = _run_folders(spark, sf)
+    e = X.events(spark, sf).withColumn("run_key", F.regexp_extract(_run_path("x"), "^/data/(.*)/x$", 1))
+    at = e.groupBy("run_key").agg((F.min("t") + 86400).alias("inject_time"))
+    p = R.load_telemetry(spark, "benchmark_fixture", root=root, service_fault="svc2_mem", inject_time=at, window_before=43200, window_after=86400)
+    return p.groupBy("run_key", "signal_name").agg(F.count("*").alias("n"), F.round(F.sum("value_num"), 4).alias("total"))
+
+
 def _pod_lines(spark, sf):
     e = X.events(spark, sf)
     iso = F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd'T'HH:mm:ss")

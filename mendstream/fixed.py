@@ -129,6 +129,7 @@ LOG_MASKS = [
 SERVICE_LABEL_KEYS = ["app.kubernetes.io/name", "app", "service", "k8s-app"]
 POD_SUFFIX = r"-[a-f0-9]{8,10}-[a-z0-9]{5}$"
 WORKLOAD_PATTERN = r"^(.+)-[a-z0-9]{5,10}-[a-z0-9]{5}$"
+SLICE_BEFORE, SLICE_AFTER = 120, 30  # seconds around an inject time
 RUN_FILES = ["inject_time.txt", "metrics.csv", "simple_metrics.csv", "logs.csv"]
 FAULT_CONTRACT_SIGNAL = {
     "cpu": "container_resource_usage", "mem": "container_resource_usage",
@@ -190,6 +191,9 @@ ENDPOINT_P99_MS = [("/v1/detect", 800), ("/v1/decide", 3000), ("/v1/verify", 100
 MAX_5XX_RATE = 0.01
 # tier, alerts per minute
 TIER_LIMITS = [("pro", 30), ("basic", 10)]
+# lane, seconds from alert to outcome; share of incidents resolved without a person
+LANE_SECONDS = [("fast", 15), ("slow", 120)]
+AUTO_RESOLVED_SHARE = 0.60
 HISTOGRAM_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
 # -- fixed values: sentences of verdicts, suppressions, verification and escalation ------

@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scrub import scrub_struct
+from mendstream.operators.quantiles import exact_percentile
+from mendstream.operators.scans import join_same
 
 AUDIT_COLUMNS = ["event_type", "tenant_id", "correlation_id", "epoch", "action", "target", "status", "error", "details"]
 TEXT_COLUMNS = ["action", "target", "status", "error", "details"]
@@ -57,6 +59,30 @@ def ops_counters(audit: DataFrame) -> DataFrame:
     return audit.groupBy(counter.alias("counter"), "event_type", F.coalesce("action", F.lit("")).alias("action"), "status").agg(F.count("*").alias("n"))
 
 
+def worker_counters(outcomes: DataFrame, openings: DataFrame) -> DataFrame:
+    """All counters of the worker, one row per counter and label: counter, status, action, lane, tenant_id, reason, n.
+
+    ``outcomes``: rows of ``worker_outcome`` with ``tenant_id, action, lane, exec_status, rollback_status``; ``openings``: breaker openings with ``tenant_id``. An alert
+    counts once for each counter that it touches: its message, a skip, an execution (once it had a plan), an escalation, a rollback.
+    """
+    o, none = F.col("outcome"), F.lit("")
+
+    def one(name: str, when: Column, status: Column = none, action: Column = none, lane: Column = none, tenant: Column = none, reason: Column = none) -> Column:
+        return F.when(when, F.struct(F.lit(name).alias("counter"), status.alias("status"), action.alias("action"), lane.alias("lane"), tenant.alias("tenant_id"), reason.alias("reason")))
+
+    touched = F.array_compact(F.array(
+        one("messages", F.col("message_status").isNotNull(), status=F.col("message_status")),
+        one("breaker_skips", o == "SKIPPED_CB", tenant=F.col("tenant_id")),
+        one("executions", o.isin("EXEC_FAILED", "VERIFY_FAILED", "DRY_RUN", "COMPLETED"), F.col("exec_status"), F.col("action"), F.col("lane")),
+        one("escalations", F.col("escalation").isNotNull(), reason=F.col("escalation")),
+        one("rollbacks", F.col("rollback"), status=F.col("rollback_status")),
+    ))
+    rows = outcomes.select(F.inline(touched))
+    opened = openings.select(F.lit("breaker_opens").alias("counter"), none.alias("status"), none.alias("action"), none.alias("lane"), "tenant_id", none.alias("reason"))
+    labels = ["counter", "status", "action", "lane", "tenant_id", "reason"]
+    return rows.unionByName(opened).groupBy(*labels).agg(F.count("*").alias("n"))
+
+
 def call_errors(calls: DataFrame) -> DataFrame:
     return calls.where(F.coalesce("status_code", F.lit(500)) != 200).groupBy("endpoint", "status_code").agg(F.count("*").alias("n"))
 
@@ -86,6 +112,18 @@ def resolved_share(timeline: DataFrame) -> DataFrame:
         F.count("*").alias("incidents"), F.avg(F.col("auto_resolved").cast("double")).alias("auto_resolved_share"), F.avg("total_seconds").alias("mean_seconds"))
 
 
+def lane_compliance(timeline: DataFrame, lanes: DataFrame, limits: list[tuple[str, int]] = fixed.LANE_SECONDS, share: float = fixed.AUTO_RESOLVED_SHARE) -> DataFrame:
+    """Per tenant and lane: incidents, how many ended within the lane's limit, whether all did, the share resolved without a person and whether it is enough.
+
+    ``lanes``: ``correlation_id, lane``; an incident without one is in the fast lane.
+    """
+    most = F.create_map(*[F.lit(x) for pair in limits for x in pair])
+    d = timeline.join(lanes.select("correlation_id", "lane"), "correlation_id", "left").withColumn("lane", F.coalesce("lane", F.lit("fast")))
+    per = d.groupBy("tenant_id", "lane").agg(
+        F.count("*").alias("incidents"), F.count_if(F.col("total_seconds") < most[F.col("lane")]).alias("within_limit"), F.avg(F.col("auto_resolved").cast("double")).alias("auto_resolved_share"))
+    return per.withColumns({"lane_ok": F.col("within_limit") == F.col("incidents"), "share_ok": F.col("auto_resolved_share") >= share})
+
+
 def retention_tier(df: DataFrame, limits: DataFrame, now: Column, cold_days: int = fixed.COLD_DAYS) -> DataFrame:
     """``hot`` within the signal's hot days, ``cold`` up to 90 days, then ``drop``; unlisted signals have 7 hot days."""
     dim = F.broadcast(limits.select("signal_name", "hot_days"))
@@ -99,9 +137,11 @@ def rollout_gate(calls: DataFrame, limits: DataFrame, seconds: int = 300, max_5x
 
     A call without a status counts as 5xx; an endpoint without a limit is judged by its 5xx share alone.
     """
+    key = ["window_start", "endpoint"]
     code = F.coalesce("status_code", F.lit(500))
-    per = calls.groupBy(F.expr(f"(t div {seconds}) * {seconds}").alias("window_start"), "endpoint").agg(
-        F.count("*").alias("n"), F.avg((code >= 500).cast("double")).alias("share_5xx"), F.percentile("latency_ms", 0.99).alias("p99_ms"))
+    d = calls.withColumn("window_start", F.expr(f"(t div {seconds}) * {seconds}"))
+    per = d.groupBy(*key).agg(F.count("*").alias("n"), F.avg((code >= 500).cast("double")).alias("share_5xx"))
+    per = join_same(per, exact_percentile(d, key, "latency_ms", 0.99, "p99_ms"), key)
     d = per.join(limits.select("endpoint", "p99_limit_ms"), "endpoint", "left")
     return d.withColumn("abort", (F.col("share_5xx") > max_5xx) | F.coalesce(F.col("p99_ms") > F.col("p99_limit_ms"), F.lit(False)))
 

@@ -75,6 +75,12 @@ def release(spark: SparkSession, tables: list[str]) -> None:
         TABLES.remove(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, in whatever store it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def bounded(dim: DataFrame, rows: int = 100_000) -> DataFrame:
     """A configuration table with a broadcast hint if it has at most ``rows`` rows; a larger one is joined by a shuffle."""
     return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mendstream import fixed
+from mendstream.session import exists
 
 RUNBOOK = """name string, description string, pattern_type string,
  action_plan array<struct<step:int,action:string,target:string,params:map<string,string>>>,
@@ -55,13 +56,13 @@ def catalog_runbooks(spark: SparkSession, namespaces: list[str] | None = None, o
 
 
 def load_runbooks(spark: SparkSession, profile: DataFrame | None = None, path: str | None = None, catalog: bool = True) -> DataFrame:
-    """First available of the profile's runbooks, a runbook file, the built-in catalog, the single default.
+    """First available of the profile's runbooks, a runbook file, the built-in catalog, the single default; an absent file is passed over.
 
     ``profile`` and the file are small configuration; whether the profile has any is asked with one ``take``.
     """
     if profile is not None and profile.take(1):
         return flat_runbooks(profile)
-    if path:
+    if path and exists(spark, path):
         text = spark.read.text(path, wholetext=True)
         books = text.select(F.explode(F.from_json("value", f"map<string,struct<{RUNBOOK.replace(' string', ':string').replace(' array', ':array').replace(' struct', ':struct')}>>")).alias("k", "r"))
         return flat_runbooks(books.select("r.*"))

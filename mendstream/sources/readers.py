@@ -11,6 +11,7 @@ from mendstream import fixed
 from mendstream.functions.scalars import pod_service_name
 from mendstream.functions.validate import RFC3339
 from mendstream.session import bounded
+from mendstream.sources.quoted import read_quoted_csv
 
 POINT = ["t", "tenant_id", "service", "signal_name", "value_num", "value_str", "labels"]
 RUN_PATH = r"([^/]+)/(\d+)/[^/]+$"
@@ -30,30 +31,46 @@ def _points(df: DataFrame, *extra: str) -> DataFrame:
 # -- run folders ------------------------------------------------------------------------------------
 
 
-def parse_metric_csv(lines: DataFrame, tenant_id: str = "benchmark") -> DataFrame:
-    """Wide CSV lines (``path, line``) to points; files may have different headers.
+def metric_points(rows: DataFrame, tenant_id: str = "benchmark", signals: list[str] | None = None) -> DataFrame:
+    """Points of ``path, names, c`` rows: the cells of a line under the names of its file's header, with ``time`` in any column.
 
-    The service is the text before the first underscore; empty and NaN cells are left out.
+    The service is the text before the first underscore; empty and NaN cells are left out, and cells of other ``signals`` before they become rows.
     """
-    cells = F.transform(F.split("line", ","), lambda x: F.trim(x))
-    d = lines.withColumn("c", cells)
-    head = d.where(F.col("c")[0] == "time").select("path", F.col("c").alias("names")).distinct()
-    rows = d.where(F.col("c")[0] != "time").join(bounded(head), "path")
-    rows = rows.select("path", F.col("c")[0].try_cast("double").cast("long").alias("t"), F.explode(F.arrays_zip("names", "c")).alias("x"))
+    at = F.array_position("names", "time").cast("int")
+    cells = F.filter(F.arrays_zip("names", "c"), lambda x: (x["names"] != "time") & (x["names"].isin(signals) if signals else F.lit(True)))
+    rows = rows.where(at > 0).select("path", F.get("c", at - 1).try_cast("double").cast("long").alias("t"), F.explode(cells).alias("x"))
     v = F.col("x.c").try_cast("double")
-    rows = rows.where(F.col("t").isNotNull() & (F.col("x.names") != "time") & v.isNotNull() & ~F.isnan(v))
+    rows = rows.where(F.col("t").isNotNull() & v.isNotNull() & ~F.isnan(v))
     named = rows.select("path", "t", F.lit(tenant_id).alias("tenant_id"), F.substring_index("x.names", "_", 1).alias("service"),
                         F.col("x.names").alias("signal_name"), v.alias("value_num"))
     return _points(named, "path").withColumn("run_key", run_key(F.col("path")))
 
 
+def _cells(line: Column) -> Column:
+    return F.transform(F.split(line, ","), lambda x: F.trim(x))
+
+
+def parse_metric_csv(lines: DataFrame, tenant_id: str = "benchmark") -> DataFrame:
+    """Wide CSV lines (``path, line``) of files of any size to points; files may have different headers, a header is the line with a cell ``time``."""
+    d = lines.withColumn("c", _cells(F.col("line")))
+    is_head = F.array_contains("c", "time")
+    head = d.where(is_head).select("path", F.col("c").alias("names")).distinct()
+    return metric_points(d.where(~is_head).join(bounded(head), "path"), tenant_id)
+
+
 def run_key(path: Column) -> Column:
     return F.concat(F.regexp_extract(path, RUN_PATH, 1), F.lit("/"), F.regexp_extract(path, RUN_PATH, 2))
 
 
-def read_metric_runs(spark: SparkSession, root: str, name: str = "simple_metrics.csv", tenant_id: str = "benchmark") -> DataFrame:
-    lines = spark.read.text(f"{root}/*/[0-9]*/{name}").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-    return parse_metric_csv(lines, tenant_id)
+def read_metric_runs(spark: SparkSession, root: str, name: str = "simple_metrics.csv", tenant_id: str = "benchmark",
+                     runs: str = "*/[0-9]*", signals: list[str] | None = None) -> DataFrame:
+    """Points of the metric files of run folders in one scan: a file is the metrics of one run and is read whole by one task, header first.
+
+    ``runs`` selects folders, ``signals`` columns. For files beyond a task's memory use ``parse_metric_csv`` on their lines.
+    """
+    files = spark.read.text(f"{root}/{runs}/{name}", wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split(F.trim("value"), r"\r?\n").alias("lines"))
+    rows = files.select("path", _cells(F.get("lines", F.lit(0))).alias("names"), F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
+    return metric_points(rows.select("path", "names", _cells(F.col("line")).alias("c")), tenant_id, signals)
 
 
 def epoch_seconds(name: str) -> Column:
@@ -71,12 +88,21 @@ def parse_run_logs(rows: DataFrame, tenant_id: str = "benchmark") -> DataFrame:
     return _points(d.where(F.col("t").isNotNull()), "path").withColumn("run_key", run_key(F.col("path")))
 
 
-def read_log_runs(spark: SparkSession, root: str, tenant_id: str = "benchmark") -> DataFrame:
-    rows = (
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False)
-        .schema("timestamp string, container_name string, message string, level string").csv(f"{root}/*/[0-9]*/logs.csv")
-    )
-    return parse_run_logs(rows.select("*", F.col("_metadata.file_path").alias("path")), tenant_id)
+LOG_COLUMNS = ["timestamp", "container_name", "message", "level"]
+
+
+def read_log_runs(spark: SparkSession, root: str, tenant_id: str = "benchmark", runs: str = "*/[0-9]*") -> DataFrame:
+    """Log points of run folders; quoted messages may go over line breaks, and a large file is read by many tasks."""
+    return parse_run_logs(read_quoted_csv(spark, f"{root}/{runs}/logs.csv", LOG_COLUMNS), tenant_id)
+
+
+def slice_runs(points: DataFrame, inject: int | DataFrame, before: int = fixed.SLICE_BEFORE, after: int = fixed.SLICE_AFTER) -> DataFrame:
+    """Points from ``before`` seconds before to ``after`` seconds after the inject time: one for all runs, or a table ``run_key, inject_time``; a run that it
+    does not name stays whole."""
+    if not isinstance(inject, DataFrame):
+        return points.where(F.col("t").between(inject - before, inject + after))
+    d = points.join(inject.select("run_key", F.col("inject_time").alias("_at")), "run_key", "left")
+    return d.where(F.col("_at").isNull() | F.col("t").between(F.col("_at") - before, F.col("_at") + after)).drop("_at")
 
 
 def dataset_completeness(files: DataFrame, required: list[str] = fixed.RUN_FILES) -> DataFrame:
@@ -201,9 +227,12 @@ def read_push_windows(df: DataFrame, json: str = "json") -> DataFrame:
 # -- dispatch -----------------------------------------------------------------------------------------------
 
 
-def _fixture(spark, root, tenant_id="benchmark"):
-    metrics = read_metric_runs(spark, root, tenant_id=tenant_id)
-    return metrics.select(*POINT, "run_key").unionByName(read_log_runs(spark, root, tenant_id).select(*POINT, "run_key"), allowMissingColumns=True)
+def _fixture(spark, root, tenant_id="benchmark", service_fault="*", run_id="[0-9]*", inject_time=None, window_before=fixed.SLICE_BEFORE, window_after=fixed.SLICE_AFTER):
+    """Run folders, all or of one ``service_fault`` and ``run_id``, whole or cut around ``inject_time`` (see ``slice_runs``)."""
+    runs = f"{service_fault}/{run_id}"
+    metrics = read_metric_runs(spark, root, tenant_id=tenant_id, runs=runs)
+    points = metrics.select(*POINT, "run_key").unionByName(read_log_runs(spark, root, tenant_id, runs).select(*POINT, "run_key"), allowMissingColumns=True)
+    return points if inject_time is None else slice_runs(points, inject_time, window_before, window_after)
 
 
 def _cluster(spark, lines, matrix, tenant_id, pods=None, read_at=None):

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from mendstream import fixed
 from mendstream.operators.graph import service_parts
 from mendstream.plans.verdict import verdicts
-from mendstream.session import bounded, reuse
+from mendstream.session import bounded, exists, reuse
 
 
 def closed_seconds(rows: DataFrame, ts: str, late: str, keys: list[str], *aggs) -> DataFrame:
@@ -220,7 +220,7 @@ def stream_verdicts(events: DataFrame, services: DataFrame, edges: DataFrame, ou
         bins = closed.where("series is not null and v is not null").select("tenant_id", "window_id", "t", "series", "v")
         lines = closed.where("masked is not null").select("tenant_id", "window_id", "t", "container_name", "masked", "n", "first_seq", "level")
         earlier = None
-        if batch_id and stored(spark, out):
+        if batch_id and exists(spark, out):
             before = spark.read.schema(VERDICT).option("basePath", out).parquet(out).where(F.col("batch") < batch_id)
             earlier = before.where("role = 'root'").select("tenant_id", F.col("target_service").alias("service"), F.col("end_t").alias("t"), F.col("window_id").alias("alert_id"))
         ends = bins.groupBy("tenant_id", "window_id").agg(F.max("t").alias("end_t"))
@@ -231,8 +231,3 @@ def stream_verdicts(events: DataFrame, services: DataFrame, edges: DataFrame, ou
 
 VERDICT = """tenant_id string, window_id long, anomaly_detected boolean, anomaly_row int, t long, severity double, target_service string, fault string, service_top_k array<string>,
  trigger_metric string, trigger_value double, confidence double, reasoning string, role string, root_service string, incident_id string, end_t long, batch long"""
-
-
-def stored(spark, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

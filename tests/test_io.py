@@ -36,6 +36,62 @@ def test_metric_and_log_runs(spark, runs):
     assert both.count() == 6 + 4
 
 
+def test_time_in_any_column_and_chosen_signals_in_one_scan(spark, tmp_path):
+    d = tmp_path / "a_cpu" / "1"
+    d.mkdir(parents=True)
+    (d / "simple_metrics.csv").write_text("a_cpu, time ,a_mem\r\n0.5,7,1\r\n,8,2\r\n")
+    df = R.read_metric_runs(spark, str(tmp_path))
+    assert sorted((r.t, r.signal_name, r.value_num) for r in df.collect()) == [(7, "a_cpu", 0.5), (7, "a_mem", 1.0), (8, "a_mem", 2.0)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    assert [r.value_num for r in R.read_metric_runs(spark, str(tmp_path), signals=["a_cpu"]).collect()] == [0.5]
+
+
+@pytest.mark.parametrize("ranges", [100_000, 0])
+def test_quoted_csv_over_many_ranges(spark, tmp_path, ranges, monkeypatch):
+    """Ranges of a few bytes cut records anywhere, inside quotes too."""
+    import csv
+
+    from mendstream.sources import quoted
+
+    monkeypatch.setattr(quoted, "RANGES", ranges)
+    rng = random.Random(7)
+    want = []
+    for f in range(3):
+        rows = [[str(i), "".join(rng.choice('ab",\n ') for _ in range(rng.randrange(30))), rng.choice(["", "x", "two\n\nlines"])] for i in range(40)]
+        order = rng.sample(range(3), 3)
+        with open(tmp_path / f"{f}.csv", "w", newline="") as out:
+            w = csv.writer(out, lineterminator="\n")
+            w.writerows([[["id", "text", "tag"][i] for i in order], *[[r[i] for i in order] for r in rows]])
+        want += [(f"{f}.csv", *[c or None for c in r]) for r in rows]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        got = [(os.path.basename(r.path), r.id, r.text, r.tag, r.other) for r in quoted.read_quoted_csv(spark, str(tmp_path), ["id", "text", "tag", "other"]).collect()]
+        assert quoted.quoted_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    key = lambda r: tuple(str(c) for c in r)
+    assert sorted(got, key=key) == sorted([(*r, None) for r in want], key=key)
+
+
+def test_an_absent_runbook_file_is_passed_over(spark, tmp_path):
+    assert P.load_runbooks(spark, None, str(tmp_path / "none.json")).count() == 7
+
+
+def test_percentiles_without_a_group_list(spark):
+    from mendstream.operators.quantiles import exact_percentile
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([5.0, 5.25, rng.uniform(-3, 40)])) for _ in range(3000)] + [("one", 2.5), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {r.k: r.p for r in exact_percentile(df, ["k"], "x", q, "p").collect()}
+        want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("x", q).alias("p")).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_ground_truth(spark, runs):
     g = {r.run_key: r for r in R.scan_ground_truth(spark, runs).collect()}
     assert set(g) == {"cart_cpu/1", "pay-api_mem/2"}
