@@ -87,7 +87,7 @@ def _(spark, sf):
 
 
 # one service and fault, cut around an inject time of each run
-@query("a8_sliced_runs", with_(EV) + f", r AS ({_IN_RUN}), i AS (SELECT run_key, min(t) + 86400 AS at FROM r GROUP BY 1) SELECT run_key, signal_name, count(*) AS n, round(sum(v), 4) AS total FROM (SELECT run_key, t, 'svc2_cpu' AS signal_name, value AS v FROM r UNION ALL SELECT run_key, t, 'application_log_event', NULL FROM r) JOIN i USING (run_key) WHERE run_key LIKE 'svc2_mem/%' AND t BETWEEN at - 43200 AND at + 86400 GROUP BY 1, 2")
+@query("a8_sliced_runs", with_(EV) + f", r AS ({_IN_RUN}), i AS (SELECT run_key, min(t) + 86400 AS at0 FROM r GROUP BY 1) SELECT run_key, signal_name, count(*) AS n, round(sum(v), 4) AS total FROM (SELECT run_key, t, 'svc2_cpu' AS signal_name, value AS v FROM r UNION ALL SELECT run_key, t, 'application_log_event', NULL FROM r) JOIN i USING (run_key) WHERE run_key LIKE 'svc2_mem/%' AND t BETWEEN at0 - 43200 AND at0 + 86400 GROUP BY 1, 2")
 def _(spark, sf):
     root = _run_folders(spark, sf)
     e = X.events(spark, sf).withColumn("run_key", F.regexp_extract(_run_path("x"), "^/data/(.*)/x$", 1))
