@@ -279,7 +279,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     spans = inside.unionAll(whole).unionAll(small)
     many = several.where(F.col("c") > TOGETHER)
     if not many.isEmpty():
-        suffixes = reuse(_suffix_rows(rows_of(many), length))
+        suffixes = _suffix_rows(rows_of(many), length)  # in the same plan, so that the texts are dealt once for all
         order = ["trig", "suffix"]
         repeats = suffixes.groupBy(*order).agg(F.min("phrase").alias("a"), F.max("phrase").alias("b")).where("a < b").select(*order)
         spans = spans.unionAll(suffixes.where("single = 1").join(repeats, order, "left_semi").select("_sid", "_sh", F.col("start").alias("_from"), (F.col("start") + length).cast("int").alias("_to")))
