@@ -66,7 +66,9 @@ def test_fingerprints(docs):
     assert rows[1].near_next == 1.0  # its copy follows
 
 
-def test_repeats_equal_brute_force(docs):
+@pytest.mark.parametrize("together", [4096, 1])
+def test_repeats_equal_brute_force(docs, together, monkeypatch):
+    monkeypatch.setattr(suffix, "TOGETHER", together)  # with 1 every trigger of several phrases goes by rows
     length = 200
     data = [(t or "").encode() for t in TEXTS]
     count = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
