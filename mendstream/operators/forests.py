@@ -6,6 +6,7 @@ adds the blocks up. One window is spread over as many tasks as it has blocks of
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -261,6 +262,45 @@ class CutTree:
         return worst
 
 
+    def dump(self) -> tuple:
+        """Plain data that ``load`` makes the same tree of."""
+        return self.rng.bit_generator.state, self.nodes, self.leaf_of, self.root, self.next
+
+    @classmethod
+    def load(cls, data: tuple) -> CutTree:
+        tree = cls(np.random.default_rng(0))
+        tree.rng.bit_generator.state, tree.nodes, tree.leaf_of, tree.root, tree.next = data
+        return tree
+
+
+class LiveForest:
+    """Random cut trees over the last ``sample`` points of a stream: each point joins all trees, is scored, and pushes out the oldest."""
+
+    def __init__(self, trees: int, sample: int, seed: int):
+        self.trees, self.sample, self.n = [CutTree(np.random.default_rng([seed, k])) for k in range(trees)], sample, 0
+
+    def score(self, point: list[float]) -> float:
+        """Mean displacement of the point."""
+        total = 0.0
+        for tree in self.trees:
+            if self.n >= self.sample:
+                tree.forget(self.n - self.sample)
+            tree.insert(self.n, point)
+            total += tree.displacement(self.n)
+        self.n += 1
+        return total / len(self.trees)
+
+    def dump(self) -> bytes:
+        return pickle.dumps((self.sample, self.n, [t.dump() for t in self.trees]))
+
+    @classmethod
+    def load(cls, data: bytes) -> LiveForest:
+        forest = cls(0, 0, 0)
+        forest.sample, forest.n, trees = pickle.loads(data)
+        forest.trees = [CutTree.load(t) for t in trees]
+        return forest
+
+
 def displacements(x: np.ndarray, tree: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Displacement of each row of ``x`` in its tree, for trees grown on all their rows at once, a level of all trees at a time.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from mendstream import fixed
+from mendstream.operators.forests import LiveForest
 from mendstream.operators.graph import service_parts
 from mendstream.plans.verdict import verdicts
 from mendstream.session import bounded, exists, reuse
@@ -150,6 +151,40 @@ def stream_ewma(points: DataFrame, alpha: float = fixed.EWMA_ALPHA) -> DataFrame
         MovingAverage(alpha), "tenant_id string, series string, t long, seq long, v double, ewma double", "Append", "None")
 
 
+class CutForest(StatefulProcessor):
+    """Random cut forest of one key's live points; the state is the forest."""
+
+    def __init__(self, trees: int, sample: int, seed: int):
+        self.options = trees, sample, seed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("forest", "data binary, width int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # the closed seconds of one key since the last micro-batch
+        pdf = pd.concat(list(rows)).sort_values("t")
+        forest, width, scores = None, None, []
+        if self.state.exists():
+            data, width = self.state.get()
+            forest = LiveForest.load(bytes(data))
+        for x in pdf["x"]:
+            if forest is None or len(x) != width:  # other series than before: a forest of their own
+                forest, width = LiveForest(*self.options), len(x)
+            scores.append(forest.score(x))
+        self.state.update((forest.dump(), width))
+        yield pdf[["tenant_id", "t"]].assign(score=scores)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_rrcf(vectors: DataFrame, trees: int = 40, sample: int = fixed.FOREST_SAMPLE, seed: int = 42, ts: str = "ts", late: str = "1 minute") -> DataFrame:
+    """Displacement of every second's last vector (``tenant_id, ts, seq, x``) among the last ``sample`` of its tenant, in event time whatever the order of arrival within ``late``."""
+    rows = vectors.select(ts, "tenant_id", "seq", "x")
+    per = closed_seconds(rows, ts, late, ["tenant_id"], F.max_by("x", "seq").alias("x"))
+    return per.groupBy("tenant_id").transformWithStateInPandas(CutForest(trees, sample, seed), "tenant_id string, t long, score double", "Append", "EventTime")
+
+
 # -- window queries -------------------------------------------------------------------------------------------
 
 

@@ -175,6 +175,19 @@ def test_stream_incidents_equal_batch_in_any_order(spark, sf, tmp_path):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_stream_forest_equals_one_pass_in_any_order(spark, tmp_path):
+    from mendstream.operators.forests import LiveForest
+
+    rng = random.Random(5)
+    rows = [("x", 10**9 + i, i, [rng.random(), rng.random() + (9.0 if i == 55 else 0.0)]) for i in range(70)]
+    df = spark.createDataFrame(rows, "tenant_id string, t long, seq long, x array<double>")
+    got, _ = drained(ST.stream_rrcf(shuffled(spark, tmp_path, df, 3, 4, by=8), trees=5, sample=30, late="20 seconds"), tmp_path)
+    forest = LiveForest(5, 30, 42)
+    want = {r[1]: forest.score(r[3]) for r in rows}
+    assert {r.t: r.score for r in got.collect()} == want
+    assert max(list(want)[35:], key=want.get) == 10**9 + 55
+
+
 def test_one_tenant_is_folded_in_as_many_parts_as_its_graph_has(spark):
     from mendstream.operators.graph import service_parts
 
