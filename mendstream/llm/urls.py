@@ -1,10 +1,15 @@
 """URL filter by the ratio of two character language models.
 
 Domain rules decide the urls they fit. All urls that a rule decides teach two models, one of accepted and one of rejected urls:
-variable-order Markov models over host and path, with the counts of every context of 0 to ``ORDER`` characters and Witten-Bell
-smoothing from longer to shorter contexts. Counts are kept by hash in a table of fixed size, summed by Spark over all rows.
-A url without a rule is accepted if its log-likelihood difference per character is at least a threshold that is set where the two
-kinds of ruled urls are told apart best (by a histogram over all of them).
+variable-order Markov models over host and path with Witten-Bell smoothing. After a context of k characters, the next character has
+(c + w * p) / (n + t): c its count, n the context's visits, t its distinct followers, p the probability after the context of k - 1
+characters, w = t; below the empty context all bytes are alike. A model keeps a context and character if it is at least one in
+``SHARE`` of all characters of its kind, so no model has more than ``SHARE`` rows an order, however large the table; what a context
+loses by that joins w, and the probabilities still sum to one.
+
+A url without a rule is accepted if its log-likelihood difference per character is at least a threshold. That is calibrated on ruled
+urls that the models had not seen: one in ``FOLDS`` by hash of the url is held out, models of the others score them, and the
+threshold is where both kinds are told apart best. The models that judge are then learned from all ruled urls.
 """
 from __future__ import annotations
 
@@ -12,12 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from mendstream.llm.common import U, batch_rows, chunks, column, flat, mix
+from mendstream.llm.common import batch_rows, chunks, column, flat
 
-ORDER, CELLS = 4, 1 << 15  # longest context; cells of each count table
+ORDER = 4  # longest context
+SHARE = 1 << 18  # a model keeps what is at least one in so many of its characters
+FOLDS = 5
+BITS = 9  # of a character: its byte plus 1; 0 stands before the text
+HELD = 1 << 20  # distinct character runs a task sums up before it hands them on
 BINS, SPAN = 2000, 10.0  # histogram of differences from -SPAN to SPAN nats a character
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -41,69 +50,94 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     return found
 
 
-def contexts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Text number of each character and, for each order, the hashed cells of its context and of context and character.
-    A character whose context would begin before the text has the cell of the text's beginning."""
-    n = len(buf)
-    of = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    age = np.arange(n) - np.repeat(off[:-1], np.diff(off))  # characters before this one
-    out = []
-    ctx = np.full(n, 1, U)
-    for k in range(ORDER + 1):
-        if k:
-            ch = np.zeros(n, U)
-            has = age >= k
-            ch[has] = buf[np.flatnonzero(has) - k].astype(U) + U(1)
-            ctx = mix(ctx * U(3) + ch)
-        pair = mix(ctx ^ (buf.astype(U) + U(0x100)) * U(0x9E3779B97F4A7C15))
-        out.append(((ctx % U(CELLS)).astype(np.int64) if k else np.zeros(n, np.int64), (pair % U(CELLS)).astype(np.int64)))
-    return of, age, out
-
-
-def _width() -> int:
-    return (ORDER + 1) * 2 * CELLS
+def runs(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each character with the ``ORDER`` before it, packed into a number; its low bits are the character."""
+    age = np.arange(len(buf)) - np.repeat(off[:-1], np.diff(off))  # characters of the text before this one
+    out = buf.astype(np.int64) + 1
+    for k in range(1, ORDER + 1):
+        has = np.flatnonzero(age >= k)
+        out[has] |= (buf[has - k].astype(np.int64) + 1) << (BITS * k)
+    return out
+
+
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their summed counts."""
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(at, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+
+
+class Model:
+    """Witten-Bell probabilities from the kept rows of one kind: (order, run, c, n), n the visits of the run's context."""
+
+    def __init__(self, order: np.ndarray, run: np.ndarray, c: np.ndarray, n: np.ndarray):
+        self.orders = []
+        for k in range(ORDER + 1):
+            own = np.flatnonzero(order == k)
+            own = own[np.argsort(run[own])]
+            ctx, first, t = np.unique(run[own] >> BITS, return_index=True, return_counts=True)
+            kept = np.add.reduceat(c[own], first) if len(own) else np.zeros(0)
+            visits = n[own][first].astype(float)
+            self.orders.append((run[own], c[own].astype(float), ctx, visits + t, t + visits - kept))
+
+    def probability(self, run: np.ndarray) -> np.ndarray:
+        prob = np.full(len(run), 1 / 256)
+        for k, (pairs, c, ctx, size, weight) in enumerate(self.orders):
+            if not len(pairs):
+                continue
+            pair = run & ((1 << (BITS * (k + 1))) - 1)
+            at = np.minimum(np.searchsorted(ctx, pair >> BITS), len(ctx) - 1)
+            known = ctx[at] == pair >> BITS
+            to = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+            seen = np.where(pairs[to] == pair, c[to], 0.0)
+            prob = np.where(known, (seen + weight[at] * prob) / size[at], prob)
+        return prob
+
+
+def learn(urls: DataFrame) -> list[Model]:
+    """Models of rejected and accepted urls, from _key and _kind (0 or 1)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [], []
 
-def learn(urls: DataFrame) -> np.ndarray:
-    """Counts by kind (rejected, accepted), order, and context or context with character, from _key and _kind (0 or 1)."""
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys[0] & ((1 << 62) - 1)), pa.array((keys[0] >> 62).astype(np.int32)), pa.array(counts[0])], names=["run", "kind", "c"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * _width(), np.int64)
         for batch in batches:
             kind = np.asarray(column(batch, "_kind"))
             whole, offs = flat(column(batch, "_key"))
             for i, j in chunks(offs):
-                of, _, cells = contexts(whole[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                base = kind[i:j][of].astype(np.int64) * _width()
-                for k, (ctx, pair) in enumerate(cells):
-                    at = base + 2 * k * CELLS
-                    total += np.bincount(np.concatenate([at + ctx, at + CELLS + pair]), minlength=2 * _width())
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "c"])
-
-    out = np.zeros(2 * _width())
-    for r in batch_rows(urls, 4096).mapInArrow(run, "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
-        out[r.cell] = r.c  # as many rows as the tables have cells, at most
-    return out.reshape(2, ORDER + 1, 2, CELLS)
-
-
-def log_ratio(buf: np.ndarray, off: np.ndarray, counts: np.ndarray) -> np.ndarray:
+                found = runs(whole[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) | np.repeat(kind[i:j].astype(np.int64) << 62, np.diff(offs[i : j + 1]))
+                keys.append(found)
+                counts.append(np.ones(len(found)))
+                key, count = merged(keys, counts)
+                keys[:], counts[:] = [key], [count]
+                if len(key) > HELD:
+                    yield out()
+                    keys.clear()
+                    counts.clear()
+        if keys:
+            yield out()
+
+    found = batch_rows(urls, 4096).mapInArrow(run, "run long, kind int, c long").groupBy("kind", "run").agg(F.sum("c").alias("c"))
+    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"run & {(1 << (BITS * (k + 1))) - 1}L").alias("r")) for k in range(ORDER + 1)]))
+    grams = found.select("kind", orders.alias("o"), "c").groupBy("kind", F.col("o.k").alias("k"), F.col("o.r").alias("run")).agg(F.sum("c").alias("c"))
+    beside = Window.partitionBy("kind", "k", F.expr(f"shiftright(run, {BITS})"))  # a context has 256 followers at most
+    size = {r._kind: int(r.n or 0) for r in urls.groupBy("_kind").agg(F.sum(F.octet_length("_key")).alias("n")).collect()}
+    enough = F.col("c") * SHARE >= F.when(F.col("kind") == 0, size.get(0, 0)).otherwise(size.get(1, 0))
+    rows = grams.withColumn("n", F.sum("c").over(beside)).where(enough).toPandas()  # at most SHARE rows an order and kind
+    return [Model(*(rows.loc[rows.kind == v, f].to_numpy(np.int64) for f in ("k", "run", "c", "n"))) for v in (0, 1)]
+
+
+def log_ratio(buf: np.ndarray, off: np.ndarray, models: list[Model]) -> np.ndarray:
     """Mean log-likelihood difference, accepted minus rejected, per character of each text; 0 for empty texts."""
-    of, _, cells = contexts(buf, off)
-    # the kinds of characters after a context, about: cells of pairs are not listed by context, so a fixed weight stands for it
-    prob = np.full((2, len(buf)), 1 / 256)
-    for k, (ctx, pair) in enumerate(cells):
-        n, c = counts[:, k, 0][:, ctx], counts[:, k, 1][:, pair]
-        c = np.minimum(c, n)
-        weight = np.sqrt(n) + 1  # mass that goes to shorter contexts
-        prob = (c + weight * prob) / (n + weight)
-    diff = np.log(prob[1]) - np.log(prob[0])
     size = np.diff(off)
-    return np.bincount(of, weights=diff, minlength=len(size)) / np.maximum(size, 1)
+    found, at = np.unique(runs(buf, off), return_inverse=True)
+    diff = np.log(models[1].probability(found)) - np.log(models[0].probability(found))
+    return np.bincount(np.repeat(np.arange(len(size)), size), weights=diff[at], minlength=len(size)) / np.maximum(size, 1)
 
 
-def scored(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    told = rows.sparkSession.sparkContext.broadcast(counts)
+def scored(rows: DataFrame, models: list[Model]) -> DataFrame:
+    told = rows.sparkSession.sparkContext.broadcast(models)
     kept = rows.columns
     schema = StructType([*rows.schema.fields, StructField("_ratio", DoubleType())])
 
@@ -134,8 +168,10 @@ def threshold(ruled: DataFrame) -> float:
 def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str]] = RULES) -> DataFrame:
     """One row per row of ``df``: the id, host, path, rule, verdict and the log-likelihood difference per character.
 
-    A null url, or one without "://", has an empty host and path and no rule. With urls of one kind only, or none, the
-    threshold is 0. The difference of an empty host and path is 0. Rules are few and given; other columns are not read.
+    A null url, or one without "://", has an empty host and path and no rule. With held-out urls of one kind only, or none, the
+    threshold is 0. The difference of an empty host and path is 0. Equal urls get equal verdicts, and repeated rows count as often as
+    they stand; a difference equal to the threshold is accepted. An empty table gives no rows. Rules are few and given; other
+    columns, whatever their names, are not read.
     """
     host, path = host_path(F.col("_url"))
     rows = df.select(F.col(id_col), F.col(url_col).alias("_url")).withColumn("host", host).withColumn("path", path)
@@ -143,9 +179,9 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: l
     rows = rows.withColumn("_kind", F.when(F.col("_rule").isNull(), -1).otherwise((F.col("_rule.verdict") == "allow").cast("int")).cast("int"))
     rows = rows.select(id_col, "host", "path", F.col("_rule.rule").alias("rule"), "_key", "_kind")
     ruled = rows.where("_kind >= 0").select("_key", "_kind")
-    counts = learn(ruled)
-    limit = threshold(scored(ruled, counts))
-    out = scored(rows, counts)
+    held = F.pmod(F.xxhash64("_key"), F.lit(FOLDS)) == 0
+    limit = threshold(scored(ruled.where(held), learn(ruled.where(~held))))
+    out = scored(rows, learn(ruled))
     said = F.when(F.col("_kind") >= 0, F.when(F.col("_kind") == 1, "allow").otherwise("block")).otherwise(F.when(F.col("_ratio") >= limit, "allow").otherwise("block"))
     return out.select(id_col, "host", "path", "rule", said.alias("verdict"), F.col("_ratio").alias("ratio"))
 

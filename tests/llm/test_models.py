@@ -2,6 +2,7 @@
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,64 @@ def test_url_rules_and_verdicts(spark, sf):
         assert r.verdict in ("allow", "block")
 
 
+def witten_bell(texts, share):
+    """Probability of a character after a context, by the recursion over plain dictionaries."""
+    n = [{} for _ in range(urls.ORDER + 1)]
+    for t in texts:
+        padded = [-1] * urls.ORDER + list(t.encode())
+        for i in range(urls.ORDER, len(padded)):
+            for k in range(urls.ORDER + 1):
+                after = n[k].setdefault(tuple(padded[i - k : i]), {})
+                after[padded[i]] = after.get(padded[i], 0) + 1
+    total = sum(n[0].get((), {}).values())
+
+    def prob(ctx, ch, k=urls.ORDER):
+        if k < 0:
+            return 1 / 256
+        after = n[k].get(tuple(ctx[len(ctx) - k :]), {})
+        kept = {c: m for c, m in after.items() if m * share >= total}
+        below = prob(ctx, ch, k - 1)
+        if not kept:
+            return below
+        visits = sum(after.values())
+        return (kept.get(ch, 0) + (len(kept) + visits - sum(kept.values())) * below) / (visits + len(kept))
+
+    return prob
+
+
+@pytest.mark.parametrize("share", [1 << 18, 40])
+def test_url_models_equal_the_recursion(spark, monkeypatch, share):
+    monkeypatch.setattr(urls, "SHARE", share)
+    good = ["shop.org/fr/a", "shop.org/fr/bon", "cité.org/fr/", "shop.org/fr/a"]
+    bad = ["x.net/zzz", "y.net/zq", "", "x.net/zzzz?"]
+    models = urls.learn(spark.createDataFrame([(t, 1) for t in good] + [(t, 0) for t in bad], "_key string, _kind int").repartition(3))
+    asked = [*good, *bad, "new.org/fr/z", "\u0001"]
+    raw = [t.encode() for t in asked]
+    off = np.append(0, np.cumsum([len(r) for r in raw]))
+    got = urls.log_ratio(np.frombuffer(b"".join(raw), np.uint8), off, models)
+    plain = [witten_bell(bad, share), witten_bell(good, share)]
+    for t, ratio in zip(raw, got):
+        padded = [-1] * urls.ORDER + list(t)
+        logs = [math.log(plain[1](padded[i - 4 : i], padded[i])) - math.log(plain[0](padded[i - 4 : i], padded[i])) for i in range(4, len(padded))]
+        assert ratio == pytest.approx(sum(logs) / max(len(logs), 1))
+    start = np.arange(256, dtype=np.int64) + 1  # all bytes that may begin a text
+    assert all(m.probability(start).sum() == pytest.approx(1) for m in models)
+
+
+def test_url_verdicts_of_the_models(spark):
+    rows = [(i, f"http://a{i}.example.net/en/reading/page{i}") for i in range(60)] + [(100 + i, f"https://b{i}.net/casino/win{i}") for i in range(60)]
+    rows += [(1000, "http://library.test/en/reading/page7"), (1001, "http://bets.test/casino/win7"), (1002, None), (1003, "no scheme"), (1000, "http://library.test/en/reading/page7")]
+    df = spark.createDataFrame([(i, u, "x", 1) for i, u in rows], "page_id long, url string, _key string, verdict int")
+    out = urls.judge(df).collect()
+    assert len(out) == len(rows)
+    said = {(r.page_id, r.rule, r.verdict) for r in out if r.page_id >= 1000}
+    assert {(1000, None, "allow"), (1001, None, "block")} <= said and len(said) == 4
+    assert all((r.host, r.path, r.ratio) == ("", "", 0.0) for r in out if r.page_id in (1002, 1003))
+    for part in (df.where("page_id < 60 or page_id >= 1000"), df.where("page_id >= 1000")):  # one kind, none
+        assert urls.judge(part).where("verdict in ('allow', 'block')").count() == part.count()
+    assert urls.judge(df.where("false")).count() == 0
+
+
 @pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifier_on_held_out_rows(spark, module, label):
     d = "/root/testdata/sf0.01"
