@@ -5,7 +5,8 @@ left neighbour, twice more from the labels, and phrases begin at local maxima of
 a few symbols around it only, so equal substrings are cut alike, wherever they stand. A phrase is named by a hash of its symbols;
 the names are the symbols of the next level. Runs of one symbol are folded first.
 
-The fingerprint keeps, for each of four levels, the least hash of the names in each of some bins (two bytes; 0: no name).
+The fingerprint keeps, for each of four levels, the least hash of the names in each of some bins (four bytes; 0: no name). Names
+of the lowest level are short, so long texts share them whatever they say; it has the fewest bins.
 Likeness is the share of equal bins among those that are filled in either. Equal texts have equal fingerprints.
 """
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from mendstream.llm.common import U, batch_rows, column, fetch_key, mix
 
-BINS = (16, 32, 32, 16)  # of the four levels; phrases have about 3, 9, 27 and 81 characters
+BINS = (8, 24, 40, 24)  # of the four levels; phrases have about 3, 9, 27 and 81 characters
 
 
 def _toss() -> np.ndarray:
@@ -63,9 +64,9 @@ def next_level(sym: np.ndarray, text: np.ndarray, level: int, toss: np.ndarray)
 
 
 def sketches(texts: list[str], toss: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
-    """Fingerprint of each text as a row of two-byte bins."""
+    """Fingerprint of each text as a row of four-byte bins."""
     width = sum(BINS)
-    out = np.full((len(texts), width), 1 << 20, np.int64)
+    out = np.full((len(texts), width), 1 << 33, np.int64)
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -79,13 +80,13 @@ def sketches(texts: list[str], toss: np.ndarray, limit: int = 1 << 20) -> np.nda
             if len(sym):
                 sym, text = next_level(sym, text, level, toss)
                 spread = mix(sym ^ U(0xA5A5A5A5 + level))
-                value = (spread & U(0xFFFF)).astype(np.int64)
-                bin_ = ((spread >> U(20)) % U(bins)).astype(np.int64)
+                value = (spread & U(0xFFFFFFFF)).astype(np.int64)
+                bin_ = ((spread >> U(32)) % U(bins)).astype(np.int64)
                 np.minimum.at(out.reshape(-1), text * width + base + bin_, np.maximum(value, 1))
             base += bins
         i = j
-    out[out == 1 << 20] = 0
-    return out.astype(">u2")
+    out[out == 1 << 33] = 0
+    return out.astype(">u4")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
