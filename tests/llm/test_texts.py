@@ -1,11 +1,13 @@
 """Operators on texts against brute force, on a small fixture with nulls, empty and long texts, copies and clashing column names."""
 import hashlib
+import itertools
 import random
 import re
 import time
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,57 @@ def test_fingerprints(docs):
     assert rows[1].near_next == 1.0  # its copy follows
 
 
+def coin(before, sym):
+    d = before ^ sym
+    low = (d & -d).bit_length() - 1 if d else 0
+    return 2 * low + (sym >> low & 1) if d else 0
+
+
+def plain_fingerprint(text):
+    """The phrases of one text, level by level, with plain integers."""
+    mod = 1 << 64
+    spread = lambda x: int(fingerprint.mix(np.array([x % mod], np.uint64))[0])
+    sym, out = [ord(c) for c in text], []
+    for level, bins in enumerate(fingerprint.BINS):
+        folded = [(k, len(list(g))) for k, g in itertools.groupby(sym)]
+        sym = [s if run == 1 else spread(s * 3 + run) for s, run in folded]
+        label = [sym[i] & 1 if i == 0 else coin(sym[i - 1], sym[i]) for i in range(len(sym))]
+        for _ in range(2):
+            label = [label[i] & 1 if i == 0 else coin(label[i - 1], label[i]) for i in range(len(label))]
+        begin = [i == 0 or 1 < i < len(sym) - 1 and label[i - 1] < label[i] >= label[i + 1] for i in range(len(sym))]
+        at = [i for i, b in enumerate(begin) if b] + [len(sym)]
+        sym = [spread(sum(spread(s + k * 0x9E3779B97F4A7C15) for k, s in enumerate(sym[i:j])) + level) for i, j in zip(at, at[1:])]
+        found = [0] * bins
+        for s in sym:
+            h = spread(s ^ (0xA5A5A5A5 + level))
+            b, v = (h >> 32) % bins, max(h % (1 << 32), 1)
+            found[b] = min(found[b] or v, v)
+        out += found
+    return out
+
+
+def test_fingerprints_equal_the_plain_parse(docs):
+    rows = {r.doc_id: r for r in fingerprint.fingerprints(docs).collect()}
+    ids = sorted(rows, reverse=True)
+    for k, i in enumerate(ids):
+        text, other = TEXTS[i] or "", TEXTS[ids[(k + 1) % len(ids)]] or ""
+        n = len(text)
+        own, edited, after = map(plain_fingerprint, (text, text[: n - n // 2] + other[: n // 2], other))
+        assert (rows[i].fingerprint, rows[i].edited_fingerprint) == tuple("".join(f"{v:08x}" for v in f) for f in (own, edited))
+        for got, b in ((rows[i].near_edited, edited), (rows[i].near_next, after)):
+            filled = [(x, y) for x, y in zip(own, b) if x or y]
+            assert got == pytest.approx(sum(x == y for x, y in filled) / len(filled) if filled else 1.0)
+
+
+def test_likeness_at_any_length():
+    rng = random.Random(3)
+    for n in (2000, 50_000, 1_000_000):
+        a, b = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for _ in range(2))
+        s = fingerprint.sketches([a, b, a[: n // 2] + b[: n // 2], a[: n * 9 // 10] + b[: n // 10], "some words before it " + a], fingerprint._toss())
+        other, half, most, moved = fingerprint.likeness(s[[0] * 4], s[1:])
+        assert other < 0.1 and 0.2 < half < 0.6 and most > 0.7 and moved > 0.9
+
+
 @pytest.mark.parametrize("together", [4096, 1])
 def test_repeats_equal_brute_force(docs, together, monkeypatch):
     monkeypatch.setattr(suffix, "TOGETHER", together)  # with 1 every trigger of several phrases goes by rows
