@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from mendstream import fixed
 from mendstream.functions.scalars import pod_service_name
 from mendstream.functions.validate import RFC3339
-from mendstream.session import bounded
-from mendstream.sources.quoted import read_quoted_csv
+from mendstream.session import bounded, reuse
+from mendstream.sources.quoted import quoted_lines, read_quoted_csv
 
 POINT = ["t", "tenant_id", "service", "signal_name", "value_num", "value_str", "labels"]
+FILES = 100  # metric files up to which their headers are named in the plan
 RUN_PATH = r"([^/]+)/(\d+)/[^/]+$"
 
 
@@ -64,12 +65,17 @@ def run_key(path: Column) -> Column:
 
 def read_metric_runs(spark: SparkSession, root: str, name: str = "simple_metrics.csv", tenant_id: str = "benchmark",
                      runs: str = "*/[0-9]*", signals: list[str] | None = None) -> DataFrame:
-    """Points of the metric files of run folders in one scan: a file is the metrics of one run and is read whole by one task, header first.
+    """Points of the metric files of run folders; a file has its header in the first line and may be of any size, as many tasks read it line by line.
 
-    ``runs`` selects folders, ``signals`` columns. For files beyond a task's memory use ``parse_metric_csv`` on their lines.
+    ``runs`` selects folders, ``signals`` columns. A first pass takes the headers, one row per file; lines then meet the header of their file.
     """
-    files = spark.read.text(f"{root}/{runs}/{name}", wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split(F.trim("value"), r"\r?\n").alias("lines"))
-    rows = files.select("path", _cells(F.get("lines", F.lit(0))).alias("names"), F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
+    lines = quoted_lines(spark, f"{root}/{runs}/{name}").withColumn("line", F.regexp_replace("line", "\r$", ""))
+    heads = reuse(lines.where("range = 0").groupBy("path").agg(_cells(F.min_by("line", "n")).alias("names")))
+    few = heads.limit(FILES + 1).collect()
+    if 0 < len(few) <= FILES:  # one scan without a join
+        rows = lines.withColumn("names", F.create_map(*[x for r in few for x in (F.lit(r.path), F.lit(r.names))])[F.col("path")])
+    else:
+        rows = lines.join(bounded(heads), "path")
     return metric_points(rows.select("path", "names", _cells(F.col("line")).alias("c")), tenant_id, signals)
 
 

@@ -46,6 +46,28 @@ def test_time_in_any_column_and_chosen_signals_in_one_scan(spark, tmp_path):
     assert [r.value_num for r in R.read_metric_runs(spark, str(tmp_path), signals=["a_cpu"]).collect()] == [0.5]
 
 
+@pytest.mark.parametrize("files", [100, 0])
+def test_metric_file_is_read_by_many_tasks(spark, tmp_path, files, monkeypatch):
+    """Ranges of a few bytes: each meets the header of its file, wherever the file begins."""
+    monkeypatch.setattr(R, "FILES", files)
+    for run, head in (("1", "time,a_cpu"), ("2", "a_cpu,time")):
+        d = tmp_path / "a_cpu" / run
+        d.mkdir(parents=True)
+        (d / "simple_metrics.csv").write_text(head + "\n" + "".join(f"{i},{i + 1000}\n" for i in range(200)))
+    small = {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        df = R.read_metric_runs(spark, str(tmp_path))
+        parts, got = df.rdd.getNumPartitions(), df.collect()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    want = {("a_cpu/1", i, float(i + 1000)) for i in range(200)} | {("a_cpu/2", i + 1000, float(i)) for i in range(200)}
+    assert {(r.run_key, r.t, r.value_num) for r in got} == want and len(got) == 400
+    assert parts > 4
+
+
 @pytest.mark.parametrize("ranges", [100_000, 0])
 def test_quoted_csv_over_many_ranges(spark, tmp_path, ranges, monkeypatch):
     """Ranges of a few bytes cut records anywhere, inside quotes too."""
