@@ -41,10 +41,10 @@ def _(spark, sf):
 
 
 def _written(df, root, name):
-    """``df`` (path, text) as one file per path under ``root``; ``path`` is relative."""
+    """``df`` (path, n, text) as one file per path under ``root``, a line or record at a time in the order of ``n``; ``path`` is relative."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    df.repartition("path").write.mode("append").partitionBy("path").text(root)
+    df.repartition("path").sortWithinPartitions("path", "n").drop("n").write.mode("append").partitionBy("path").text(root)
     glob = jvm.org.apache.hadoop.fs.Path(f"{root}/path=*/part-*")
     fs = glob.getFileSystem(conf)
     for f in fs.globStatus(glob):
@@ -66,8 +66,9 @@ def _run_folders(spark, sf):
     quoted = F.concat(F.col("t").cast("string"), F.lit(',"said ""'), "event_type", F.lit('""\nagain, '), F.col("event_id").cast("string"), F.lit('",error'))
     plain = F.concat_ws(",", F.col("t").cast("string"), F.concat(F.lit("plain "), "event_id"), F.lit("info"))
     for name, first, body in (("simple_metrics.csv", head, line), ("logs.csv", F.lit("timestamp,message,level"), F.when(F.col("k") % 2 == 0, quoted).otherwise(plain))):
-        one = e.groupBy(F.col("run").alias("path")).agg(F.concat_ws("\n", F.max(first), F.array_join(F.collect_list(body), "\n")).alias("value"))
-        _written(one, root, name)
+        heads = e.groupBy(F.col("run").alias("path")).agg(F.lit(0).alias("n"), F.max(first).alias("value"))
+        rows = e.select(F.col("run").alias("path"), F.lit(1).alias("n"), body.alias("value")).where("value is not null")
+        _written(heads.unionByName(rows), root, name)
     return root
 
 

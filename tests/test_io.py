@@ -68,6 +68,20 @@ def test_metric_file_is_read_by_many_tasks(spark, tmp_path, files, monkeypatch):
     assert parts > 4
 
 
+def test_run_files_are_written_line_by_line(spark, tmp_path, monkeypatch):
+    """The header first, then each row as it comes: no row holds a file."""
+    from checks import sources
+
+    longest = []
+    text = sources._written
+    monkeypatch.setattr(sources, "_written", lambda df, root, name: (longest.append(df.agg(F.max(F.length("value"))).first()[0]), text(df, root, name)))
+    monkeypatch.setattr(sources, "scratch_dir", lambda _: str(tmp_path))
+    root = sources._run_folders(spark, "/root/testdata/sf0.001")
+    assert max(longest) < 100
+    points = R.load_telemetry(spark, "benchmark_fixture", root=root)
+    assert points.where("value_num is not null").count() == points.where("value_str is not null").count() == 1000
+
+
 @pytest.mark.parametrize("ranges", [100_000, 0])
 def test_quoted_csv_over_many_ranges(spark, tmp_path, ranges, monkeypatch):
     """Ranges of a few bytes cut records anywhere, inside quotes too."""
