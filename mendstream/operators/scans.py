@@ -82,11 +82,10 @@ def with_halo(df: DataFrame, order: str, seconds: int, reach: int, name: str = "
               halo: str = "is_halo") -> DataFrame:
     """Copy each row into every later block that needs it for a look-back of ``reach`` seconds.
 
-    A rolling range window partitioned by (key, block) then sees all rows it needs;
-    rows marked ``is_halo`` are dropped after the window.
+    A look-back partitioned by (key, block) then sees all rows it needs; rows marked ``is_halo`` are dropped after it.
     """
-    first = F.expr(f"{order} div {int(seconds)}")
-    last = F.expr(f"({order} + {int(reach)}) div {int(seconds)}")
+    floor = lambda x: F.expr(f"(({x}) - pmod({x}, {int(seconds)})) div {int(seconds)}")
+    first, last = floor(order), floor(f"{order} + {int(reach)}")
     return (
         df.withColumn("_home", first)
         .withColumn(name, F.explode(F.sequence(F.col("_home"), last)))

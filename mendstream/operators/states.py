@@ -165,7 +165,7 @@ BREAKER_KEY = ["tenant_id", "namespace", "service"]
 def breaker_openings(failures: DataFrame, limit: int = fixed.BREAKER_FAILURES, window: int = fixed.BREAKER_WINDOW) -> DataFrame:
     """Seconds at which a key has at least ``limit`` failures in the last ``window`` seconds, with the count."""
     per_second = failures.groupBy(*BREAKER_KEY, "t").agg(F.count("*").alias("n"))
-    rolled = rolling_range(per_second, BREAKER_KEY, window, {"failure_count": F.sum("n")}, block=max(window, 3600))
+    rolled = rolling_range(per_second, BREAKER_KEY, window, {"failure_count": F.sum("n")})
     return rolled.where(F.col("failure_count") >= limit).drop("n")
 
 

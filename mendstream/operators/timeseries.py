@@ -6,6 +6,8 @@ fixed-length stretch of bins, so a (window, series) group has at most
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
@@ -176,13 +178,30 @@ def resample(df: DataFrame, step: int, lookback: int, keys: list[str], block: in
     )
 
 
-def rolling_range(df: DataFrame, keys: list[str], seconds: int, aggs: dict[str, Column], block: int = 86400) -> DataFrame:
-    """Aggregates over the rows of the key in ``(t - seconds, t]``, in time blocks with a halo."""
-    w = W.partitionBy(*keys, "block").orderBy("t").rangeBetween(-(seconds - 1), 0)
-    out = with_halo(df, "t", block, seconds - 1)
-    for name, agg in aggs.items():
-        out = out.withColumn(name, agg.over(w))
-    return out.where(~F.col("is_halo")).drop("is_halo", "block")
+def added(earlier: Column, later: Column) -> Column:
+    return F.coalesce(earlier + later, earlier, later)
+
+
+def rolling_range(df: DataFrame, keys: list[str], seconds: int, aggs: dict[str, Column | tuple[Column, Callable[[Column, Column], Column]]], block: int | None = None) -> DataFrame:
+    """Aggregates over the rows of the key in ``(t - seconds, t]``. An entry is an aggregate whose parts add up, or an aggregate and the rule that
+    merges the part of the earlier rows with that of the later ones; the aggregate must not depend on the order of its rows.
+
+    Blocks are as long as the window (``block`` is accepted, but no longer cuts anything). A window is then the end of the block before and the beginning of the row's own: running aggregates from both
+    sides of each border give the two parts, so a row costs the same whatever the window holds.
+    """
+    rules = {name: a if isinstance(a, tuple) else (a, added) for name, a in aggs.items()}
+    rows = with_halo(df, "t", seconds, seconds, "_block", "_halo").repartition(*keys, "_block")
+    away = F.when(F.col("_halo"), -F.col("t")).otherwise(F.col("t"))
+    part = W.partitionBy(*keys, "_block", "_halo").orderBy(away).rangeBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.select("*", *[agg.over(part).alias(f"_p_{name}") for name, (agg, _) in rules.items()])
+    rows = rows.withColumn("_part", F.struct(*[f"_p_{name}" for name in rules])).drop(*[f"_p_{name}" for name in rules])
+    # the earliest row of the block before that is inside the window comes last before the row
+    start = F.when(F.col("_halo"), F.col("t")).otherwise(F.col("t") - (seconds - 1))
+    down = W.partitionBy(*keys, "_block").orderBy(start.desc(), F.col("_halo").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("_before", F.last(F.when(F.col("_halo"), F.col("_part")), ignorenulls=True).over(down)).where(~F.col("_halo"))
+    both = lambda name: (F.col(f"_before._p_{name}"), F.col(f"_part._p_{name}"))
+    merged = [F.when(F.col("_before").isNull(), both(name)[1]).otherwise(merge(*both(name))).alias(name) for name, (_, merge) in rules.items()]
+    return rows.select(*df.columns, *merged)
 
 
 def counter_changes(df: DataFrame, keys: list[str], seconds: int = 300) -> DataFrame:
@@ -208,14 +227,15 @@ def with_previous_time(df: DataFrame, keys: list[str], block: int = 86400) -> Da
 
 
 def _pair_window(d: DataFrame, keys: list[str], seconds: int, col: str, out: str) -> DataFrame:
+    earliest = lambda earlier, later: earlier
     # the first sample inside the window has its partner outside, so its own step is taken off
-    w = rolling_range(d, keys, seconds, {"_sum": F.sum(col), "_first": F.first(col), "_t0": F.first("prev_t")})
+    w = rolling_range(d, keys, seconds, {"_sum": F.sum(col), "_first": (F.min_by(col, "t"), earliest), "_t0": (F.min_by("prev_t", "t"), earliest)})
     outside = F.col("_t0").isNotNull() & (F.col("_t0") <= F.col("t") - seconds)
     return w.select(*keys, "t", "v", (F.col("_sum") - F.when(outside, F.col("_first")).otherwise(F.lit(0))).alias(out))
 
 
 def max_over_time(df: DataFrame, keys: list[str], seconds: int = 300) -> DataFrame:
-    return rolling_range(df, keys, seconds, {"max_v": F.max("v")})
+    return rolling_range(df, keys, seconds, {"max_v": (F.max("v"), F.greatest)})
 
 
 def sum_or_zero(df: DataFrame, by: list[str], col: str) -> DataFrame:

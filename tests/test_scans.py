@@ -64,6 +64,24 @@ def test_rolling_range_sees_over_block_borders(spark):
     assert got == {t: sum(1 for _, u in rows if t - 100 < u <= t) for _, t in rows}
 
 
+def test_rolling_range_equals_plain_loop_without_sliding_frames(spark):
+    """Sum, maximum and first value, before 1970 too and with rows of one second; no frame slides, as it would be walked again for every row."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(-300, 900), rng.choice([None, 1, 2, 3, 4])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "key string, t long, v long")
+    for seconds in (1, 7, 100, 5000):
+        d = TS.rolling_range(df, ["key"], seconds, {"s": F.sum("v"), "n": F.count("*"), "m": (F.max("v"), F.greatest), "f": (F.min("t"), lambda a, b: a)})
+        got = sorted(map(str, map(tuple, d.collect())))
+        want = []
+        for k, t, v in rows:
+            near = [(u, x) for j, u, x in rows if j == k and t - seconds < u <= t]
+            known = [x for _, x in near if x is not None]
+            want.append(str((k, t, v, sum(known) if known else None, len(near), max(known, default=None), min(u for u, _ in near))))
+        assert got == sorted(want), seconds
+    frames = d._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding$(), currentrow$()" in frames and frames.count("specifiedwindowframe") == frames.count("unboundedpreceding$(), currentrow$()")
+
+
 @pytest.mark.parametrize("alpha,block", [(0.1, 64), (0.5, 16), (0.1, None)])
 def test_ewma_matches_pandas(spark, alpha, block):
     rng = random.Random(3)
