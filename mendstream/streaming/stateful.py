@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +14,8 @@ from mendstream.operators.graph import service_parts
 from mendstream.plans.verdict import verdicts
 from mendstream.session import bounded, exists, reuse
 
+OUT_ROWS = 10_000  # rows that a stateful rule hands on at once
+
 
 def closed_seconds(rows: DataFrame, ts: str, late: str, keys: list[str], *aggs) -> DataFrame:
     """One row per second and key, handed on once the watermark has passed the second: ``at`` (its event time), ``t`` and ``aggs``.
@@ -78,30 +81,46 @@ class Incidents(StatefulProcessor):
         self.active = handle.getMapState("active", "service string", "start long, ord long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # the closed seconds of one part since the last micro-batch, a row for each service
-        pdf = pd.concat(list(rows))
-        pdf = pdf.assign(first=[ids[0] for ids in pdf["alert_ids"]]).sort_values(["t", "kind", "first"])
+        # the closed seconds of one part since the last micro-batch, a row for each service; held as flat numbers, a few bytes a row
+        names: dict[str, int] = {}
+        depends, tenant, held = [], None, []
+        for pdf in rows:
+            for service, needs in zip(pdf["service"], pdf["depends"]):
+                if service not in names:
+                    names[service] = len(names)
+                    depends.append(list(needs))
+            tenant = pdf["tenant_id"].iloc[0]
+            ids = [np.asarray(x, np.int64) for x in pdf["alert_ids"]]
+            code = np.fromiter((names[s] for s in pdf["service"]), np.int32, len(pdf))
+            held.append((pdf["t"].to_numpy(np.int64), pdf["kind"].to_numpy(np.int8), code, np.fromiter(map(len, ids), np.int32, len(ids)), np.concatenate(ids)))
+        t, kind, code, size, ids = (np.concatenate(c) for c in zip(*held))
+        del held
+        at = np.cumsum(size, dtype=np.int64) - size
+        order = np.lexsort((np.append(ids, 0)[at], kind, t))
+        service = list(names)
         roots = {k[0]: (v[0], v[1]) for k, v in self.active.iterator()}
         kept, n = set(roots), max((o for _, o in roots.values()), default=-1) + 1
-        out = []
-        for r in pdf.itertuples(index=False):
-            if r.kind == 0:
-                roots.pop(r.service, None)
-                continue
-            if r.service in roots:
-                role, root = "duplicate", r.service
-            else:
-                up = sorted((roots[s][1], s) for s in r.depends if s in roots)
-                role, root = ("symptom", up[0][1]) if up else ("root", r.service)
-                if role == "root":
-                    roots[root] = (int(r.t), n)
-                    n += 1
-            out.append((r.tenant_id, list(r.alert_ids), int(r.t), r.service, role, root, roots[root][0]))
+        for some in np.array_split(order, -(-len(order) // OUT_ROWS)):
+            out = []
+            for i in some.tolist():
+                own = service[code[i]]
+                if kind[i] == 0:
+                    roots.pop(own, None)
+                    continue
+                if own in roots:
+                    role, root = "duplicate", own
+                else:
+                    up = sorted((roots[s][1], s) for s in depends[code[i]] if s in roots)
+                    role, root = ("symptom", up[0][1]) if up else ("root", own)
+                    if role == "root":
+                        roots[root] = (int(t[i]), n)
+                        n += 1
+                out.append((tenant, ids[at[i] : at[i] + size[i]].tolist(), int(t[i]), own, role, root, roots[root][0]))
+            yield pd.DataFrame(out, columns=["tenant_id", "alert_ids", "t", "service", "role", "root_service", "start_time"])
         for s in kept - set(roots):
             self.active.removeKey((s,))
         for s, v in roots.items():
             self.active.updateValue((s,), v)
-        yield pd.DataFrame(out, columns=["tenant_id", "alert_ids", "t", "service", "role", "root_service", "start_time"])
 
     def close(self) -> None:
         pass

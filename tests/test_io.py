@@ -211,6 +211,39 @@ def test_stream_incidents_equal_batch_in_any_order(spark, sf, tmp_path):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_incident_state_holds_no_frames_of_a_micro_batch(monkeypatch):
+    """Frames are let go as they come, and what is handed on comes in pieces; a root stays active over micro-batches."""
+    import weakref
+
+    import pandas as pd
+
+    class Active(dict):
+        iterator, updateValue, removeKey = dict.items, dict.__setitem__, dict.__delitem__
+
+    monkeypatch.setattr(ST, "OUT_ROWS", 7)
+    seen, roots = [], Active()
+    p = ST.Incidents()
+    p.init(type("Handle", (), {"getMapState": lambda *_: roots})())
+
+    def frames(first):
+        for i in range(10):
+            assert all(f() is None for f in seen[:-1])
+            pdf = pd.DataFrame([("x", "p", "a" if j % 2 else "b", 1, [first + 100 - 10 * i - j, 1000], ["b"] if j % 2 else [], first + 100 - 10 * i - j) for j in range(10)],
+                               columns=["tenant_id", "part", "service", "kind", "alert_ids", "depends", "t"])
+            seen.append(weakref.ref(pdf))
+            yield pdf
+            del pdf
+
+    for first in (0, 100):
+        out = list(p.handleInputRows(("x", "p"), frames(first), None))
+        assert max(map(len, out)) <= 7
+        d = pd.concat(out)
+        assert d["t"].tolist() == list(range(first + 1, first + 101)) and [a[0] for a in d["alert_ids"]] == d["t"].tolist()
+        want = {(s, "root") for s in "ab"} | {(s, "duplicate") for s in "ab"} if not first else {(s, "duplicate") for s in "ab"}
+        assert set(zip(d["service"], d["role"])) == want
+    assert roots == {("a",): (1, 0), ("b",): (2, 1)}
+
+
 def test_stream_forest_equals_one_pass_in_any_order(spark, tmp_path):
     from mendstream.operators.forests import LiveForest
 
