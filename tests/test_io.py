@@ -211,6 +211,22 @@ def test_stream_incidents_equal_batch_in_any_order(spark, sf, tmp_path):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_stream_incidents_gives_the_last_second(spark, tmp_path):
+    """Alerts of the last second of the stream too, and nothing of the row that ends it."""
+    import checks
+
+    checks.load()
+    at = "timestamp'2024-01-01 00:00:00'"
+    e = spark.range(30).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("error").alias("event_type"), F.lit(1.0).alias("value"),
+                               F.expr(f"timestampadd(MILLISECOND, 100 * id, {at})").alias("ts"), F.lit('{"k": 1}').alias("props"))
+    e.coalesce(1).write.parquet(str(tmp_path / "some"))
+    (file,) = (tmp_path / "some").glob("part*.parquet")
+    (tmp_path / "sf").mkdir()
+    file.rename(tmp_path / "sf" / "events.parquet")
+    got = checks.QUERIES["g2_stream_incidents"](spark, str(tmp_path / "sf")).collect()
+    assert sorted(r.alert_id for r in got) == list(range(30))
+
+
 def test_incident_state_holds_no_frames_of_a_micro_batch(monkeypatch):
     """Frames are let go as they come, and what is handed on comes in pieces; a root stays active over micro-batches."""
     import weakref
