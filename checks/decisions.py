@@ -65,8 +65,12 @@ _VER = TEL + ", " + ALERTS[len(EV) + 2:] + """, po AS (SELECT a.alert_id AS acti
 def _(spark, sf):
     a = X.alerts(spark, sf)
     acts = a.select(F.col("alert_id").alias("action_id"), F.lit("RESTART_DEPLOYMENT").alias("action"), F.concat(F.lit("deployment/"), F.col("service")).alias("target"),
-                    F.when(F.col("k") % 10 == 0, "FAILED").otherwise("COMPLETED").alias("status"))
-    return H.verify_action(acts, _post(spark, sf), latency=60.0).select("action_id", "success", "regression_detected", "next_action", "reason")
+                    F.when(F.col("k") % 10 == 0, "FAILED").otherwise("COMPLETED").alias("status"), "tenant_id", F.col("t").alias("at"))
+    return H.verify_action(acts, _numbers(spark, sf), latency=60.0, seconds=3600).select("action_id", "success", "regression_detected", "next_action", "reason")
+
+
+def _numbers(spark, sf):
+    return X.telemetry(spark, sf).where("value_num IS NOT NULL")
 
 
 def _post(spark, sf):

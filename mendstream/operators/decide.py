@@ -68,31 +68,40 @@ def lane(pattern_type: Column) -> Column:
 
 
 def verify_action(actions: DataFrame, points: DataFrame, error: float = fixed.VERIFY_ERROR,
-                  latency: float = fixed.VERIFY_LATENCY, regression: float = fixed.VERIFY_REGRESSION) -> DataFrame:
+                  latency: float = fixed.VERIFY_LATENCY, regression: float = fixed.VERIFY_REGRESSION, seconds: int | None = None) -> DataFrame:
     """Success, regression, next action and reason of each executed action.
 
     ``points`` (``action_id, seq, service, signal_name, value_num``) is the telemetry after the action. Only
     breaching points are kept before the grouping, and each adds one line to the reason in arrival order.
+    With ``seconds`` the points are those of the tenant (``tenant_id, t`` instead of ``action_id``), and an action (``tenant_id, at`` more) is judged by those
+    in ``(at, at + seconds]``: no row is made of an action and a point, what is stored grows with either table alone.
     """
     a = actions.withColumn("_svc", F.element_at(F.split("target", "/"), -1))
-    p = points.join(a.where("status <> 'FAILED'").select("action_id", "_svc"), "action_id")
-    own = F.col("service") == F.col("_svc")
     err, lat = F.col("signal_name").contains("error"), F.col("signal_name").contains("latency")
     said = [F.col("signal_name"), F.col("value_num").cast("string")]
+    keys = ["action_id"]
+    if seconds:  # a window lies in the block of ``at`` and the next one
+        keys, block = ["tenant_id", "_block"], lambda t: F.expr(f"({t} - pmod({t}, {seconds})) div {seconds}")
+        a = a.withColumn("_block", block("at"))
+        points = points.withColumn("_block", F.explode(F.array(block("t"), block("t") - 1)))
 
     def line(kind: int, sub: int, sentence: str, *parts: Column) -> Column:
-        return F.struct(F.lit(kind).alias("k"), F.col("seq"), F.lit(sub).alias("j"), F.format_string(sentence, *parts).alias("s"))
+        return F.struct(F.lit(kind).alias("k"), F.col("seq"), F.lit(sub).alias("j"), F.format_string(sentence, *parts).alias("s"), F.col("service"), (F.col("t") if seconds else F.lit(None)).alias("t"))
 
     lines = F.array_compact(F.array(
-        F.when(own & err & (F.col("value_num") > error), line(0, 0, fixed.HIGH_ERROR, *said)),
-        F.when(own & lat & (F.col("value_num") > latency), line(0, 1, fixed.HIGH_LATENCY, *said)),
-        F.when(~own & err & (F.col("value_num") > regression), line(1, 0, fixed.OTHER_REGRESSION, F.col("service"), *said)),
+        F.when(err & (F.col("value_num") > error), line(0, 0, fixed.HIGH_ERROR, *said)),
+        F.when(lat & (F.col("value_num") > latency), line(0, 1, fixed.HIGH_LATENCY, *said)),
+        F.when(err & (F.col("value_num") > regression), line(1, 0, fixed.OTHER_REGRESSION, F.col("service"), *said)),
     ))
-    found = p.select("action_id", F.explode(lines).alias("l")).groupBy("action_id").agg(
-        F.array_sort(F.collect_list("l")).alias("l"), F.bool_or(F.col("l.k") == 1).alias("regressed"))
-    d = a.join(found, "action_id", "left")
-    failed, regressed = F.col("status") == "FAILED", F.coalesce("regressed", F.lit(False))
-    clean = F.col("l").isNull()
+    found = points.select(*keys, F.explode(lines).alias("l")).groupBy(*keys).agg(F.array_sort(F.collect_list("l")).alias("l"))
+
+    def of_action(x: Column) -> Column:
+        fits = F.when(x["k"] == 0, x["service"] == F.col("_svc")).otherwise(x["service"] != F.col("_svc"))
+        return fits & (x["t"] > F.col("at")) & (x["t"] <= F.col("at") + seconds) if seconds else fits
+
+    d = a.join(found, keys, "left").withColumn("l", F.when(F.col("status") != "FAILED", F.filter("l", of_action)))
+    d = d.withColumns({"_regressed": F.coalesce(F.exists("l", lambda x: x["k"] == 1), F.lit(False)), "_clean": F.coalesce(F.size("l") == 0, F.lit(True))})
+    failed, regressed, clean = F.col("status") == "FAILED", F.col("_regressed"), F.col("_clean") | F.col("l").isNull()
     joined = F.array_join(F.transform("l", lambda x: x["s"]), "; ")
     return d.select(
         *actions.columns,

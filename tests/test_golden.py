@@ -79,6 +79,24 @@ def test_verify_four_outcomes(spark):
     assert got[4][1:3] == (False, True) and "Regression detected in other service 'db': service_error_rate = 0.2" in got[4][3]
 
 
+def test_verify_by_tenant_and_time_equals_pairs_without_joining_them(spark):
+    """Windows that begin on, before and after block borders, before 1970 too: the same rows as from the pairs, and no join that makes them."""
+    import random
+
+    rng = random.Random(3)
+    names = ["service_error_rate", "service_latency_p95", "error_latency", "cpu"]
+    pts = [(rng.choice(["x", "y", None]), rng.randrange(-150, 400), i // 2, rng.choice(["cart", "db", None]), rng.choice(names), rng.choice([0.01, 0.07, 0.2, 0.9])) for i in range(300)]
+    acts = [(i, "A", "deployment/cart", rng.choice(["FAILED", "COMPLETED", "COMPLETED"]), rng.choice(["x", "y", None]), rng.choice([-100, -50, 0, 49, 50, 51, 99, 100, 150, 7000])) for i in range(60)]
+    pairs = [(a[0], p[2], p[1], *p[3:]) for a in acts for p in pts if a[4] and a[4] == p[0] and a[5] < p[1] <= a[5] + 50]
+    a = spark.createDataFrame(acts, "action_id int, action string, target string, status string, tenant_id string, at long")
+    p = spark.createDataFrame(pts, "tenant_id string, t long, seq int, service string, signal_name string, value_num double")
+    q = spark.createDataFrame(pairs, "action_id int, seq int, t long, service string, signal_name string, value_num double")
+    got = H.verify_action(a, p, seconds=50)
+    assert sorted(map(str, got.collect())) == sorted(map(str, H.verify_action(a, q).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("join ") == 1 and plan.index("join ") < plan.index("generate ")  # lines are grouped below the only join
+
+
 def test_io_token_matches_inside_words(spark):
     assert one(spark, SC.fault_groups(F.lit("tcp_connections"))) == ["disk", "socket"]
     assert one(spark, SC.series_fault(F.lit("cart-db_memory_rss"), ["cart", "cart-db"])) == "mem"
