@@ -73,20 +73,12 @@ def _numbers(spark, sf):
     return X.telemetry(spark, sf).where("value_num IS NOT NULL")
 
 
-def _post(spark, sf):
-    """Points of the hour after each alert, joined through hour buckets."""
-    a = X.alerts(spark, sf).select(F.col("alert_id").alias("action_id"), "tenant_id", F.col("t").alias("at"))
-    a = a.withColumn("h", F.explode(F.expr("sequence(at div 3600, (at + 3600) div 3600)")))
-    p = X.telemetry(spark, sf).where("value_num IS NOT NULL").withColumn("h", F.expr("t div 3600"))
-    return p.join(a, ["tenant_id", "h"]).where("t > at AND t <= at + 3600").select("action_id", "seq", "t", "service", "signal_name", "value_num")
-
-
 @query("h5_success_conditions", with_(_VER, """l AS (SELECT action_id, service, arg_max(value_num, seq) AS v FROM po WHERE signal_name = 'service_latency_p95' GROUP BY 1, 2)""") + """
 SELECT alert_id AS plan_id, 0 AS ord, 'pod_ready' AS signal_name, NULL::DOUBLE AS value, NULL::BOOLEAN AS met FROM al0 UNION ALL
 SELECT alert_id, 1, 'service_latency_p95', v, v < 60.0 FROM al0 LEFT JOIN l ON l.action_id = alert_id AND l.service = al0.service""")
 def _(spark, sf):
-    p = X.alerts(spark, sf).select(F.col("alert_id").alias("plan_id"), F.col("service").alias("target_service"), F.array(F.lit("pod_ready == true"), F.lit("service_latency_p95 < 60.0")).alias("conditions"))
-    return H.success_conditions(p, _post(spark, sf).withColumnRenamed("action_id", "plan_id")).select("plan_id", "ord", "signal_name", "value", "met")
+    p = X.alerts(spark, sf).select(F.col("alert_id").alias("plan_id"), F.col("service").alias("target_service"), F.array(F.lit("pod_ready == true"), F.lit("service_latency_p95 < 60.0")).alias("conditions"), "tenant_id", F.col("t").alias("at"))
+    return H.success_conditions(p, _numbers(spark, sf), seconds=3600).select("plan_id", "ord", "signal_name", "value", "met")
 
 
 @query("h6_lane", with_(EV) + "SELECT event_id, CASE WHEN k % 3 = 0 THEN 'slow' ELSE 'fast' END AS lane FROM ev")

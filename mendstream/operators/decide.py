@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mendstream import fixed
 from mendstream.functions.scalars import render_deployment, render_target
+from mendstream.operators.scans import forward_fill, with_block
+from mendstream.session import bounded
 from mendstream.sources.profile import FLAT, catalog_runbooks
 
 
@@ -114,18 +116,31 @@ def verify_action(actions: DataFrame, points: DataFrame, error: float = fixed.VE
     )
 
 
-def success_conditions(plans: DataFrame, points: DataFrame) -> DataFrame:
+def success_conditions(plans: DataFrame, points: DataFrame, seconds: int | None = None) -> DataFrame:
     """Each condition of a plan evaluated on the newest point of its signal; null where there is none.
 
     ``plans``: ``plan_id, target_service, conditions``; ``points``: ``plan_id, service, signal_name, t, seq, value_num``.
+    With ``seconds`` the points are those of the tenant (``tenant_id`` instead of ``plan_id``), and a plan (``tenant_id, at`` more) takes the newest
+    in ``(at, at + seconds]``: the last value of the series before its end, found by a blocked forward fill.
     """
     pattern = r"^\s*(\w+)\s*(==|<=|>=|<|>)\s*(\S+)\s*$"
-    c = plans.select("plan_id", "target_service", F.posexplode("conditions").alias("ord", "condition"))
+    c = plans.select("plan_id", "target_service", *(["tenant_id", "at"] if seconds else []), F.posexplode("conditions").alias("ord", "condition"))
     c = c.select("*", F.regexp_extract("condition", pattern, 1).alias("signal_name"), F.regexp_extract("condition", pattern, 2).alias("op"),
                  F.regexp_extract("condition", pattern, 3).alias("_v"))
     wanted = F.when(F.lower("_v") == "true", 1.0).when(F.lower("_v") == "false", 0.0).otherwise(F.col("_v").try_cast("double"))
-    latest = points.groupBy("plan_id", F.col("service").alias("target_service"), "signal_name").agg(F.max_by("value_num", F.struct("t", "seq")).alias("value"))
-    d = c.withColumn("wanted", wanted).drop("_v").join(latest, ["plan_id", "target_service", "signal_name"], "left")
+    c = c.withColumn("wanted", wanted).drop("_v")
+    p = points.withColumnRenamed("service", "target_service")
+    if seconds is None:
+        latest = p.groupBy("plan_id", "target_service", "signal_name").agg(F.max_by("value_num", F.struct("t", "seq")).alias("value"))
+        d = c.join(latest, ["plan_id", "target_service", "signal_name"], "left")
+    else:
+        key = ["tenant_id", "target_service", "signal_name"]
+        named = p.join(bounded(c.select("signal_name").distinct()), "signal_name", "left_semi")
+        known = named.groupBy(*key, "t").agg(F.struct("t", F.max_by("value_num", "seq").alias("v")).alias("_p")).withColumn("_ask", F.lit(False))
+        asked = c.withColumns({"t": F.col("at") + seconds, "_ask": F.lit(True)})
+        both = asked.unionByName(known, allowMissingColumns=True).withColumn("_o", F.struct("t", "_ask"))  # a point of the last second counts
+        d = forward_fill(with_block(both, "t", 86400), key, "_o", "_p", "block").where("_ask")
+        d = d.withColumn("value", F.when(F.col("_p.t") > F.col("at"), F.col("_p.v"))).select(*[x for x in c.columns if x not in ("tenant_id", "at")], "value")
     v, w, op = F.col("value"), F.col("wanted"), F.col("op")
     met = F.when(op == "==", v == w).when(op == "<", v < w).when(op == "<=", v <= w).when(op == ">", v > w).when(op == ">=", v >= w)
     return d.withColumn("met", met)

@@ -97,6 +97,23 @@ def test_verify_by_tenant_and_time_equals_pairs_without_joining_them(spark):
     assert plan.count("join ") == 1 and plan.index("join ") < plan.index("generate ")  # lines are grouped below the only join
 
 
+def test_conditions_by_tenant_and_time_equal_pairs(spark):
+    """The newest point of the window, the last second included, the highest seq of a second; no join of plans and points."""
+    import random
+
+    rng = random.Random(4)
+    pts = [(rng.choice(["x", "y"]), rng.choice([0, 86399, 86400]) + rng.randrange(-60, 60), i, rng.choice(["cart", "db"]), rng.choice(["lat", "err"]), rng.random()) for i in range(400)]
+    plans = [(i, rng.choice(["cart", "db", "none"]), ["lat < 0.5", "err >= 0.5", "cpu == 1", "??"], rng.choice(["x", "y"]), rng.choice([0, 86390, 86400]) + rng.randrange(-60, 60)) for i in range(80)]
+    pairs = [(a[0], *p[1:]) for a in plans for p in pts if a[3] == p[0] and a[4] < p[1] <= a[4] + 10]
+    a = spark.createDataFrame(plans, "plan_id int, target_service string, conditions array<string>, tenant_id string, at long")
+    p = spark.createDataFrame(pts, "tenant_id string, t long, seq int, service string, signal_name string, value_num double")
+    q = spark.createDataFrame(pairs, "plan_id int, t long, seq int, service string, signal_name string, value_num double")
+    cols = ["plan_id", "ord", "condition", "op", "wanted", "value", "met"]
+    got, want = H.success_conditions(a, p, seconds=10).select(*cols), H.success_conditions(a, q).select(*cols)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sum(r.value is not None for r in got.collect()) > 20
+
+
 def test_io_token_matches_inside_words(spark):
     assert one(spark, SC.fault_groups(F.lit("tcp_connections"))) == ["disk", "socket"]
     assert one(spark, SC.series_fault(F.lit("cart-db_memory_rss"), ["cart", "cart-db"])) == "mem"
