@@ -1,10 +1,13 @@
 """Join of texts whose word n-gram sets have a high Jaccard similarity, by prefix trees.
 
 1. Sets. Words are folded to 64-bit hashes, n-grams to hashes of words; equal sets become one node.
-2. Global order. N-grams with small hashes, a fixed share of all, come first and rarer ones before others; the rest follows by hash.
-3. Clusters. Two sets with enough in common share one of their first n - ceil(t n) + 1 n-grams. Nodes joined by such
+2. Parts. N-grams are dealt into more parts than two near sets can differ in, so such sets hold the same in one part at least. A
+   signature stands for all n-grams of a part, and nodes joined by signatures form neighbourhoods. In a large table unrelated sets share
+   single rare n-grams, so that step 4 alone would join most nodes; they do not share whole parts.
+3. Global order. N-grams with small hashes, a fixed share of all, come first and rarer ones of a neighbourhood before others; the rest follows by hash.
+4. Clusters. Two sets with enough in common share one of their first n - ceil(t n) + 1 n-grams. Nodes of a neighbourhood joined by such
    shared n-grams form clusters; nothing is compared across clusters.
-4. Tries. The sets of a cluster are stored in a trie, commonest n-grams first, so near sets share long paths. One
+5. Tries. The sets of a cluster are stored in a trie, commonest n-grams first, so near sets share long paths. One
    traversal carries the overlaps of all sets with the path, shared by everything below it, and drops a set from a subtree when the overlap
    and the n-grams left cannot reach what the sizes ask for. A large cluster is cut into blocks; every pair of blocks is a
    cell of its own, so no group meets in one task.
@@ -13,16 +16,20 @@ Each cell returns one row per node: its degree and the least node it is joined w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, fresh, mix, reuse, same, word_bounds, word_hashes
+from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, fresh, mix, reuse, same, tidy, word_bounds, word_hashes
 from mendstream.llm.components import components
 
 BLOCK_NODES, BLOCK_GRAMS = 1024, 1 << 20  # of a block of a large cluster
+DEALS = 8  # ways of dealing n-grams into parts, for sets with too many empty parts in those before
+SHIFTS = mix(np.arange(1, DEALS + 1, dtype=U))
+ENTRY, HELD, BUCKET = 13, 1 << 20, 1 << 18  # bytes of a signature and its node, those held by a task, those of a bucket
 
 
 def gram_sets(buf: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,14 +83,19 @@ def _binary16(x: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(0, 16 * len(x) + 1, 16, dtype=np.int32).tobytes()), pa.py_buffer(data)])
 
 
+def _nids(node: np.ndarray) -> pa.Array:
+    """Should two nodes share it, their clusters are compared as one."""
+    return pa.array(node[:, 0].copy().view(np.int64))
+
+
 def prefixes(docs: DataFrame, words: int, num: int, den: int, pool: float) -> DataFrame:
-    """_id, _h, n (set size), p (prefix length), u, node (16 bytes, equal for equal sets) and tokens.
+    """_id, _h, n (set size), p (prefix length), u, node (16 bytes, equal for equal sets), nid (8 of them) and tokens.
 
     ``tokens`` are the n-grams of the pool, those with the least hashes (the same share of all n-grams for every text), ``u`` of them, and as many of
     the next hashes as the prefix length asks for.
     """
     limit = U(min((1 << 64) - 1, int(pool * (den - num) / den * (1 << 64))))
-    schema = StructType([docs.schema["_id"], StructField("_h", LongType()), StructField("n", IntegerType()), StructField("p", IntegerType()), StructField("u", IntegerType()), StructField("node", BinaryType()), StructField("tokens", ArrayType(LongType()))])
+    schema = StructType([docs.schema["_id"], StructField("_h", LongType()), StructField("n", IntegerType()), StructField("p", IntegerType()), StructField("u", IntegerType()), StructField("node", BinaryType()), StructField("nid", LongType()), StructField("tokens", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,18 +110,128 @@ def prefixes(docs: DataFrame, words: int, num: int, den: int, pool: float) -> Da
                 at = np.arange(end[-1] if len(end) else 0) - np.repeat(end - take, take) + np.repeat(np.cumsum(size) - size, take)
                 part = batch.slice(i, j - i)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, end).astype(np.int32)), pa.array(gram[at].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_h"), *[pa.array(x.astype(np.int32)) for x in (size, p, u)], _binary16(node), lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_h"), *[pa.array(x.astype(np.int32)) for x in (size, p, u)], _binary16(node), _nids(node), lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def clusters(sets: DataFrame) -> DataFrame:
-    """nid, label: nodes joined by an n-gram that both have in their prefix.
+def size_classes(top: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least size, number of parts and greatest number of parts that differ, of each class of the smaller set's sizes up to ``top``.
+
+    Two sets of a and b >= a n-grams within reach differ in at most (a + b) (den - num) / (den + num) n-grams, and b is at most a den / num.
+    """
+    start, parts, differ = [1], [], []
+    while start[-1] <= top:
+        least = start[-1]
+        most = max(least, least * 3 // 2 - 1)
+        d = (most + most * den // num) * (den - num) // (den + num)
+        for k in range(d + 1, d + d // 2 + 2):
+            empty = k * exp(-least / k)
+            if k - d > empty + sqrt(empty):
+                break
+        else:
+            k = d + 1
+        start.append(most + 1)
+        parts.append(k)
+        differ.append(d)
+    return np.array(start[:-1]), np.array(parts), np.array(differ)
+
+
+def signatures(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, signature of one of its parts): any two texts within reach of each other, with different sets, have a signature in common.
+
+    A set has parts for its own size class and for those of smaller sets in reach. Of the parts that a pair has in common some may be
+    empty; those count for nothing, and a set with so many of them that no other need be in common is dealt once more another way.
+    """
+    start, parts, differ = size_classes(int(size.max(initial=1)), num, den)
+    own, low = (np.maximum(0, np.searchsorted(start, x, "right") - 1) for x in (size, -(-size * num // den)))
+    owners, found = [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    for back in range(int((own - low).max(initial=0)) + 1):
+        level = np.maximum(low, own - back)
+        going = (size > 0) & (own - back >= low) & (differ[level] > 0)
+        for deal in range(DEALS):
+            if not going.any():
+                break
+            n = np.where(going, parts[level], 0)
+            base = np.cumsum(n) - n
+            mine = going[doc]
+            d, h = doc[mine], mix(gram[mine] + SHIFTS[deal])
+            slot = base[d] + (h % n[d].astype(U)).astype(np.int64)
+            h = mix(h + U(1))
+            total = int(n.sum())
+            halves = [np.bincount(slot, (x & U(0xFFFFFFFF)).astype(float), total).astype(U) for x in (h, h >> U(32))]  # exact below 2^21 n-grams of a part
+            full = np.bincount(slot, minlength=total) > 0
+            who = np.repeat(np.arange(len(size)), n)
+            name = (np.arange(total) - base[who]).astype(U) + (((level * DEALS + deal) << 40).astype(U))[who]
+            going &= np.bincount(who[~full], minlength=len(size)) >= parts[level] - differ[level]
+            if deal == DEALS - 1:
+                full |= going[who]
+            owners.append(who[full])
+            found.append(mix(mix(mix(halves[0]) + halves[1]) + name)[full])
+    return np.concatenate(owners), np.concatenate(found)
+
+
+def neighbourhoods(docs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """nid, label: nodes joined by signatures. Signatures are dealt into buckets as flat bytes, 8 of the node and 5 of the signature."""
+    spark = docs.sparkSession
+    grams = sets.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + 2 * grams * (den - num) // den // BUCKET)
+
+    def deal(held: list[tuple]) -> pa.RecordBatch:
+        nid, sig = (np.concatenate(x) for x in zip(*held))
+        bucket = (sig % U(buckets)).astype(np.int64)
+        o = np.argsort(bucket, kind="stable")
+        bucket = bucket[o]
+        data = np.empty((len(o), ENTRY), np.uint8)
+        data[:, :8], data[:, 8:] = (x[o].view(np.uint8).reshape(-1, 8)[:, k:] for x, k in ((nid, 0), (sig, 3)))
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        offs = (np.append(first, len(o)) * ENTRY).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs), pa.py_buffer(data)])], names=["bucket", "entries"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, seen = [], 0, set()
+        for batch in batches:
+            whole, offs = flat(column(batch, "_text"))
+            for i, j in chunks(offs):
+                doc, gram = gram_sets(whole[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
+                size, node = _nodes(doc, gram, j - i)
+                nid = node[:, 0].copy()
+                new = np.zeros(j - i, bool)  # copies of a text give their signatures once
+                new[[r for r, x in enumerate(nid.tolist()) if not (x in seen or seen.add(x))]] = True
+                mine = new[doc]
+                who, sig = signatures(doc[mine], gram[mine], np.where(new, size, 0), num, den)
+                if len(who):
+                    held.append((nid[who], sig))
+                    n += len(who)
+                if n >= HELD:
+                    yield deal(held)
+                    held, n, seen = [], 0, set()
+        if held:
+            yield deal(held)
+
+    def meet(table: pa.Table) -> pa.Table:
+        data = np.frombuffer(b"".join(table.column("entries").to_pylist()), np.uint8).reshape(-1, ENTRY)
+        nid, sig = np.ascontiguousarray(data[:, :8]).view(np.int64).ravel(), np.zeros((len(data), 8), np.uint8)
+        sig[:, :5] = data[:, 8:]
+        sig = sig.view(U).ravel()
+        o = np.lexsort((nid, sig))
+        nid, sig = nid[o], sig[o]
+        first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        least = np.repeat(nid[first], np.diff(np.append(first, len(sig))))
+        pair = nid != least
+        return pa.table({"a": nid[pair], "b": least[pair]})
+
+    entries = batch_rows(docs.select("_text")).mapInArrow(spread, "bucket long, entries binary")
+    return components(entries.groupBy("bucket").applyInArrow(meet, "a long, b long")).withColumnRenamed("node", "nid")
+
+
+def clusters(sets: DataFrame, near: DataFrame) -> DataFrame:
+    """nid, label: nodes of a neighbourhood (``near``) joined by an n-gram that both have in their prefix.
 
     The global order puts pool n-grams first, rarer ones before others, then the rest by hash. N-grams of one text only need no
-    rows for that: how many of them a prefix holds follows from the counts.
+    rows for that: how many of them a prefix holds follows from the counts. A token is an n-gram of a neighbourhood.
     """
-    tokens = sets.where("n > 0").select(F.xxhash64("node").alias("nid"), "p", "u", F.posexplode("tokens").alias("at", "token"))
+    tokens = sets.where("n > 0").join(near, "nid").select("nid", "label", "p", "u", F.posexplode("tokens").alias("at", "token")).withColumn("token", F.xxhash64("label", "token"))
     busy = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     few = tokens.select("nid", "token", F.when(F.col("at") < F.col("u"), F.struct("p", "u")).alias("pool"))
     shared = reuse(few.join(busy, "token", "left_semi").distinct())
@@ -197,8 +319,8 @@ def trie_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, wei
 
 def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """a, b, degree: for each node that shares a prefix n-gram with another one, the root of its cell and its degree there."""
-    nodes = nodes.withColumn("nid", F.xxhash64("node"))  # should two nodes share it, their clusters are compared as one
-    cluster = reuse(clusters(sets).withColumnRenamed("node", "nid"))
+    near = reuse(neighbourhoods(docs, sets, words, num, den))
+    cluster = reuse(clusters(sets, near).withColumnRenamed("node", "nid"))
     member = nodes.join(cluster, "nid").select("node", "label", "copies", F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"), F.col("ex.n").alias("n"))
     sizes = cluster.join(nodes.select("nid", F.col("ex.n").alias("n")), "nid").groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     member = member.join(sizes, "label")
@@ -254,9 +376,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     never a component's id unless all its ids are null. component names a component even where rows of several share an id. ``pool`` times 1 - t is the share of n-grams that are counted to order them;
     it changes the time, not the result.
     """
+    with tidy(df.sparkSession):
+        return _jaccard_components(df, id_col, text_col, words, num, den, pool)
+
+
+def _jaccard_components(df: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int, pool: float) -> DataFrame:
     docs = batch_rows(df).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), fetch_key(id_col, text_col).alias("_h"))
     sets = reuse(prefixes(docs, words, num, den, pool))
-    nodes = reuse(sets.where("n > 0").groupBy("node").agg(F.min("_id").alias("low_id"), F.count("*").alias("copies"), F.min(F.struct("_id", "_h", "n")).alias("ex")))
+    nodes = reuse(sets.where("n > 0").groupBy("node", "nid").agg(F.min("_id").alias("low_id"), F.count("*").alias("copies"), F.min(F.struct("_id", "_h", "n")).alias("ex")))
     links = reuse(linked_nodes(docs, sets, nodes, words, num, den))
     label = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("degree").alias("degree"))

@@ -237,6 +237,40 @@ def test_words_that_a_polynomial_confuses_stay_apart(spark):
     assert {r._id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4}
 
 
+@pytest.mark.parametrize("num", [95, 90, 80, 50])
+def test_near_sets_have_a_signature_in_common(num):
+    import numpy as np
+
+    rng, found = np.random.default_rng(num), 0
+    for n in [*range(1, 40), 57, 120, 300] * 3:
+        base, sets = rng.integers(0, 1 << 64, n, dtype=np.uint64), []
+        for k in range(8):
+            cut, more = rng.integers(0, max(2, n * (100 - num) // 100 + 2), 2)
+            sets.append(np.unique(np.append(base[cut % n if k % 3 else 0 :], rng.integers(0, 1 << 64, more if k % 2 else 0, dtype=np.uint64))))
+        size = np.array([len(x) for x in sets])
+        who, sig = ngramjoin.signatures(np.repeat(np.arange(8), size), np.concatenate(sets), size, num, 100)
+        for i in range(8):
+            for j in range(i):
+                a, b = set(sets[i].tolist()), set(sets[j].tolist())
+                if a != b and 100 * len(a & b) >= num * len(a | b):
+                    found += 1
+                    assert set(sig[who == i].tolist()) & set(sig[who == j].tolist()), (n, a, b)
+    assert found > 100
+
+
+def test_unrelated_texts_of_common_words_meet_in_no_cell(spark, monkeypatch):
+    """Each shares its rarest words with some others, so prefixes alone would join all of them to one cluster."""
+    import numpy as np
+
+    rng, seen, links = np.random.default_rng(3), [], ngramjoin.linked_nodes
+    texts = [" ".join(f"w{x}" for x in rng.choice(3000, 100, replace=False)) for _ in range(300)]
+    texts += [t + " tail" for t in texts[:5]]
+    monkeypatch.setattr(ngramjoin, "linked_nodes", lambda *a: seen.append(links(*a)) or seen[-1])
+    got = ngramjoin.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=1, num=90).collect()
+    assert {r._id: (r.component_id, r.n_links) for r in got} == {i: (i % 300, int(i % 300 < 5)) for i in range(305)}
+    assert seen[0].count() < 40
+
+
 def test_split_tree_keeps_quotas():
     import numpy as np
 
