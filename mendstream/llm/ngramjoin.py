@@ -9,8 +9,8 @@
    shared n-grams form clusters; nothing is compared across clusters.
 5. Tries. The sets of a cluster are stored in a trie, commonest n-grams first, so near sets share long paths. One
    traversal carries the overlaps of all sets with the path, shared by everything below it, and drops a set from a subtree when the overlap
-   and the n-grams left cannot reach what the sizes ask for. A large cluster is cut into blocks; every pair of blocks is a
-   cell of its own, so no group meets in one task.
+   and the n-grams left cannot reach what the sizes ask for. A large cluster is cut into blocks of like sizes; every pair of blocks
+   with sizes in reach is a cell of its own, so no group meets in one task.
 Each cell returns one row per node: its degree and the least node it is joined with there. Pairs are never written out.
 """
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 
 from mendstream.llm.common import U, batch_rows, chunks, column, fetch_key, flat, fresh, mix, reuse, same, tidy, word_bounds, word_hashes
 from mendstream.llm.components import components
+from mendstream.session import bounded
 
 BLOCK_NODES, BLOCK_GRAMS = 1024, 1 << 20  # of a block of a large cluster
 DEALS = 8  # ways of dealing n-grams into parts, for sets with too many empty parts in those before
@@ -231,7 +232,8 @@ def clusters(sets: DataFrame, near: DataFrame) -> DataFrame:
     The global order puts pool n-grams first, rarer ones before others, then the rest by hash. N-grams of one text only need no
     rows for that: how many of them a prefix holds follows from the counts. A token is an n-gram of a neighbourhood.
     """
-    tokens = sets.where("n > 0").join(near, "nid").select("nid", "label", "p", "u", F.posexplode("tokens").alias("at", "token")).withColumn("token", F.xxhash64("label", "token"))
+    lists = reuse(sets.where("n > 0").join(bounded(near), "nid").select("nid", "label", "p", "u", "tokens"))
+    tokens = lists.select("nid", "label", "p", "u", F.posexplode("tokens").alias("at", "token")).withColumn("token", F.xxhash64("label", "token"))
     busy = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     few = tokens.select("nid", "token", F.when(F.col("at") < F.col("u"), F.struct("p", "u")).alias("pool"))
     shared = reuse(few.join(busy, "token", "left_semi").distinct())
@@ -317,14 +319,32 @@ def trie_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, wei
     return degree, root
 
 
+def block_ranges(member: DataFrame, num: int, den: int) -> DataFrame:
+    """``member`` (label, n, node) with its block within the cluster as ``first`` and ``blocks`` (the node's hash picks one), and those it meets: ``low`` up to ``high``.
+
+    A cluster of one block has only that. Others have blocks for each class of sizes, in order of size, and meet those of sizes in reach.
+    """
+    own, low, high = (F.floor(F.log(1.1, x)).cast("int") for x in (F.col("n"), F.ceil(F.col("n") * num / den), F.floor(F.col("n") * den / num)))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
+    large = member.groupBy("label").agg(blocks).where("blocks > 1").select("label")
+    each = member.join(large, "label", "left_semi").groupBy("label", own.alias("z")).agg(blocks)
+    placed = each.withColumn("first", F.sum("blocks").over(W.partitionBy("label").orderBy("z")) - F.col("blocks"))
+    layout = placed.groupBy("label").agg(F.collect_list(F.struct("z", "first", "blocks")).alias("layout"))
+    found = member.join(layout, "label", "left")
+    mine = F.filter("layout", lambda x: x["z"] == own)[0]
+    start = F.array_min(F.transform(F.filter("layout", lambda x: x["z"] >= low), lambda x: x["first"]))
+    end = F.array_max(F.transform(F.filter("layout", lambda x: x["z"] <= high), lambda x: x["first"] + x["blocks"]))
+    cols = (("first", mine["first"], 0), ("blocks", mine["blocks"], 1), ("low", start, 0), ("high", end, 1))
+    return found.select(*member.columns, *[F.coalesce(c, F.lit(other)).cast("int").alias(name) for name, c, other in cols])
+
+
 def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """a, b, degree: for each node that shares a prefix n-gram with another one, the root of its cell and its degree there."""
     near = reuse(neighbourhoods(docs, sets, words, num, den))
     cluster = reuse(clusters(sets, near).withColumnRenamed("node", "nid"))
     member = nodes.join(cluster, "nid").select("node", "label", "copies", F.col("ex._id").alias("_id"), F.col("ex._h").alias("_h"), F.col("ex.n").alias("n"))
-    sizes = cluster.join(nodes.select("nid", F.col("ex.n").alias("n")), "nid").groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    member = member.join(sizes, "label")
-    picked = docs.join(member, same(docs, member, ["_id", "_h"])).select("_text", "node", "label", "copies", "blocks")
+    member = block_ranges(member, num, den)
+    picked = docs.join(member, same(docs, member, ["_id", "_h"])).select("_text", "node", "label", "copies", "first", "blocks", "low", "high")
     schema = "label long, i int, j int, side int, node binary, copies long, grams binary"
     cell_schema = pa.schema([("label", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.binary()), ("copies", pa.int64()), ("grams", pa.binary())])
 
@@ -334,7 +354,7 @@ def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int,
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole, offs = flat(column(batch, "_text"))
-            blocks, copies = np.asarray(column(batch, "blocks")), np.asarray(column(batch, "copies"))
+            first, blocks, low, high, copies = (np.asarray(column(batch, x)) for x in ("first", "blocks", "low", "high", "copies"))
             nodes, labels = column(batch, "node").to_pylist(), column(batch, "label").to_pylist()
             for lo, hi in chunks(offs):
                 doc, gram = gram_sets(whole[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], words)
@@ -342,8 +362,8 @@ def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int,
                 out, held = [], 0
                 for r in range(lo, hi):
                     data = gram[edge[r - lo] : edge[r - lo + 1]].tobytes()
-                    b = int.from_bytes(nodes[r][:4], "little") % int(blocks[r])
-                    for k in range(int(blocks[r])):
+                    b = int(first[r]) + int.from_bytes(nodes[r][:4], "little") % int(blocks[r])
+                    for k in range(int(low[r]), int(high[r])):
                         out.append((labels[r], min(b, k), max(b, k), int(b > k), nodes[r], int(copies[r]), data))
                         held += len(data)
                         if held > 1 << 24:
@@ -361,6 +381,8 @@ def linked_nodes(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int,
                 sides.append(side)
                 weights.append(w)
         names = list(seen)
+        if min(sides) == max(sides) and table.column("i")[0] != table.column("j")[0]:  # of two blocks, one with nothing in reach
+            sets = [s[:0] for s in sets]
         degree, root = trie_links(sets, np.array(sides), num, den, np.array(weights))
         return pa.table({"a": pa.array(names, pa.binary()), "b": pa.array([names[r] for r in root], pa.binary()), "degree": pa.array(degree, pa.int64())})
 

@@ -271,6 +271,22 @@ def test_unrelated_texts_of_common_words_meet_in_no_cell(spark, monkeypatch):
     assert seen[0].count() < 40
 
 
+@pytest.mark.parametrize("nodes,grams", [(3, 1 << 20), (1024, 90)])
+def test_links_do_not_depend_on_blocks(spark, monkeypatch, nodes, grams):
+    """Near copies of several sizes in one cluster, cut into blocks some of which are empty or meet nothing in reach."""
+    monkeypatch.setattr(ngramjoin, "BLOCK_NODES", nodes)
+    monkeypatch.setattr(ngramjoin, "BLOCK_GRAMS", grams)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[i : i + k]) for k in (20, 24, 30, 38, 47, 58) for i in range(3)]
+    sets = [set(t.split()) for t in texts]
+    near = [[i != j and 10 * len(a & b) >= 8 * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    low = list(range(len(sets)))
+    for _ in sets:
+        low = [min([low[i], *(low[j] for j in range(len(sets)) if near[i][j])]) for i in range(len(sets))]
+    got = ngramjoin.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=1, num=80).collect()
+    assert {r._id: (r.component_id, r.n_links) for r in got} == {i: (low[i], sum(near[i])) for i in range(len(sets))}
+
+
 def test_split_tree_keeps_quotas():
     import numpy as np
 
