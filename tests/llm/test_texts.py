@@ -271,7 +271,7 @@ def test_unrelated_texts_of_common_words_meet_in_no_cell(spark, monkeypatch):
     assert seen[0].count() < 40
 
 
-@pytest.mark.parametrize("nodes,grams", [(3, 1 << 20), (1024, 90)])
+@pytest.mark.parametrize("nodes,grams", [(1, 1 << 20), (3, 1 << 20), (1024, 90)])
 def test_links_do_not_depend_on_blocks(spark, monkeypatch, nodes, grams):
     """Near copies of several sizes in one cluster, cut into blocks some of which are empty or meet nothing in reach."""
     monkeypatch.setattr(ngramjoin, "BLOCK_NODES", nodes)
